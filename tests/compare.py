@@ -1,0 +1,47 @@
+"""Rows of a Spark result and a DuckDB result in one comparable form."""
+
+import math
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def plain(value):
+    if value is None or (isinstance(value, float) and math.isnan(value)):
+        return None
+    if isinstance(value, bool):
+        return value
+    if isinstance(value, float):
+        return repr(value + 0.0)
+    if isinstance(value, int):
+        return value
+    if hasattr(value, "isoformat"):
+        return value.isoformat()
+    return str(value)
+
+
+def rows(columns, data):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(plain(r[i]) for i in order) for r in data)
+
+
+def spark_rows(df):
+    return sorted(df.columns), rows(df.columns, df.collect())
+
+
+def duck_rows(con, sql):
+    result = con.execute(sql)
+    columns = [d[0] for d in result.description]
+    return sorted(columns), rows(columns, result.fetchall())
