@@ -21,7 +21,7 @@ from strata.operators import (  # noqa: E402
     evaluate, events, explore, features, gold, models, silver,
 )
 from strata.plans.propensity import propensity, propensity_of  # noqa: E402
-from strata.plans.refresh import refresh_gold, run_once  # noqa: E402
+from strata.plans.refresh import extend_silver, refresh_gold, run_once  # noqa: E402
 from strata.schemas import CLICK_PAYLOAD, FEATURES, LABEL, ORDER_PAYLOAD  # noqa: E402
 from strata.sources import derived_topics, tables  # noqa: E402
 from strata.sources.scratch import scratch_root  # noqa: E402
@@ -208,6 +208,18 @@ def version_scan(spark, sf):
     return both
 
 
+def silver_incremental(spark, sf):
+    """The click topic arrives in two parts; the second refresh reads only the second part."""
+    root = scratch_root(spark, "layers")
+    records = derived_topics.click_records(spark, sf)
+    # An event with an even number comes first, its replay (odd offset) in the second part.
+    for part in (0, 1):
+        records.where(F.col("offset") % 2 == part).write.mode("append").parquet(f"{root}/topics/clicks")
+        stream_topic(spark, root, "clicks")
+        extend_silver(spark, root)
+    return shown(tables.read_table(spark, root, "silver", "clicks")).drop("timestamp")
+
+
 def table_history(spark, sf):
     root = stream_topic(spark, stored_topics(spark, sf, ["clicks"]), "clicks")
     return tables.history(spark, root, "bronze", "clicks")
@@ -306,6 +318,14 @@ def logistic_scores(spark, sf):
     return fitted(spark, sf, [models.LOGISTIC])
 
 
+def part():
+    return F.col("partition").alias("part_no")
+
+
+def off():
+    return F.col("offset").alias("off_no")
+
+
 def rounded(df, digits, *columns):
     return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in columns})
 
@@ -334,7 +354,6 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per operator; each takes (spark, sf_dir)."""
-    off, part = F.col("offset").alias("off_no"), F.col("partition").alias("part_no")
     both_events = lambda s, d: derived_topics.order_events(s, d).unionByName(
         derived_topics.click_events(s, d), allowMissingColumns=True)
     text = lambda c: F.col(c).cast("string").alias(f"{c}_text")
@@ -345,24 +364,24 @@ def queries() -> dict[str, Query]:
         "version_scan": version_scan,
         "table_history": table_history,
         "named_table_sql": named_table_sql,
-        "describe_schema": lambda s, d: explore.schema_rows(s, users(s, d)),
+        "describe_schema": lambda s, d: explore.schema_rows(s, stored_users(s, d)[1]),
         # sinks and encoding
         "bronze_append": bronze_append,
         "snapshot_overwrite": snapshot_overwrite,
         "write_row_count": write_row_count,
         "event_encode": lambda s, d: events.encode_events(
             derived_topics.click_events(s, d), "click_id", "clicks", CLICK_PAYLOAD
-        ).select(text("key"), text("value"), "topic", part, off),
+        ).select(text("key"), text("value"), "topic", part(), off()),
         "topic_route": lambda s, d: events.route_events(both_events(s, d)).select(
             "topic", text("key"), F.get_json_object(F.col("value").cast("string"), "$.event_type").alias("event_type")),
         # projections and filters
         "envelope_project": lambda s, d: shown(
             bronze_orders(s, d).unionByName(bronze_clicks(s, d)).drop("raw_value")),
         "json_parse_flatten": lambda s, d: shown(parsed_orders(s, d).drop("timestamp", "kafka_key")),
-        "filter_not_null": lambda s, d: parsed_orders(s, d).where("order_id is not null").select(part, off, "order_id"),
-        "filter_positive": lambda s, d: parsed_clicks(s, d).where("duration_ms > 0").select(part, off, "duration_ms"),
+        "filter_not_null": lambda s, d: parsed_orders(s, d).where("order_id is not null").select(part(), off(), "order_id"),
+        "filter_positive": lambda s, d: parsed_clicks(s, d).where("duration_ms > 0").select(part(), off(), "duration_ms"),
         "filter_in_list": lambda s, d: parsed_orders(s, d).where(
-            F.col("status").isin(*silver.ORDER_STATUSES)).select(part, off, "status"),
+            F.col("status").isin(*silver.ORDER_STATUSES)).select(part(), off(), "status"),
         "filter_equals": lambda s, d: silver.completed(orders(s, d)).select("order_id", "status", "total_amount"),
         "derive_columns": lambda s, d: shown(
             parsed_clicks(s, d).where("event_type is not null").withColumns({
@@ -377,10 +396,10 @@ def queries() -> dict[str, Query]:
         # aggregations
         "dedup_orders": lambda s, d: silver.first_copy(
             silver.valid_orders(parsed_orders(s, d)), ["order_id"]
-        ).select("order_id", part, off, F.round("total_amount", 2).alias("total_amount")),
+        ).select("order_id", part(), off(), F.round("total_amount", 2).alias("total_amount")),
         "dedup_clicks": lambda s, d: silver.first_copy(
             silver.valid_clicks(parsed_clicks(s, d)), ["click_id"]
-        ).select("click_id", part, off, "duration_ms"),
+        ).select("click_id", part(), off(), "duration_ms"),
         "daily_revenue": lambda s, d: shown(daily(s, d)),
         "product_metrics": lambda s, d: shown(products(s, d)),
         "user_orders": lambda s, d: shown(gold.user_orders(orders(s, d))),
@@ -411,19 +430,19 @@ def queries() -> dict[str, Query]:
             orders(s, d).select("order_id", "user_id", "status", "total_amount"), ["order_id"], 5),
         "top_propensity": lambda s, d: models.top_propensity(logistic_scores(s, d).scored),
         # scalar functions
-        "scalar_json_parse": lambda s, d: parsed_clicks(s, d).select(off, "duration_ms", "converted", "page"),
+        "scalar_json_parse": lambda s, d: parsed_clicks(s, d).select(off(), "duration_ms", "converted", "page"),
         "scalar_to_timestamp": lambda s, d: parsed_orders(s, d).select(
-            off, scalars.parse_instant(F.col("timestamp")).cast("timestamp_ntz").alias("event_ts")),
+            off(), scalars.parse_instant(F.col("timestamp")).cast("timestamp_ntz").alias("event_ts")),
         "scalar_day_trunc": lambda s, d: derived_topics.click_events(s, d).select(
-            off, F.date_trunc("day", "record_ts").cast("timestamp_ntz").alias("day")),
+            off(), F.date_trunc("day", "record_ts").cast("timestamp_ntz").alias("day")),
         "scalar_round": lambda s, d: derived_topics.order_events(s, d).select(
-            off, F.round("total_amount", 2).alias("amount"),
+            off(), F.round("total_amount", 2).alias("amount"),
             F.round(F.col("quantity") / (F.col("partition") + 1), 4).alias("ratio")),
         "scalar_case": lambda s, d: orders(s, d).select(
             "order_id", F.when(F.col("status") == "completed", 1).otherwise(0).alias("is_completed"),
             F.when(F.col("status") == "completed", F.col("total_amount")).alias("spent")),
         "scalar_coalesce": lambda s, d: derived_topics.click_events(s, d).select(
-            off, F.coalesce("referrer", F.lit("direct")).alias("referrer")),
+            off(), F.coalesce("referrer", F.lit("direct")).alias("referrer")),
         "scalar_fillna": lambda s, d: shown(users(s, d).fillna(0).select(
             "user_id", "last_order_ts", "total_clicks", "total_spend", "conversion_rate")),
         "scalar_cast": lambda s, d: users(s, d).select(
@@ -434,13 +453,13 @@ def queries() -> dict[str, Query]:
         "scalar_ratio": lambda s, d: users(s, d).select(
             "user_id", (F.col("completed_orders") / (F.col("total_clicks") + F.lit(1))).alias("ratio")),
         "scalar_predicates": lambda s, d: derived_topics.click_events(s, d).select(
-            off, F.col("click_id").isNull().alias("no_id"), (F.col("duration_ms") > 0).alias("positive"),
+            off(), F.col("click_id").isNull().alias("no_id"), (F.col("duration_ms") > 0).alias("positive"),
             (F.col("referrer") == "google").alias("from_google"),
             F.col("referrer").isin("email", "direct").alias("own"), F.col("referrer").isNotNull().alias("known")),
         "scalar_json_encode": lambda s, d: derived_topics.click_events(s, d).select(
-            off, events.to_payload(events.payload_fields(CLICK_PAYLOAD)).alias("payload")),
+            off(), events.to_payload(events.payload_fields(CLICK_PAYLOAD)).alias("payload")),
         "scalar_iso_format": lambda s, d: derived_topics.click_events(s, d).select(
-            off, scalars.iso_instant(F.col("record_ts")).alias("text")),
+            off(), scalars.iso_instant(F.col("record_ts")).alias("text")),
         "scalar_padded_id": lambda s, d: derived_topics.load(s, d, "lineitem").select(
             "l_orderkey", "l_linenumber", scalars.padded_id("P", F.col("l_partkey"), 4).alias("product_id"),
             scalars.padded_id("U", F.col("l_suppkey"), 5).alias("user_id")),
@@ -473,6 +492,7 @@ def queries() -> dict[str, Query]:
         # jobs
         "silver_orders": lambda s, d: shown(orders(s, d)).drop("timestamp", "kafka_key"),
         "silver_clicks": lambda s, d: shown(clicks(s, d)).drop("timestamp"),
+        "silver_incremental": silver_incremental,
         "gold_refresh": gold_refresh,
         "run_once": refresh_all,
         "propensity": propensity_scores,

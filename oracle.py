@@ -379,6 +379,7 @@ def statements():
         # jobs
         "silver_orders": f"{SO} SELECT {ORDER_COLUMNS} FROM so",
         "silver_clicks": f"{SC} SELECT {CLICK_COLUMNS} FROM sc",
+        "silver_incremental": f"{SC} SELECT {CLICK_COLUMNS} FROM sc",
         "gold_refresh": ctes(ORDERS, CLICKS, DAILY, PRODUCTS, USERS, FUNNEL) + """
             SELECT 'daily_revenue' AS table_name, count(*) AS row_count, CAST(sum(CAST(round(revenue * 100) AS BIGINT)) AS BIGINT) AS measure FROM daily
             UNION ALL SELECT 'product_metrics', count(*), CAST(sum(CAST(round(total_revenue * 100) AS BIGINT)) AS BIGINT) FROM products

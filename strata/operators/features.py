@@ -118,10 +118,13 @@ def summarize(
     first pass takes an approximate quantile on either side of each quartile, with a rank error
     of at most n / accuracy; a second counts the rows below that bracket; a third ranks only
     the values inside it, about 6 n / accuracy rows. Up to `small` rows the bracket is the whole
-    range. Quartiles are interpolated linearly between neighbouring values.
+    range (it must be for n <= accuracy, where the margin is below one rank). Quartiles are
+    interpolated linearly between neighbouring values.
     """
-    margin = 3.0 / accuracy
-    sides = [p for q in QUARTILES.values() for p in (q - margin, q + margin)]
+    margin, small = 3.0 / accuracy, max(small, accuracy)
+    sides = [
+        p for q in QUARTILES.values() for p in (max(q - margin, 0.0), min(q + margin, 1.0))
+    ]
     measures = []
     for c in columns:
         x = F.col(c).cast("double")

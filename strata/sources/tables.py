@@ -5,15 +5,15 @@ one-row entry stands in `<root>/<layer>/<table>__commits/version=N`. Data is wri
 entry last, so a job that dies in between leaves nothing visible and the next attempt writes
 the same version again. One writer per table.
 
-Snapshot tables (silver, gold): version N is directory N alone, with its own schema.
-Append tables (bronze): version N is all directories up to N.
+A snapshot replaces the table and its schema; an append adds to it. The table as of version N
+is the latest snapshot up to N and all appends after it, up to N.
 """
 
 import json
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -35,56 +35,79 @@ class Commit:
     rows: int
 
 
+@dataclass(frozen=True)
+class State:
+    """What the table is made of as of a version: directories first..version."""
+
+    first: int
+    version: int
+    schema: StructType
+    metrics: dict[str, str]
+
+
 def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
+def _is_missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def commits(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
     """All commit entries; raises path-not-found for a table that was never written."""
     return spark.read.schema(COMMIT).parquet(table_path(root, layer, name) + "__commits")
 
 
-def _is_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+def state(
+    spark: SparkSession, root: str, layer: str, name: str, version: int | None = None
+) -> State:
+    """The table as of a version (default: the latest); one row reaches the driver."""
+    entries = commits(spark, root, layer, name)
+    if version is not None:
+        entries = entries.where(F.col("version") <= version)
+    row = entries.agg(
+        F.max("version").alias("version"),
+        F.max(F.when(F.col("kind") == SNAPSHOT, F.col("version"))).alias("snapshot"),
+        F.max_by("schema_json", "version").alias("schema_json"),
+        F.max_by("operationMetrics", "version").alias("metrics"),
+    ).first()
+    if row.version is None or version not in (None, row.version):
+        raise ValueError(f"{layer}.{name} has no version {version}")
+    schema = StructType.fromJson(json.loads(row.schema_json))
+    return State(row.snapshot or 0, row.version, schema, row.metrics)
 
 
-def _commit_row(spark, root, layer, name, version=None) -> Row | None:
-    """The entry of a version, by default the latest; one row."""
+def latest(spark: SparkSession, root: str, layer: str, name: str) -> State | None:
+    """The latest state, or None for a table that was never written."""
     try:
-        entries = commits(spark, root, layer, name)
+        return state(spark, root, layer, name)
     except AnalysisException as error:
         if _is_missing(error):
             return None
         raise
-    if version is not None:
-        entries = entries.where(F.col("version") == version)
-    return entries.orderBy(F.desc("version")).limit(1).first()
 
 
-def latest_version(spark: SparkSession, root: str, layer: str, name: str) -> int:
-    """Number of the latest version, -1 when there is none."""
-    row = _commit_row(spark, root, layer, name)
-    return -1 if row is None else row.version
+def read_versions(
+    spark: SparkSession, path: str, schema: StructType, first: int, last: int
+) -> DataFrame:
+    """Rows of the version directories first..last; the others are pruned."""
+    with_version = StructType(schema.fields + [StructField("_version", LongType())])
+    return (
+        spark.read.schema(with_version).parquet(path)
+        .where(F.col("_version").between(first, last))
+        .drop("_version")
+    )
 
 
 def read_table(
     spark: SparkSession, root: str, layer: str, name: str, version: int | None = None
 ) -> DataFrame:
     """The table as of a version (default: the latest)."""
-    commits(spark, root, layer, name)  # path-not-found for an unknown table
-    row = _commit_row(spark, root, layer, name, version)
-    if row is None:
-        raise ValueError(f"{layer}.{name} has no version {version}")
+    at = state(spark, root, layer, name, version)
     path = table_path(root, layer, name)
-    schema = StructType.fromJson(json.loads(row.schema_json))
-    if row.kind == SNAPSHOT:
-        return spark.read.schema(schema).parquet(f"{path}/_version={row.version}")
-    with_version = StructType(schema.fields + [StructField("_version", LongType())])
-    return (
-        spark.read.schema(with_version).parquet(path)
-        .where(F.col("_version") <= row.version)
-        .drop("_version")
-    )
+    if at.first == at.version:
+        return spark.read.schema(at.schema).parquet(f"{path}/_version={at.version}")
+    return read_versions(spark, path, at.schema, at.first, at.version)
 
 
 def try_read_table(
@@ -101,7 +124,7 @@ def try_read_table(
 
 def write_version(
     df: DataFrame, root: str, layer: str, name: str, version: int, kind: str, operation: str,
-    query_id: str | None = None, batch_id: int | None = None,
+    query_id: str | None = None, batch_id: int | None = None, **metrics: int,
 ) -> Commit:
     """Write one version and its entry. Both writes replace what an earlier attempt left.
 
@@ -113,12 +136,15 @@ def write_version(
     data = f"{path}/_version={version}"
     df.write.mode("overwrite").parquet(data)
     rows = df.sparkSession.read.schema(df.schema).parquet(data).count()
+    noted = {"numOutputRows": rows, **metrics}
     entry = df.sparkSession.range(1).select(
         F.current_timestamp().alias("timestamp"),
         F.lit(operation).alias("operation"),
         F.lit(kind).alias("kind"),
         F.lit(df.schema.json()).alias("schema_json"),
-        F.create_map(F.lit("numOutputRows"), F.lit(str(rows))).alias("operationMetrics"),
+        F.create_map(*[F.lit(str(x)) for pair in noted.items() for x in pair]).alias(
+            "operationMetrics"
+        ),
         F.lit(query_id).cast("string").alias("query_id"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
     )
@@ -126,10 +152,17 @@ def write_version(
     return Commit(layer, name, version, rows)
 
 
-def write_snapshot(df: DataFrame, root: str, layer: str, name: str) -> Commit:
+def write_snapshot(df: DataFrame, root: str, layer: str, name: str, **metrics: int) -> Commit:
     """Replace the table and its schema; older versions stay readable."""
-    version = latest_version(df.sparkSession, root, layer, name) + 1
-    return write_version(df, root, layer, name, version, SNAPSHOT, "WRITE")
+    before = latest(df.sparkSession, root, layer, name)
+    version = before.version + 1 if before else 0
+    return write_version(df, root, layer, name, version, SNAPSHOT, "OVERWRITE", **metrics)
+
+
+def append_rows(df: DataFrame, root: str, layer: str, name: str, **metrics: int) -> Commit:
+    """Add rows to an existing table."""
+    version = state(df.sparkSession, root, layer, name).version + 1
+    return write_version(df, root, layer, name, version, APPEND, "APPEND", **metrics)
 
 
 def history(spark: SparkSession, root: str, layer: str, name: str, n: int = 10) -> DataFrame:
@@ -142,25 +175,27 @@ def history(spark: SparkSession, root: str, layer: str, name: str, n: int = 10)
     )
 
 
+def register_table(
+    spark: SparkSession, root: str, layer: str, name: str, version: int | None = None
+) -> str:
+    """View `layer.name` over the latest version, or `layer.name_vN` over version N."""
+    at = state(spark, root, layer, name, version)
+    columns = ", ".join(f"`{c}`" for c in at.schema.names)
+    view = f"{layer}.{name}" if version is None else f"{layer}.{name}_v{version}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root.rstrip('/')}/{layer}'")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {view} AS "
+        f"SELECT {columns} FROM parquet.`{table_path(root, layer, name)}` "
+        f"WHERE _version BETWEEN {at.first} AND {at.version}"
+    )
+    return view
+
+
 def register_layers(spark: SparkSession, root: str) -> list[str]:
-    """One database per layer and one view per committed table, over its latest version."""
-    names = []
-    for layer, tables in LAYERS.items():
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root.rstrip('/')}/{layer}'")
-        for name in tables:
-            row = _commit_row(spark, root, layer, name)
-            if row is None:
-                continue
-            path = table_path(root, layer, name)
-            schema = StructType.fromJson(json.loads(row.schema_json))
-            columns = ", ".join(f"`{c}`" for c in schema.names)
-            if row.kind == SNAPSHOT:
-                source, condition = f"{path}/_version={row.version}", "true"
-            else:
-                source, condition = path, f"_version <= {row.version}"
-            spark.sql(
-                f"CREATE OR REPLACE VIEW {layer}.{name} AS "
-                f"SELECT {columns} FROM parquet.`{source}` WHERE {condition}"
-            )
-            names.append(f"{layer}.{name}")
-    return names
+    """A view of every committed table by its name. Call it again after a refresh."""
+    return [
+        register_table(spark, root, layer, name)
+        for layer, names in LAYERS.items()
+        for name in names
+        if latest(spark, root, layer, name) is not None
+    ]

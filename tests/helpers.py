@@ -1,0 +1,69 @@
+"""Literal frames for the operator tests."""
+
+import json
+from datetime import datetime, timezone
+
+from strata.schemas import ENVELOPE, KAFKA_RECORD
+
+T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+def order(order_id="o1", **fields):
+    return {
+        "event_type": "order", "order_id": order_id, "user_id": "U00001", "session_id": "s",
+        "product_id": "P0001", "product_name": "lamp", "category": "Home", "quantity": 1,
+        "unit_price": 10.0, "total_amount": 10.0, "currency": "USD", "status": "completed",
+        "payment_method": "paypal", "country": "US",
+        "timestamp": "2024-01-02T03:04:05.678901+00:00", "kafka_key": "k", **fields,
+    }
+
+
+def click(click_id="c1", **fields):
+    return {
+        "event_type": "click", "click_id": click_id, "user_id": "U00001", "session_id": "s",
+        "product_id": "P0001", "product_name": "lamp", "category": "Home", "page": "home",
+        "referrer": "google", "device": "mobile", "duration_ms": 700, "converted": False,
+        "timestamp": "2024-01-02T03:04:05.678901+00:00", **fields,
+    }
+
+
+def bronze(spark, payloads, topic="orders", partition=0):
+    """Raw rows of the payloads (dicts or raw texts), offsets in list order."""
+    rows = [
+        ("k", p if p is None or isinstance(p, str) else json.dumps(p), topic, partition, i, T0, T0)
+        for i, p in enumerate(payloads)
+    ]
+    return spark.createDataFrame(rows, ENVELOPE)
+
+
+def records(spark, payloads, topic="orders", first=0):
+    rows = [
+        (bytearray(b"k"), bytearray(json.dumps(p).encode()), topic, 0, first + i, T0)
+        for i, p in enumerate(payloads)
+    ]
+    return spark.createDataFrame(rows, KAFKA_RECORD)
+
+
+SILVER_ORDERS = """order_id string, user_id string, product_id string, product_name string,
+    category string, quantity int, unit_price double, total_amount double, status string,
+    event_ts timestamp"""
+
+
+def silver_orders(spark, rows):
+    """rows: (order_id, user_id, product_id, amount, status, event_ts)."""
+    full = [
+        (o, u, p, f"name {p}", "Home", 2, 1.5, a, s, ts) for o, u, p, a, s, ts in rows
+    ]
+    return spark.createDataFrame(full, SILVER_ORDERS)
+
+
+SILVER_CLICKS = """click_id string, user_id string, session_id string, page string,
+    converted boolean"""
+
+
+def silver_clicks(spark, rows):
+    return spark.createDataFrame(rows, SILVER_CLICKS)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
