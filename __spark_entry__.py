@@ -99,10 +99,11 @@ def split(spark, sf):
     return features.stratified_split(features.user_features(stored_users(spark, sf)[1], THRESHOLD))
 
 
-def pseudo_scored(spark, sf):
+def pseudo_scored(spark, sf, users_table=None):
     """Users with a score that any engine can reproduce, many ties, 0 and 1 included."""
     bucket = scalars.key_hash(F.col("user_id"), 42) % 101
-    return user_features(spark, sf).select(
+    rows = users(spark, sf) if users_table is None else users_table
+    return features.user_features(rows, THRESHOLD).select(
         "user_id", LABEL, (bucket / F.lit(100.0)).alias("score"),
         (bucket >= 50).cast("int").alias("prediction"),
     )
@@ -192,12 +193,30 @@ def table_scan(spark, sf):
     return shown(back.select("order_id", "user_id", "status", "total_amount", "event_ts"))
 
 
-def version_scan(spark, sf):
-    """Two snapshots of different content, each read back by its version."""
+def silver_incremental(spark, sf):
+    """The click topic arrives in two parts; the second refresh reads only the second part."""
+    root = scratch_root(spark, "layers")
+    records = derived_topics.click_records(spark, sf)
+    # An event with an even number comes first, its replay (odd offset) in the second part.
+    for part in (0, 1):
+        records.where(F.col("offset") % 2 == part).write.mode("append").parquet(f"{root}/topics/clicks")
+        stream_topic(spark, root, "clicks")
+        extend_silver(spark, root)
+    return shown(tables.read_table(spark, root, "silver", "clicks")).drop("timestamp")
+
+
+def two_versions(spark, sf):
+    """silver.orders as of all completed, then of all refunded orders."""
     root = scratch_root(spark, "versions")
+    tables.write_snapshot(orders(spark, sf), root, "clean", "orders")
     for status in ("completed", "refunded"):
-        chosen = orders(spark, sf).where(F.col("status") == status)
+        chosen = tables.read_table(spark, root, "clean", "orders").where(F.col("status") == status)
         tables.write_snapshot(chosen, root, "silver", "orders")
+    return root
+
+
+def version_scan(spark, sf):
+    root = two_versions(spark, sf)
     both = None
     for version in (0, 1):
         part = tables.read_table(spark, root, "silver", "orders", version).agg(
@@ -208,21 +227,22 @@ def version_scan(spark, sf):
     return both
 
 
-def silver_incremental(spark, sf):
-    """The click topic arrives in two parts; the second refresh reads only the second part."""
-    root = scratch_root(spark, "layers")
-    records = derived_topics.click_records(spark, sf)
-    # An event with an even number comes first, its replay (odd offset) in the second part.
-    for part in (0, 1):
-        records.where(F.col("offset") % 2 == part).write.mode("append").parquet(f"{root}/topics/clicks")
-        stream_topic(spark, root, "clicks")
-        extend_silver(spark, root)
-    return shown(tables.read_table(spark, root, "silver", "clicks")).drop("timestamp")
+def table_history(spark, sf):
+    commits = tables.history(spark, two_versions(spark, sf), "silver", "orders")
+    return commits.select(
+        "version", "operation", F.col("timestamp").isNotNull().alias("dated"),
+        F.col("operationMetrics")["numOutputRows"].cast("bigint").alias("row_count"),
+    )
 
 
-def table_history(spark, sf):
-    root = stream_topic(spark, stored_topics(spark, sf, ["clicks"]), "clicks")
-    return tables.history(spark, root, "bronze", "clicks")
+def optional_scan(spark, sf):
+    """No click table was ever written: the user measures do without it."""
+    root = scratch_root(spark, "optional")
+    tables.write_snapshot(orders(spark, sf), root, "silver", "orders")
+    return shown(gold.user_metrics(
+        tables.try_read_table(spark, root, "silver", "orders"),
+        tables.try_read_table(spark, root, "silver", "clicks"),
+    ))
 
 
 def named_table_sql(spark, sf):
@@ -361,6 +381,7 @@ def queries() -> dict[str, Query]:
         # sources
         "stream_scan": stream_scan,
         "table_scan": table_scan,
+        "optional_scan": optional_scan,
         "version_scan": version_scan,
         "table_history": table_history,
         "named_table_sql": named_table_sql,
@@ -484,7 +505,8 @@ def queries() -> dict[str, Query]:
         "feature_importance": lambda s, d: models.importances(fitted(s, d, [models.FOREST]).best, s),
         "score_all_users": lambda s, d: logistic_scores(s, d).scored,
         "segment_distribution": lambda s, d: evaluate.segment_distribution(pseudo_scored(s, d), "score"),
-        "score_histogram": lambda s, d: evaluate.histogram(pseudo_scored(s, d), "score"),
+        "score_histogram": lambda s, d: evaluate.histogram(
+            pseudo_scored(s, d, stored_users(s, d)[1]), "score"),
         # streaming
         "stream_two_topics": stream_two_topics,
         "stream_resume": stream_resume,

@@ -258,6 +258,19 @@ def bronze_columns(topic_cte, topic, ts):
     return f"""SELECT '{topic}' AS topic, part_no, off_no, {ts} AS kafka_timestamp FROM {topic_cte}"""
 
 
+def schema_lines():
+    """Columns of gold.user_metrics in order."""
+    columns = (
+        "user_id string, total_orders bigint, completed_orders bigint, cancelled_orders bigint, "
+        "total_spend double, avg_order_value double, last_order_ts timestamp, first_order_ts timestamp, "
+        "unique_products_bought bigint, total_clicks bigint, converted_clicks bigint, "
+        "total_sessions bigint, conversion_rate double, updated_at timestamp"
+    ).split(", ")
+    return " UNION ALL ".join(
+        f"SELECT {i} AS position, '{c.split()[0]}' AS column_name, '{c.split()[1]}' AS data_type, true AS nullable"
+        for i, c in enumerate(columns))
+
+
 def statements():
     users_without_clicks = ctes(ORDERS, USER_ORDERS) + """ SELECT *, NULL::BIGINT AS total_clicks,
       NULL::BIGINT AS converted_clicks, NULL::BIGINT AS total_sessions,
@@ -277,6 +290,11 @@ def statements():
             SELECT v AS version, count(*) AS row_count, CAST(sum(CAST(round(total_amount * 100) AS BIGINT))
               AS BIGINT) / 100.0::DOUBLE AS revenue
             FROM so JOIN (VALUES (0, 'completed'), (1, 'refunded')) t(v, st) ON st = status GROUP BY v)""",
+        "optional_scan": users_without_clicks,
+        "table_history": SO + """ SELECT CASE status WHEN 'completed' THEN 0 ELSE 1 END::BIGINT AS version,
+            'OVERWRITE' AS operation, true AS dated, count(*) AS row_count FROM so
+            WHERE status IN ('completed', 'refunded') GROUP BY status""",
+        "describe_schema": schema_lines(),
         "named_table_sql": ctes(CLICKS, FUNNEL) + " SELECT page, visits, conversion_rate FROM fu WHERE visits > 0",
         # sinks and encoding
         "bronze_append": clicks_raw + " " + bronze_columns("click_raw", "clicks", "event_ts"),

@@ -130,3 +130,18 @@ def test_completed_filter_and_columns_reach_the_scan(spark, tmp_path):
     plan = plan_of(gold.daily_revenue(spark.read.parquet(str(tmp_path / "o"))))
     assert "EqualTo(status,completed)" in plan
     assert "ReadSchema: struct<order_id:string,user_id:string,total_amount:double,status:string,event_ts:timestamp>" in plan
+
+
+def test_large_join_reuses_the_grouping(spark, tmp_path):
+    """Beyond the broadcast size the two grouped sides are merged without another shuffle."""
+    silver_orders(spark, [("a", "u1", "p1", 3.0, "completed", D1)]).write.parquet(str(tmp_path / "o"))
+    silver_clicks(spark, [("c1", "u1", "s1", "home", True)]).write.parquet(str(tmp_path / "c"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = gold.user_metrics(spark.read.parquet(str(tmp_path / "o")), spark.read.parquet(str(tmp_path / "c")))
+        plan = plan_of(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan
+    assert plan.count("Exchange hashpartitioning(user_id") == 4  # Two per side: distinct, then group.
