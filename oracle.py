@@ -287,7 +287,7 @@ def statements():
         "stream_scan": clicks_raw + " " + bronze_columns("click_raw", "clicks", "event_ts"),
         "table_scan": orders_back,
         "version_scan": SO + """ SELECT version, row_count, revenue FROM (
-            SELECT v AS version, count(*) AS row_count, CAST(sum(CAST(round(total_amount * 100) AS BIGINT))
+            SELECT v::BIGINT AS version, count(*) AS row_count, CAST(sum(CAST(round(total_amount * 100) AS BIGINT))
               AS BIGINT) / 100.0::DOUBLE AS revenue
             FROM so JOIN (VALUES (0, 'completed'), (1, 'refunded')) t(v, st) ON st = status GROUP BY v)""",
         "optional_scan": users_without_clicks,

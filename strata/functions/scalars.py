@@ -32,10 +32,10 @@ def rate(part: Column, whole: Column) -> Column:
 
 def segment(score: Column) -> Column:
     """Label of the score's bin; a score of exactly 0, above 1 or NULL has none."""
-    label = F
-    for name, low, high in SEGMENTS:
-        label = label.when((score > F.lit(low)) & (score <= F.lit(high)), F.lit(name))
-    return label
+    return F.coalesce(*[
+        F.when((score > F.lit(low)) & (score <= F.lit(high)), F.lit(name))
+        for name, low, high in SEGMENTS
+    ])
 
 
 def key_hash(key: Column, seed: int) -> Column:

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.money import exact_sum, minor_units
 from strata.operators.silver import completed
 
 
@@ -27,16 +28,16 @@ def status_distribution(orders: DataFrame) -> DataFrame:
 
 
 def category_revenue(orders: DataFrame) -> DataFrame:
-    """Completed orders per category, by revenue. Sums are of cents; the mean is not rounded."""
-    amount = F.round(F.col("total_amount") * 100).try_cast("bigint")
-    revenue = F.sum(amount) / F.lit(100.0)
+    """Completed orders per category, by revenue. The mean is not rounded."""
+    amount = F.col("total_amount")
+    revenue = exact_sum(amount)
     return (
         completed(orders)
         .groupBy("category")
         .agg(
             F.count("order_id").alias("orders"),
             revenue.alias("revenue"),
-            F.try_divide(revenue, F.count(amount)).alias("avg_value"),
+            F.try_divide(revenue, F.count(minor_units(amount))).alias("avg_value"),
         )
         .orderBy(F.desc_nulls_last("revenue"), "category")
     )

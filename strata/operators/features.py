@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.scalars import key_hash
@@ -43,36 +43,39 @@ def stratified_split(
     A rank over a whole class would sort half of the data in one task. Instead the rows are
     counted per class and hash bucket (65,536 buckets, so that result is small whatever the
     input), the bucket in which the cut falls is ranked alone, and every row is compared with
-    the cut. The wide rows are never shuffled.
+    the cut of its class. Both steps give one entry per class, used as a scalar subquery: the
+    rows are scanned three times and the wide ones are never shuffled.
     """
     hashed = df.withColumn("_hash", key_hash(F.col(key), seed))
-    slim = hashed.select(
-        F.col(label), F.col(key).alias("_key"), "_hash",
+    slim = hashed.where(F.col(label).isin(*classes)).select(
+        F.col(label).alias("_class"), F.col(key).alias("_key"), "_hash",
         F.shiftright("_hash", 16).alias("_bucket"),
     )
-    per_bucket = slim.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    by_bucket = Window.partitionBy(label).orderBy("_bucket")
-    running = per_bucket.select(
-        label, "_bucket", "_n",
-        F.sum("_n").over(by_bucket).alias("_upto"),
-        F.round(F.sum("_n").over(Window.partitionBy(label)) * F.lit(float(test)))
-        .cast("bigint").alias("_take"),
+    per_bucket = slim.groupBy("_class", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    in_class = Window.partitionBy("_class")
+    edges = per_bucket.select(
+        "_class", "_bucket", "_n",
+        F.sum("_n").over(in_class.orderBy("_bucket")).alias("_upto"),
+        F.round(F.sum("_n").over(in_class) * F.lit(float(test))).cast("bigint").alias("_take"),
     ).where("_upto - _n < _take and _take <= _upto")
 
-    is_test = F.lit(False)
-    for value in classes:
-        edge = running.where(F.col(label) == value)
-        ranked = slim.where(
-            (F.col(label) == value) & (F.col("_bucket") == edge.select("_bucket").scalar())
-        ).withColumn(
-            "_rank", F.row_number().over(Window.partitionBy(label).orderBy("_hash", "_key"))
-        )
-        needed = edge.select(F.col("_take") - F.col("_upto") + F.col("_n")).scalar()
-        cut = ranked.where(F.col("_rank") == needed)
-        place = F.struct(F.col("_hash"), F.col(key).alias("_key"))
-        below = place <= cut.select(F.struct("_hash", "_key")).scalar()
-        is_test = is_test | ((F.col(label) == value) & F.coalesce(below, F.lit(False)))
-    return hashed.withColumn("is_test", is_test).drop("_hash")
+    edge = F.struct("_bucket", (F.col("_take") - F.col("_upto") + F.col("_n")).alias("_rank"))
+    edge = F.try_element_at(_by_class(edges, edge), "_class")
+    rank = F.row_number().over(in_class.orderBy("_hash", "_key"))
+    cuts = (
+        slim.where(F.col("_bucket") == edge["_bucket"])
+        .withColumn("_rank", rank)
+        .where(F.col("_rank") == edge["_rank"])
+    )
+    cut = F.try_element_at(_by_class(cuts, F.struct("_hash", "_key")), F.col(label))
+    below = F.struct(F.col("_hash"), F.col(key).alias("_key")) <= cut
+    return hashed.withColumn("is_test", F.coalesce(below, F.lit(False))).drop("_hash")
+
+
+def _by_class(rows: DataFrame, value: Column) -> Column:
+    """Scalar subquery: map from class to value, of rows that are one per class."""
+    entries = F.collect_list(F.struct(F.col("_class"), value))
+    return rows.agg(F.map_from_entries(entries)).scalar()
 
 
 def split_sizes(split: DataFrame) -> DataFrame:
@@ -107,6 +110,7 @@ def scale(df: DataFrame, scaler: Scaler, prefix: str = "scaled_") -> DataFrame:
 
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+SUMMARY = ("feature", "count", "mean", "std", "min", *QUARTILES, "max")
 
 
 def summarize(
@@ -165,9 +169,6 @@ def summarize(
     return known.join(_at_ranks(df, targets), "feature", "left").select(*SUMMARY)
 
 
-SUMMARY = ("feature", "count", "mean", "std", "min", *QUARTILES, "max")
-
-
 def _at_ranks(df: DataFrame, targets: list[tuple]) -> DataFrame:
     """Per feature, the value at each (fractional) rank counted from the start of its bracket."""
     hits = F.array_compact(F.array(*[

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.scalars import parse_instant
-from strata.schemas import CLICK_PAYLOAD, DEFAULT_REFERRER, ORDER_PAYLOAD, ORDER_STATUSES, POSITION
+from strata.schemas import (
+    CLICK_PAYLOAD, COMPLETED, DEFAULT_REFERRER, ORDER_PAYLOAD, ORDER_STATUSES, POSITION,
+)
 
 
 def parse_payload(bronze: DataFrame, schema: str) -> DataFrame:
@@ -45,7 +47,7 @@ def valid_clicks(events: DataFrame) -> DataFrame:
 
 
 def completed(orders: DataFrame) -> DataFrame:
-    return orders.where(F.col("status") == "completed")
+    return orders.where(F.col("status") == COMPLETED)
 
 
 def silver_orders(bronze: DataFrame, clock: Column | None = None) -> DataFrame:

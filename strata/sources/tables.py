@@ -37,12 +37,16 @@ class Commit:
 
 @dataclass(frozen=True)
 class State:
-    """What the table is made of as of a version: directories first..version."""
+    """What the table is made of as of a version: directories first..version.
+
+    `snapshots` tells whether the table was ever replaced, so that its schema may have changed.
+    """
 
     first: int
     version: int
     schema: StructType
     metrics: dict[str, str]
+    snapshots: bool
 
 
 def table_path(root: str, layer: str, name: str) -> str:
@@ -62,19 +66,20 @@ def state(
     spark: SparkSession, root: str, layer: str, name: str, version: int | None = None
 ) -> State:
     """The table as of a version (default: the latest); one row reaches the driver."""
-    entries = commits(spark, root, layer, name)
-    if version is not None:
-        entries = entries.where(F.col("version") <= version)
-    row = entries.agg(
-        F.max("version").alias("version"),
-        F.max(F.when(F.col("kind") == SNAPSHOT, F.col("version"))).alias("snapshot"),
-        F.max_by("schema_json", "version").alias("schema_json"),
-        F.max_by("operationMetrics", "version").alias("metrics"),
+    upto = F.lit(True) if version is None else F.col("version") <= version
+    at = F.when(upto, F.col("version"))
+    is_snapshot = F.col("kind") == SNAPSHOT
+    row = commits(spark, root, layer, name).agg(
+        F.max(at).alias("version"),
+        F.max(F.when(is_snapshot, at)).alias("snapshot"),
+        F.max_by("schema_json", at).alias("schema_json"),
+        F.max_by("operationMetrics", at).alias("metrics"),
+        F.coalesce(F.bool_or(is_snapshot), F.lit(False)).alias("snapshots"),
     ).first()
     if row.version is None or version not in (None, row.version):
         raise ValueError(f"{layer}.{name} has no version {version}")
     schema = StructType.fromJson(json.loads(row.schema_json))
-    return State(row.snapshot or 0, row.version, schema, row.metrics)
+    return State(row.snapshot or 0, row.version, schema, row.metrics, row.snapshots)
 
 
 def latest(spark: SparkSession, root: str, layer: str, name: str) -> State | None:
@@ -182,11 +187,16 @@ def register_table(
     at = state(spark, root, layer, name, version)
     columns = ", ".join(f"`{c}`" for c in at.schema.names)
     view = f"{layer}.{name}" if version is None else f"{layer}.{name}_v{version}"
+    source, condition = table_path(root, layer, name), "true"
+    if at.snapshots:  # Name the directories: others may have another schema.
+        numbers = ",".join(str(v) for v in range(at.first, at.version + 1))
+        source += f"/_version={{{numbers}}}"
+    else:
+        condition = f"_version <= {at.version}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root.rstrip('/')}/{layer}'")
     spark.sql(
         f"CREATE OR REPLACE VIEW {view} AS "
-        f"SELECT {columns} FROM parquet.`{table_path(root, layer, name)}` "
-        f"WHERE _version BETWEEN {at.first} AND {at.version}"
+        f"SELECT {columns} FROM parquet.`{source}` WHERE {condition}"
     )
     return view
 

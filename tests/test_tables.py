@@ -85,3 +85,25 @@ def test_names(spark, root):
     assert spark.sql("SELECT sum(x) FROM gold.funnel").first()[0] == 3
     assert spark.sql("SELECT sum(x) FROM gold.funnel_v0").first()[0] == 3
     assert spark.sql("SELECT count(*) FROM gold.funnel_v0").first()[0] == 2
+
+
+def test_views_keep_the_schema_of_their_version(spark, root):
+    tables.write_snapshot(numbers(spark, 1, 2), root, "gold", "funnel")
+    tables.append_rows(numbers(spark, 4), root, "gold", "funnel")
+    tables.write_snapshot(numbers(spark, 7, name="y"), root, "gold", "funnel")
+    tables.append_rows(numbers(spark, 8, name="y"), root, "gold", "funnel")
+    for version, column, total in ((0, "x", 3), (1, "x", 7), (2, "y", 7), (3, "y", 15)):
+        view = tables.register_table(spark, root, "gold", "funnel", version)
+        assert spark.sql(f"SELECT sum({column}) FROM {view}").first()[0] == total
+    assert tables.register_layers(spark, root) == ["gold.funnel"]
+    assert spark.sql("SELECT sum(y) FROM gold.funnel").first()[0] == 15
+
+
+def test_view_of_an_appended_table(spark, root):
+    for v in range(3):
+        tables.write_version(numbers(spark, v), root, "bronze", "orders", v, tables.APPEND, "STREAMING UPDATE")
+    numbers(spark, 666).write.parquet(tables.table_path(root, "bronze", "orders") + "/_version=3")
+    tables.register_table(spark, root, "bronze", "orders", 1)
+    tables.register_layers(spark, root)
+    assert spark.sql("SELECT sum(x) FROM bronze.orders").first()[0] == 3
+    assert spark.sql("SELECT sum(x) FROM bronze.orders_v1").first()[0] == 1
