@@ -35,7 +35,7 @@ def category_revenue(orders: DataFrame) -> DataFrame:
         completed(orders)
         .groupBy("category")
         .agg(
-            F.count("order_id").alias("orders"),
+            F.count(F.lit(1)).alias("orders"),
             revenue.alias("revenue"),
             F.try_divide(revenue, F.count(minor_units(amount))).alias("avg_value"),
         )

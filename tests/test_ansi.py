@@ -1,0 +1,36 @@
+"""The results do not depend on ANSI mode."""
+
+import pytest
+from helpers import bronze, click, order
+from pyspark.sql import functions as F
+from strata.functions.money import exact_mean, exact_sum
+from strata.operators import features, gold, silver
+
+
+@pytest.fixture(params=["true", "false"])
+def mode(spark, request):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_layers(spark, mode):
+    payloads = [order("a"), order("b", timestamp="bad"), order("c", quantity=3_000_000_000)]
+    orders = silver.silver_orders(bronze(spark, payloads))
+    assert {r.order_id: r.quantity for r in orders.collect()} == {"a": 1, "b": 1, "c": None}
+    clicks = silver.silver_clicks(bronze(spark, [click()], "clicks"))
+    row = gold.user_metrics(orders, clicks).first()
+    assert (row.total_orders, row.total_spend, row.conversion_rate) == (3, 30.0, 1.5)
+    assert features.user_features(gold.user_metrics(orders, None)).first().total_clicks == 0
+
+
+def test_amounts_without_exact_form(spark, mode):
+    df = spark.createDataFrame([(float("nan"),), (1e300,), (float("-inf"),), (2.5,)], "x double")
+    row = df.agg(exact_sum(F.col("x")).alias("s"), exact_mean(F.col("x")).alias("m")).first()
+    assert (row.s, row.m) == (2.5, 2.5)
+
+
+def test_split(spark, mode):
+    df = spark.range(50).select(F.col("id").cast("string").alias("user_id"), F.lit(1).alias("is_high_value"))
+    assert features.stratified_split(df).where("is_test").count() == 10
