@@ -108,7 +108,11 @@ def read_table(
     spark: SparkSession, root: str, layer: str, name: str, version: int | None = None
 ) -> DataFrame:
     """The table as of a version (default: the latest)."""
-    at = state(spark, root, layer, name, version)
+    return read_at(spark, root, layer, name, state(spark, root, layer, name, version))
+
+
+def read_at(spark: SparkSession, root: str, layer: str, name: str, at: State) -> DataFrame:
+    """The table in a state that was looked up before."""
     path = table_path(root, layer, name)
     if at.first == at.version:
         return spark.read.schema(at.schema).parquet(f"{path}/_version={at.version}")
