@@ -27,6 +27,13 @@ from strata.sources import derived_topics, tables  # noqa: E402
 from strata.sources.scratch import scratch_root  # noqa: E402
 from strata.streaming import ingest  # noqa: E402
 
+try:
+    from strata.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("strata.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 THRESHOLD = 500_000.0  # The given prices are far above those the default of 200 is meant for.
@@ -518,9 +525,9 @@ def queries() -> dict[str, Query]:
         "gold_refresh": gold_refresh,
         "run_once": refresh_all,
         "propensity": propensity_scores,
-    }
+    } | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB statements by query key; the others are checked for rows only."""
-    return oracle.statements()
+    return oracle.statements() | (llm.oracle_sql() if llm else {})
