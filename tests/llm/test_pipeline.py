@@ -1,0 +1,34 @@
+import corpus
+import corpus_pipeline
+import pytest
+from strata.llm.shared import table
+
+
+def test_stages_and_run_agree(spark, tmp_path):
+    rows = [r for r in corpus.awkward(3, 240)]
+    corpus.frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    item = next(r[1] for r in rows if r[0] == 20)
+    spark.createDataFrame([(1, " ".join(item.split()[:30])), (2, None)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = table(spark, str(tmp_path), "documents")
+    columns, counts = docs.columns, [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == columns, name
+        counts.append(docs.count())
+    assert counts[0] > counts[1] == counts[2] > counts[3] > counts[4]
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == columns + ["size", "source_size", "target", "taken"]
+    assert sorted(str(r["doc_id"]) for r in out.collect()) == sorted(str(r["doc_id"]) for r in docs.collect())
+    assert 20 not in [r["doc_id"] for r in out.collect()]
+
+
+def test_names():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "simhash near-dedup", "benchmark decontamination", "mixing"]
+
+
+def test_empty_tables(spark, tmp_path):
+    corpus.frame(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    with pytest.raises(Exception):
+        corpus_pipeline.run(spark, str(tmp_path / "nowhere"))
