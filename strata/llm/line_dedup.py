@@ -68,7 +68,7 @@ def variants(words: list[bytes]) -> tuple[int, np.ndarray]:
     n = len(words)
     hashed = np.fromiter((xxh64_intdigest(w, 5) for w in words), np.uint64, n)
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.concatenate(([1], np.full(n - 1, BASE, np.uint64))).astype(np.uint64))
+        powers = np.cumprod(np.array([1] + [BASE] * (n - 1), np.uint64), dtype=np.uint64)
         upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashed * powers, dtype=np.uint64)))
         without = upto[:-1] + (upto[-1] - upto[1:]) * np.uint64(INVERSE)
     return signed(int(upto[-1])), without.view(np.int64)
@@ -120,14 +120,13 @@ def variants_of(lines: DataFrame) -> DataFrame:
 
     def of(frames):
         for frame in frames:
-            for _, r in frame.iterrows():
-                whole, without = variants([w.encode() for w in r["words"]])
-                n = len(without)
-                out = pd.DataFrame({"hash": np.append(without, whole), "left_out": np.append(np.arange(n), -1)})
-                for c in (*PLACE, *KEY):
-                    out[c] = r[c]
-                out["n"] = n
-                yield out[["hash", "left_out", *PLACE, *KEY, "n"]]
+            made = [variants([w.encode() for w in words]) for words in frame["words"]]
+            sizes = np.array([len(without) for _, without in made])
+            out = frame[[*PLACE, *KEY]].loc[frame.index.repeat(sizes + 1)]
+            out.insert(0, "hash", np.concatenate([np.append(without, whole) for whole, without in made]))
+            out.insert(1, "left_out", np.concatenate([np.append(np.arange(n), -1) for n in sizes]))
+            out["n"] = np.repeat(sizes, sizes + 1)
+            yield out
 
     return lines.mapInPandas(of, "hash bigint, left_out int, " + LINE + ", n int")
 

@@ -34,7 +34,8 @@ def hashes(text: str, width: int) -> np.ndarray:
 def bit_set(column: Column, rows: DataFrame) -> np.ndarray:
     """The top SET_BITS bits of all hashes in `column` as a set; what reaches the driver is 2 MB at most."""
     word = F.shiftrightunsigned(column, 64 - (SET_BITS - 6)).cast("int")
-    bit = F.shiftleft(F.lit(1).cast("bigint"), F.shiftrightunsigned(column, 64 - SET_BITS).bitwiseAND(F.lit(63)).cast("int"))
+    at = F.shiftrightunsigned(column, 64 - SET_BITS).bitwiseAND(F.lit(63)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), at)
     found = rows.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
     out = np.zeros(1 << (SET_BITS - 6), np.uint64)
     for word, bits in found:

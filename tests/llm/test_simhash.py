@@ -70,7 +70,7 @@ def test_forest_keeps_what_is_connected():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 1, dtype=np.uint64)[0]
     a = np.unique(base ^ (np.uint64(1) << rng.integers(0, 64, 500).astype(np.uint64)))
-    u, v = simhash.links_between(a, a, 4)
+    u, v = simhash.links_between(a[::2], a[1::2], 4)
     assert len(u) == len(a) - 1 and len(set(u.tolist())) == len(u)
 
 
