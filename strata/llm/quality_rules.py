@@ -202,8 +202,9 @@ def robust(rows: DataFrame) -> DataFrame:
     usable = rows.where(~F.col("base_failed")).select(*GROUP, *X)
     parameters = store(first_parameters(usable), "quality-start")
     for _ in range(STEPS):
-        parameters = store(parameters_of(concentrated(by_bucket(distances(usable, parameters)))), "quality-step")
-    scale = scales(by_bucket(distances(usable, parameters)))
+        buckets = store(by_bucket(distances(usable, parameters)), "quality-buckets")
+        parameters = store(parameters_of(concentrated(buckets)), "quality-step")
+    scale = scales(store(by_bucket(distances(usable, parameters)), "quality-buckets"))
     return store(parameters.join(scale, "g_lang", "left"), "quality-model")
 
 

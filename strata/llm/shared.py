@@ -28,7 +28,8 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     Cuts the lineage, fixes what a retried task would compute anew, and gives the planner true sizes.
     """
     path = f"{shared_folder(df.sparkSession)}/llm-{purpose}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # zstd frees its buffers with the writer; others leave that to the collection of the heap.
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
