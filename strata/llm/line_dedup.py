@@ -11,8 +11,9 @@ edit distance of these links is verified on the words.
 
 At scale: equal lines are first merged to one row of hashes. Two lines one edit apart agree in their first or last half, so only
 lines that share a hashed half with another distinct line emit variants; variant hashes cost constant time each. Texts of
-these lines are found again through a bit set of fixed size. Links are one for each member of a group, whatever its
-size; hot lines are large sides of joins, which Spark splits.
+these lines, and variants that more than one line has, are found again through bit sets of fixed size, so what is shuffled
+is a hash and a number for each variant once. Links are one for each member of a group, whatever its size; hot
+lines are large sides of joins, which Spark splits.
 
 Cases: null texts stay null; empty texts and texts without a long enough line stay as they are; a text
 whose lines all go becomes empty; repeated rows (same doc_id and text) are one document and stay or lose lines alike; an
@@ -115,35 +116,60 @@ def texts_of(rows: DataFrame, bits: np.ndarray) -> DataFrame:
     return rows.mapInPandas(of, LINE + ", words array<string>")
 
 
-def variants_of(lines: DataFrame) -> DataFrame:
-    """A row for each variant: hash, place of the word left out (-1: none), and the line."""
+def spread_key(hashed: np.ndarray, place_: np.ndarray, n: int) -> np.ndarray:
+    """The hash of a variant with the place of the word left out (-1: any) and the number of words, evenly spread."""
+    with np.errstate(over="ignore"):
+        x = hashed.view(np.uint64) + place_.astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + np.uint64(n) * np.uint64(0xA0761D6478BD642F)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+def changed_keys(whole: int, without: np.ndarray) -> np.ndarray:
+    """Keys that lines of one length share if they differ at one place only."""
+    return spread_key(without, np.arange(len(without)), len(without))
+
+
+def whole_key(whole: int, without: np.ndarray) -> np.ndarray:
+    return spread_key(np.array([whole], np.int64), np.array([-1]), len(without))
+
+
+def shorter_keys(whole: int, without: np.ndarray) -> np.ndarray:
+    """Keys of the lines that this line becomes by leaving out one word."""
+    shorter = np.unique(without)
+    return spread_key(shorter, np.full(len(shorter), -1), len(without) - 1)
+
+
+def variant_rows(lines: DataFrame, keys, bits: np.ndarray | None = None) -> DataFrame:
+    """`key` and `uid` of the variants of `lines` (uid, words), those in the bit set if one is given."""
 
     def of(frames):
         for frame in frames:
-            made = [variants([w.encode() for w in words]) for words in frame["words"]]
-            sizes = np.array([len(without) for _, without in made])
-            out = frame[[*PLACE, *KEY]].loc[frame.index.repeat(sizes + 1)]
-            out.insert(0, "hash", np.concatenate([np.append(without, whole) for whole, without in made]))
-            out.insert(1, "left_out", np.concatenate([np.append(np.arange(n), -1) for n in sizes]))
-            out["n"] = np.repeat(sizes, sizes + 1)
-            yield out
+            made = [keys(*variants([w.encode() for w in words])) for words in frame["words"]]
+            if made:
+                key, uid = np.concatenate(made), np.repeat(frame["uid"].to_numpy(), [len(m) for m in made])
+                keep = slice(None) if bits is None else in_set(key, bits)
+                yield pd.DataFrame({"key": key[keep].view(np.int64), "uid": uid[keep]})
 
-    return lines.mapInPandas(of, "hash bigint, left_out int, " + LINE + ", n int")
+    return lines.select("uid", "words").mapInPandas(of, "key bigint, uid bigint")
 
 
 def place(prefix: str = "") -> Column:
     return F.struct(*[F.col(prefix + c).alias(c) for c in PLACE])
 
 
-def links(variant_rows: DataFrame) -> DataFrame:
-    """Pairs of lines `a`, `b` (place and key) that share a variant: each member with one other of its group."""
-    line = F.struct(*PLACE, *KEY)
-    left = variant_rows.where("left_out >= 0")
-    first = left.groupBy("hash", "left_out", "n").agg(F.min(line).alias("a"), F.count("*").alias("members")).where("members > 1")
-    changed = left.withColumn("b", line).join(first, ["hash", "left_out", "n"]).select("a", "b")
-    whole = variant_rows.where("left_out = -1").select("hash", (F.col("n") + 1).alias("n"), line.alias("a"))
-    shorter = left.withColumn("b", line).join(whole, ["hash", "n"]).select("a", "b")
-    return changed.unionAll(shorter).where("a <> b").distinct()
+def links(lines: DataFrame) -> DataFrame:
+    """Pairs `a`, `b` of lines (uid, words) that share a variant: each member with one other of its group.
+
+    Variants that are alone are counted and then left out: a second pass makes only those that the bit set of
+    shared ones holds.
+    """
+    shared = variant_rows(lines, changed_keys).groupBy("key").agg(F.min("uid").alias("a"), F.count("*").alias("members"))
+    shared = store(shared.where("members > 1").select("key", "a"), "lines-changed")
+    changed = variant_rows(lines, changed_keys, bit_set(F.col("key"), shared)).join(shared, "key")
+    whole = store(variant_rows(lines, whole_key).withColumnRenamed("uid", "a"), "lines-whole")
+    shorter = variant_rows(lines, shorter_keys, bit_set(F.col("key"), whole)).join(whole, "key")
+    return changed.unionByName(shorter).where("a <> uid").select("a", F.col("uid").alias("b")).distinct()
 
 
 def one_edit(a: Column, b: Column) -> Column:
@@ -167,15 +193,16 @@ def near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     chosen = store(chosen.join(distinct.select(*KEY, "first"), KEY), "lines-chosen")
     words = texts_of(keyed_rows(docs), bit_set(F.col("k1"), chosen))
     words = words.join(chosen, KEY).where(place() == F.col("first")).drop("first").dropDuplicates(KEY)
-    words = store(words, "lines-words")
-    linked = links(store(variants_of(words), "lines-variants"))
-    texts = words.select(F.struct(*KEY).alias("key"), "words")
-    side = lambda c: F.struct(*[F.col(f"{c}.{k}").alias(k) for k in KEY])
-    linked = linked.withColumn("key_a", side("a")).withColumn("key_b", side("b"))
-    linked = linked.join(texts.select(F.col("key").alias("key_a"), F.col("words").alias("words_a")), "key_a")
-    linked = linked.join(texts.select(F.col("key").alias("key_b"), F.col("words").alias("words_b")), "key_b")
-    later = F.when(F.col("a") < F.col("b"), F.col("key_b")).otherwise(F.col("key_a"))
-    return linked.where(one_edit(F.col("words_a"), F.col("words_b"))).select(later.alias("key")).distinct().select("key.*")
+    # Numbers in the order of the lines, so that the smaller one is the earlier line.
+    words = store(words.orderBy(*PLACE, *KEY).withColumn("uid", F.monotonically_increasing_id()), "lines-words")
+    texts = words.select("uid", "words")
+    linked = links(words)
+    linked = linked.join(texts.select(F.col("uid").alias("a"), F.col("words").alias("words_a")), "a")
+    linked = linked.join(texts.select(F.col("uid").alias("b"), F.col("words").alias("words_b")), "b")
+    first_shorter = F.size("words_a") <= F.size("words_b")
+    near = F.when(first_shorter, one_edit(F.col("words_a"), F.col("words_b"))).otherwise(one_edit(F.col("words_b"), F.col("words_a")))
+    later = linked.where(near).select(F.greatest("a", "b").alias("uid")).distinct()
+    return words.join(later, "uid", "left_semi").select(*KEY)
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -200,21 +227,20 @@ def dedup_lines(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0).cast("bigint")).alias("id"), F.xxhash64(whole_text()).alias("t_hash"),
     )
 
-    @F.pandas_udf("string")
-    def without(texts: pd.Series, lines: pd.Series) -> pd.Series:
+    @F.pandas_udf("struct<text: string, n_lines: bigint>")
+    def without(texts: pd.Series, lines: pd.Series) -> pd.DataFrame:
         out = []
         for text, numbers in zip(texts, lines):
+            parts = text.split("\n") if text is not None else []
             if numbers is not None and text is not None:
                 drop = set(numbers)
-                text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop)
-            out.append(text)
-        return pd.Series(out, dtype=object)
+                text = "\n".join(x for i, x in enumerate(parts) if i not in drop)
+            out.append((text, len(parts)))
+        return pd.DataFrame(out, columns=["text", "n_lines"])
 
-    joined = rows.join(gone, ["no_id", "id", "t_hash"], "left")
+    joined = rows.join(gone, ["no_id", "id", "t_hash"], "left").withColumn("left", without("text", "gone"))
     return joined.select(
-        "row", without("text", "gone").alias("text"),
-        F.coalesce(F.length("text") - F.length(F.translate("text", "\n", "")) + 1, F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
+        "row", "left.text", "left.n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed")
     )
 
 
