@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from xxhash import xxh3_128_intdigest, xxh64_intdigest
+from xxhash import xxh3_128_digest, xxh64_digest, xxh64_intdigest
 
 from strata.llm.shared import packed, store, table, whole_text
 from strata.llm.shingles import bit_set, in_set, small_batches
@@ -33,35 +33,41 @@ MIN_WORDS = 5
 EDIT_WORDS = 10
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
-LOW = (1 << 64) - 1
 
 LINE = "no_id boolean, id bigint, t_hash bigint, line_no bigint, k1 bigint, k2 bigint"
 PLACE = ["no_id", "id", "t_hash", "line_no"]
 KEY = ["k1", "k2"]
+HALVES = ["p1", "s1", "p2", "s2"]
 
 
 def signed(n: int) -> int:
     return n - (1 << 64) if n >> 63 else n
 
 
+def numbers(digests: list[bytes], columns: int) -> np.ndarray:
+    """Rows of signed 64-bit numbers out of digests."""
+    return np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, columns)
+
+
 def line_words(text: str) -> list[list[bytes]]:
     return [line.split() for line in text.encode().split(b"\n")]
 
 
-def line_key(words: list[bytes]) -> tuple[int, int]:
-    whole = xxh3_128_intdigest(b" ".join(words))
-    return signed(whole >> 64), signed(whole & LOW)
+def line_key(words: list[bytes]) -> bytes:
+    return xxh3_128_digest(b" ".join(words))
 
 
-def halves(words: list[bytes]) -> list[int]:
-    """Hashes of the first and last half, of both lengths that a line one word longer or shorter may share."""
-    n, out = len(words), []
+def halves(words: list[bytes]) -> bytes:
+    """Four hashes: of the first and last half, of both lengths that a line one word longer or shorter may share."""
+    n = len(words)
     if n < EDIT_WORDS:
-        return out
-    for q in {(n - 1) // 2, n // 2}:
-        out.append(signed(xxh64_intdigest(b" ".join(words[:q]), 2 * q)))
-        out.append(signed(xxh64_intdigest(b" ".join(words[n - q :]), 2 * q + 1)))
-    return out
+        return bytes(32)
+    q = n // 2
+    both = xxh64_digest(b" ".join(words[:q]), 2 * q) + xxh64_digest(b" ".join(words[n - q :]), 2 * q + 1)
+    if n % 2:
+        return both + both
+    q -= 1
+    return both + xxh64_digest(b" ".join(words[:q]), 2 * q) + xxh64_digest(b" ".join(words[n - q :]), 2 * q + 1)
 
 
 def variants(words: list[bytes]) -> tuple[int, np.ndarray]:
@@ -83,20 +89,28 @@ def keyed_rows(docs: DataFrame) -> DataFrame:
     )
 
 
+def placed(frame: pd.DataFrame, lines: list[list[tuple]]) -> pd.DataFrame:
+    """The document's columns for each of its lines, and the lines' numbers."""
+    counts = [len(x) for x in lines]
+    out = {c: np.repeat(frame[c].to_numpy(), counts) for c in ("no_id", "id", "t_hash")}
+    return pd.DataFrame(out | {"line_no": np.array([i for x in lines for i, _ in x], np.int64)})
+
+
 def lines_of(rows: DataFrame) -> DataFrame:
-    """A row for each line that takes part: its place, key and hashes of its halves."""
+    """A row for each line that takes part: its place, key, number of words and hashes of its halves."""
 
     def of(frames):
         for frame in frames:
-            out = []
-            for no_id, id_, t_hash, text in zip(frame["no_id"], frame["id"], frame["t_hash"], frame["text"]):
-                for line_no, words in enumerate(line_words(text)):
-                    if len(words) >= MIN_WORDS:
-                        out.append((no_id, id_, t_hash, line_no, *line_key(words), halves(words)))
-            if out:
-                yield pd.DataFrame(out, columns=[*PLACE, *KEY, "halves"])
+            lines = [[(i, w) for i, w in enumerate(line_words(t)) if len(w) >= MIN_WORDS] for t in frame["text"]]
+            every = [w for x in lines for _, w in x]
+            if every:
+                out = placed(frame, lines)
+                out[KEY] = numbers([line_key(w) for w in every], 2)
+                out["n"] = [len(w) for w in every]
+                out[HALVES] = numbers([halves(w) for w in every], 4)
+                yield out
 
-    return rows.mapInPandas(of, LINE + ", halves array<bigint>")
+    return rows.mapInPandas(of, LINE + ", n int, " + ", ".join(f"{h} bigint" for h in HALVES))
 
 
 def texts_of(rows: DataFrame, bits: np.ndarray) -> DataFrame:
@@ -104,14 +118,15 @@ def texts_of(rows: DataFrame, bits: np.ndarray) -> DataFrame:
 
     def of(frames):
         for frame in frames:
-            out = []
-            for no_id, id_, t_hash, text in zip(frame["no_id"], frame["id"], frame["t_hash"], frame["text"]):
-                lines = [(i, w) for i, w in enumerate(line_words(text)) if len(w) >= EDIT_WORDS]
-                keys = [line_key(w) for _, w in lines]
-                hit = in_set(np.array([k[0] for k in keys], np.int64).view(np.uint64), bits)
-                out += [(no_id, id_, t_hash, i, *k, [x.decode() for x in w]) for (i, w), k, h in zip(lines, keys, hit) if h]
-            if out:
-                yield pd.DataFrame(out, columns=[*PLACE, *KEY, "words"])
+            lines = [[(i, w) for i, w in enumerate(line_words(t)) if len(w) >= EDIT_WORDS] for t in frame["text"]]
+            every = [w for x in lines for _, w in x]
+            if every:
+                keys = numbers([line_key(w) for w in every], 2)
+                hit = np.flatnonzero(in_set(keys[:, 0].view(np.uint64), bits))
+                out = placed(frame, lines).iloc[hit].copy()
+                out[KEY] = keys[hit]
+                out["words"] = [b" ".join(every[i]).decode().split(" ") for i in hit.tolist()]
+                yield out
 
     return rows.mapInPandas(of, LINE + ", words array<string>")
 
@@ -187,7 +202,7 @@ def one_edit(a: Column, b: Column) -> Column:
 
 def near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """Keys of the distinct lines that are within one edit of an earlier line."""
-    halves_ = distinct.select(*KEY, F.explode("halves").alias("half"))
+    halves_ = distinct.where(F.col("n") >= EDIT_WORDS).select(*KEY, F.explode(F.array_distinct(F.array(*HALVES))).alias("half"))
     shared = halves_.groupBy("half").agg(F.count("*").alias("lines")).where("lines > 1").select("half")
     chosen = halves_.join(shared, "half", "left_semi").select(*KEY).distinct()
     chosen = store(chosen.join(distinct.select(*KEY, "first"), KEY), "lines-chosen")
@@ -208,13 +223,11 @@ def near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """no_id, id, t_hash, line_no of all lines that go."""
     lines = store(lines_of(keyed_rows(docs)), "lines")
-    distinct = lines.groupBy(*KEY).agg(
-        F.min(place()).alias("first"), F.first("halves").alias("halves"), F.count("*").alias("copies")
-    )
+    distinct = lines.groupBy(*KEY, "n", *HALVES).agg(F.min(place()).alias("first"), F.count("*").alias("copies"))
     distinct = store(distinct, "lines-distinct")
     near = near_earlier(docs, distinct).withColumn("near", F.lit(True))
     fate = distinct.select(*KEY, "first", "copies").join(near, KEY, "left").where("near or copies > 1")
-    gone = lines.drop("halves").join(fate, KEY).where(F.coalesce("near", F.lit(False)) | (place() != F.col("first")))
+    gone = lines.select(*PLACE, *KEY).join(fate, KEY).where(F.coalesce("near", F.lit(False)) | (place() != F.col("first")))
     return gone.select(*PLACE).distinct()
 
 
