@@ -149,7 +149,9 @@ def drawn(sources: DataFrame, seed: int) -> DataFrame:
                     "shard": (draw % np.uint64(c.shards)).astype(np.int64), "place": (mixed64(draw) >> np.uint64(1)).astype(np.int64),
                 })
 
-    spread = chunks.repartition("source_key", "chunk")
+    # A given number: chunks are a few bytes each, and the planner would put them all into one task.
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = chunks.repartition(tasks, "source_key", "chunk")
     return spread.mapInPandas(slots_of, "source_key string, slot bigint, epoch bigint, block bigint, shard bigint, place bigint")
 
 
@@ -177,7 +179,8 @@ def taken(of: Mix, block: int = BLOCK) -> DataFrame:
     """source_key, start, taken: the words that the mix takes of each document with words, repeats counted."""
     copies = of.slots.groupBy("source_key", "block").agg(F.count("*").alias("copies"))
     parts = pieces(of.documents.select("source_key", "start", "size"), block)
-    joined = parts.join(copies, ["source_key", "block"])
+    # Slots come from a table of a few rows, so the planner takes them for few: they must never be broadcast.
+    joined = parts.join(copies.hint("merge"), ["source_key", "block"])
     return joined.groupBy("source_key", "start").agg(F.sum(F.col("piece_words") * F.col("copies")).alias("taken"))
 
 
@@ -208,7 +211,7 @@ def shards(of: Mix, block: int = BLOCK, text: str = "text") -> DataFrame:
         F.transform("parts", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["piece_start"].alias("start"), p["piece_words"].alias("words"))).alias("parts"),
         F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text"),
     )
-    return of.slots.join(blocks, ["source_key", "block"]).select("shard", "place", "source_key", "epoch", "block", "parts", "text")
+    return of.slots.hint("merge").join(blocks, ["source_key", "block"]).select("shard", "place", "source_key", "epoch", "block", "parts", "text")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
