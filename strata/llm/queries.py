@@ -1,7 +1,7 @@
 """The registered queries of this package and, where SQL can state them, their DuckDB counterparts."""
 
 import corpus_pipeline
-from strata.llm import chat, decontamination
+from strata.llm import chat, decontamination, html_text
 from strata.llm.chat import op7_chat_formatting
 from strata.llm.decontamination import op2_decontamination
 from strata.llm.html_text import op5_html_text
@@ -33,5 +33,6 @@ def queries():
 def oracle_sql():
     return {
         "op2_decontamination": decontamination.ORACLE_SQL,
+        "op5_html_text": html_text.ORACLE_SQL,
         "op7_chat_formatting": chat.ORACLE_SQL,
     }
