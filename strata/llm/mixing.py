@@ -37,10 +37,11 @@ SEED = 42
 
 @dataclass
 class Mix:
-    """documents: row, source_key, start (first word's number in its source), size.
+    """rows: uid (a number of the row), row. documents: uid, source_key, start (first word's number in its source), size.
     sources: source_key, source, source_size, blocks, target, slots, shards.
     slots: source_key, slot, epoch, block, shard, place (order within the shard)."""
 
+    rows: DataFrame
     documents: DataFrame
     sources: DataFrame
     slots: DataFrame
@@ -78,7 +79,7 @@ def targets(sizes: DataFrame, block: int, shard_slots: int) -> DataFrame:
 
 
 def located(docs: DataFrame, carry: list[str] | None) -> DataFrame:
-    """row, source_key, size and place of every document; the order in a source is that of a hash."""
+    """row, uid, source_key, size and place of every document; the order in a source is that of a hash."""
     order = F.xxhash64(F.col("doc_id"), whole_text(), F.col("source"))
     row = packed(docs if carry is None else docs.select(*carry))
     sized = docs.select(
@@ -87,6 +88,7 @@ def located(docs: DataFrame, carry: list[str] | None) -> DataFrame:
         F.col("source").alias("source"),
         F.size(words(whole_text())).cast("bigint").alias("size"),
         order.alias("m_order"),
+        F.monotonically_increasing_id().alias("uid"),
     )
     return store(sized.withColumn("m_bucket", F.pmod(F.col("m_order"), F.lit(BUCKETS))), "mix-sizes")
 
@@ -156,11 +158,12 @@ def drawn(sources: DataFrame, seed: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, carry: list[str] | None = None, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> Mix:
-    """The mix of `docs`; `row` of its documents has all columns, or those in `carry`."""
+    """The mix of `docs`; `row` has all columns, or those in `carry`. Only keys and sizes go through the shuffles."""
     sized = located(docs, carry)
     sizes = sized.groupBy("source_key", "source").agg(F.sum("size").alias("source_size"))
     sources = store(targets(sizes, block, shard_slots), "mix-sources")
-    return Mix(with_starts(sized).select("row", "source_key", "start", "size"), sources, drawn(sources, seed))
+    documents = with_starts(sized.drop("row", "source")).select("uid", "source_key", "start", "size")
+    return Mix(sized.select("uid", "row"), documents, sources, drawn(sources, seed))
 
 
 def pieces(documents: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -185,13 +188,14 @@ def taken(of: Mix, block: int = BLOCK) -> DataFrame:
 
 
 def per_document(of: Mix, block: int = BLOCK) -> DataFrame:
-    """row, size, source_size, target, taken."""
+    """row, size, source_size, target, taken. The rows' own columns move in the last join only."""
     counts = taken(of, block)
     documents = of.documents.withColumn("m_start", F.when(F.col("size") > 0, F.col("start")))
     joined = documents.join(counts.withColumnRenamed("start", "m_start"), ["source_key", "m_start"], "left")
-    return joined.join(of.sources, "source_key").select(
-        "row", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken")
+    counted = joined.join(of.sources, "source_key").select(
+        "uid", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken")
     )
+    return of.rows.join(counted, "uid").drop("uid")
 
 
 def shards(of: Mix, block: int = BLOCK, text: str = "text") -> DataFrame:
@@ -200,7 +204,7 @@ def shards(of: Mix, block: int = BLOCK, text: str = "text") -> DataFrame:
     The documents' rows must hold doc_id and the text.
     """
     body = F.coalesce(F.col("row")[text].cast("string"), F.lit(""))
-    parts = pieces(of.documents.withColumn("m_words", words(body)), block)
+    parts = pieces(of.documents.join(of.rows, "uid").withColumn("m_words", words(body)), block)
     part = F.struct(
         "start", F.col("row.doc_id").alias("doc_id"), "piece_start", "piece_words",
         F.array_join(F.slice("m_words", (F.col("piece_start") + 1).cast("int"), F.col("piece_words").cast("int")), " ").alias("text"),
