@@ -113,11 +113,12 @@ def lines_of(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(of, LINE + ", n int, " + ", ".join(f"{h} bigint" for h in HALVES))
 
 
-def texts_of(rows: DataFrame, bits: np.ndarray) -> DataFrame:
-    """Place, key and words of the lines whose key is in the bit set."""
+def texts_of(rows: DataFrame, bits: np.ndarray, text_bits: np.ndarray) -> DataFrame:
+    """Place, key and words of the lines whose key is in the bit set, of texts whose hash is in theirs."""
 
     def of(frames):
         for frame in frames:
+            frame = frame[in_set(frame["t_hash"].to_numpy().view(np.uint64), text_bits)]
             lines = [[(i, w) for i, w in enumerate(line_words(t)) if len(w) >= EDIT_WORDS] for t in frame["text"]]
             every = [w for x in lines for _, w in x]
             if every:
@@ -206,7 +207,7 @@ def near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     shared = halves_.groupBy("half").agg(F.count("*").alias("lines")).where("lines > 1").select("half")
     chosen = halves_.join(shared, "half", "left_semi").select(*KEY).distinct()
     chosen = store(chosen.join(distinct.select(*KEY, "first"), KEY), "lines-chosen")
-    words = texts_of(keyed_rows(docs), bit_set(F.col("k1"), chosen))
+    words = texts_of(keyed_rows(docs), bit_set(F.col("k1"), chosen), bit_set(F.col("first.t_hash"), chosen))
     words = words.join(chosen, KEY).where(place() == F.col("first")).drop("first").dropDuplicates(KEY)
     # Numbers in the order of the lines, so that the smaller one is the earlier line.
     words = store(words.orderBy(*PLACE, *KEY).withColumn("uid", F.monotonically_increasing_id()), "lines-words")
@@ -232,7 +233,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    """row (all columns, or those in `carry`), text (what stays), n_lines and n_removed of every document."""
+    """row (all columns, or those in `carry`), text (what stays) and n_removed of every document."""
     gone = repeated_lines(docs).groupBy("no_id", "id", "t_hash").agg(F.collect_list("line_no").alias("gone"))
     row = packed(docs if carry is None else docs.select(*carry))
     rows = docs.select(
@@ -240,26 +241,28 @@ def dedup_lines(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0).cast("bigint")).alias("id"), F.xxhash64(whole_text()).alias("t_hash"),
     )
 
-    @F.pandas_udf("struct<text: string, n_lines: bigint>")
-    def without(texts: pd.Series, lines: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("string")
+    def without(texts: pd.Series, lines: pd.Series) -> pd.Series:
         out = []
-        for text, numbers in zip(texts, lines):
-            parts = text.split("\n") if text is not None else []
-            if numbers is not None and text is not None:
-                drop = set(numbers)
-                text = "\n".join(x for i, x in enumerate(parts) if i not in drop)
-            out.append((text, len(parts)))
-        return pd.DataFrame(out, columns=["text", "n_lines"])
-
-    joined = rows.join(gone, ["no_id", "id", "t_hash"], "left").withColumn("left", without("text", "gone"))
+        for text, numbers_ in zip(texts, lines):
+            if text is not None:
+                drop = set(numbers_)
+                text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop)
+            out.append(text)
+        return pd.Series(out, dtype=object)
+
+    # Texts that keep all their lines do not go through Python.
+    joined = rows.join(gone, ["no_id", "id", "t_hash"], "left")
+    changed = without(F.when(F.col("gone").isNotNull(), F.col("text")), "gone")
     return joined.select(
-        "row", "left.text", "left.n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed")
+        "row", F.when(F.col("gone").isNull(), F.col("text")).otherwise(changed).alias("text"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
     )
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document."""
-    return dedup_lines(table(spark, sf_dir, "documents"), ["doc_id"]).select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", "text")
+    return dedup_lines(table(spark, sf_dir, "documents"), ["doc_id"]).select(F.col("row.doc_id").alias("doc_id"), "n_removed", "text")
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
