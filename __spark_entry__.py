@@ -8,22 +8,24 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import derived_topics  # noqa: E402
 import oracle  # noqa: E402
 from strata.functions import money, scalars  # noqa: E402
 from strata.operators import (  # noqa: E402
     evaluate, events, explore, features, gold, models, silver,
 )
-from strata.plans.propensity import propensity, propensity_of  # noqa: E402
+from strata.plans.propensity import propensity  # noqa: E402
 from strata.plans.refresh import extend_silver, refresh_gold, run_once  # noqa: E402
 from strata.schemas import CLICK_PAYLOAD, FEATURES, LABEL, ORDER_PAYLOAD  # noqa: E402
-from strata.sources import derived_topics, tables  # noqa: E402
+from strata.sources import tables  # noqa: E402
 from strata.sources.scratch import scratch_root  # noqa: E402
 from strata.streaming import ingest  # noqa: E402
 
@@ -36,9 +38,15 @@ except ModuleNotFoundError as missing:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SMALLEST = "/root/testdata/sf0.001"
 THRESHOLD = 500_000.0  # The given prices are far above those the default of 200 is meant for.
 
 
+def place(spark, purpose):
+    """A folder for a query's own tables, in the shared folder that the cluster names; a local one in tests."""
+    return scratch_root(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strata-"), purpose)
+
+
 # Layers, derived lazily from the tables.
 
 def bronze_orders(spark, sf):
@@ -49,28 +57,35 @@ def bronze_clicks(spark, sf):
     return events.to_bronze(derived_topics.click_records(spark, sf))
 
 
-def orders(spark, sf):
-    return silver.silver_orders(bronze_orders(spark, sf))
+def orders(spark, sf, *fields):
+    """Clean orders; with `fields` only these are parsed."""
+    return silver.silver_orders(bronze_orders(spark, sf), None, fields or None)
 
 
-def clicks(spark, sf):
-    return silver.silver_clicks(bronze_clicks(spark, sf))
+def clicks(spark, sf, *fields):
+    return silver.silver_clicks(bronze_clicks(spark, sf), None, fields or None)
 
 
 def daily(spark, sf):
-    return gold.daily_revenue(orders(spark, sf))
+    return gold.daily_revenue(orders(spark, sf, "user_id"))
 
 
 def products(spark, sf):
-    return gold.product_metrics(orders(spark, sf))
+    return gold.product_metrics(
+        orders(spark, sf, "user_id", "product_id", "product_name", "category", "unit_price", "quantity")
+    )
+
+
+def buyers(spark, sf):
+    return orders(spark, sf, "user_id", "product_id")
 
 
 def users(spark, sf):
-    return gold.user_metrics(orders(spark, sf), clicks(spark, sf))
+    return gold.user_metrics(buyers(spark, sf), clicks(spark, sf, "user_id", "session_id", "converted"))
 
 
 def pages(spark, sf):
-    return gold.funnel(clicks(spark, sf))
+    return gold.funnel(clicks(spark, sf, "user_id", "session_id", "page", "converted"))
 
 
 def parsed_orders(spark, sf):
@@ -93,7 +108,7 @@ def shown(df: DataFrame) -> DataFrame:
 
 def stored_users(spark, sf):
     """user_metrics as a stored table, since splitting and fitting scan it several times."""
-    root = scratch_root(spark, "users")
+    root = place(spark, "users")
     tables.write_snapshot(users(spark, sf), root, "gold", "user_metrics")
     return root, tables.read_table(spark, root, "gold", "user_metrics")
 
@@ -120,24 +135,25 @@ def pseudo_scored(spark, sf, users_table=None):
 
 def stored_topics(spark, sf, names=("orders", "clicks")):
     """Both topics as record files, and a fresh root for the layers."""
-    root = scratch_root(spark, "layers")
+    root = place(spark, "layers")
     build = {"orders": derived_topics.order_records, "clicks": derived_topics.click_records}
     for name in names:
         build[name](spark, sf).write.parquet(f"{root}/topics/{name}")
     return root
 
 
-def stream_topic(spark, root, topic, checkpoint=None):
-    source = ingest.read_events(
-        spark, topic, "parquet", path=f"{root}/topics/{topic}", maxFilesPerTrigger=4
+def stream_topics(spark, root, topics=("orders", "clicks"), stream="main"):
+    """Everything that the topics hold goes to bronze."""
+    running = ingest.start_bronze(
+        spark, root, topics, "parquet", ingest.ALL_AVAILABLE, stream=stream, path=root + "/topics/{topic}", maxFilesPerTrigger=4
     )
-    query = ingest.write_bronze(source, root, topic, ingest.ALL_AVAILABLE, checkpoint)
-    query.awaitTermination()
+    for query in running:
+        query.awaitTermination()
     return root
 
 
-def places(bronze):
-    return shown(bronze.select("topic", "partition", "offset", "kafka_timestamp"))
+def places(bronze, *more):
+    return shown(bronze.select("topic", "partition", "offset", "kafka_timestamp", *more))
 
 
 def stream_scan(spark, sf):
@@ -153,21 +169,13 @@ def stream_scan(spark, sf):
 
 
 def bronze_append(spark, sf):
-    root = stream_topic(spark, stored_topics(spark, sf, ["clicks"]), "clicks")
-    return places(tables.read_table(spark, root, "bronze", "clicks"))
+    root = stream_topics(spark, stored_topics(spark, sf, ["clicks"]), ["clicks"])
+    bronze = tables.read_table(spark, root, "bronze", "clicks")
+    return places(bronze, "kafka_key", F.sha2("raw_value", 256).alias("payload_sha256"))
 
 
 def stream_two_topics(spark, sf):
-    root = stored_topics(spark, sf)
-    running = [
-        ingest.write_bronze(
-            ingest.read_events(spark, topic, "parquet", path=f"{root}/topics/{topic}", maxFilesPerTrigger=4),
-            root, topic, ingest.ALL_AVAILABLE,
-        )
-        for topic in ("orders", "clicks")
-    ]
-    for query in running:
-        query.awaitTermination()
+    root = stream_topics(spark, stored_topics(spark, sf))
     both = tables.read_table(spark, root, "bronze", "orders").unionByName(
         tables.read_table(spark, root, "bronze", "clicks")
     )
@@ -179,8 +187,8 @@ def stream_two_topics(spark, sf):
 
 def stream_resume(spark, sf):
     """The stream is stopped and started again on its checkpoint: nothing is read twice."""
-    root = stream_topic(spark, stored_topics(spark, sf, ["clicks"]), "clicks")
-    stream_topic(spark, root, "clicks")
+    root = stream_topics(spark, stored_topics(spark, sf, ["clicks"]), ["clicks"])
+    stream_topics(spark, root, ["clicks"])
     return tables.read_table(spark, root, "bronze", "clicks").groupBy(
         F.col("partition").alias("part_no")
     ).agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("offset").alias("offsets"))
@@ -188,13 +196,13 @@ def stream_resume(spark, sf):
 
 def stream_replay_dedup(spark, sf):
     """The whole topic is delivered twice (a new checkpoint); silver shows each click once."""
-    root = stream_topic(spark, stored_topics(spark, sf, ["clicks"]), "clicks")
-    stream_topic(spark, root, "clicks", f"{root}/second_checkpoint")
+    root = stream_topics(spark, stored_topics(spark, sf, ["clicks"]), ["clicks"])
+    stream_topics(spark, root, ["clicks"], "second")
     return shown(silver.silver_clicks(tables.read_table(spark, root, "bronze", "clicks"))).drop("timestamp")
 
 
 def table_scan(spark, sf):
-    root = scratch_root(spark, "scan")
+    root = place(spark, "scan")
     tables.write_snapshot(orders(spark, sf), root, "silver", "orders")
     back = tables.read_table(spark, root, "silver", "orders")
     return shown(back.select("order_id", "user_id", "status", "total_amount", "event_ts"))
@@ -202,19 +210,19 @@ def table_scan(spark, sf):
 
 def silver_incremental(spark, sf):
     """The click topic arrives in two parts; the second refresh reads only the second part."""
-    root = scratch_root(spark, "layers")
+    root = place(spark, "layers")
     records = derived_topics.click_records(spark, sf)
     # An event with an even number comes first, its replay (odd offset) in the second part.
     for part in (0, 1):
         records.where(F.col("offset") % 2 == part).write.mode("append").parquet(f"{root}/topics/clicks")
-        stream_topic(spark, root, "clicks")
+        stream_topics(spark, root, ["clicks"])
         extend_silver(spark, root)
     return shown(tables.read_table(spark, root, "silver", "clicks")).drop("timestamp")
 
 
 def two_versions(spark, sf):
     """silver.orders as of all completed, then of all refunded orders."""
-    root = scratch_root(spark, "versions")
+    root = place(spark, "versions")
     tables.write_snapshot(orders(spark, sf), root, "clean", "orders")
     for status in ("completed", "refunded"):
         chosen = tables.read_table(spark, root, "clean", "orders").where(F.col("status") == status)
@@ -235,16 +243,13 @@ def version_scan(spark, sf):
 
 
 def table_history(spark, sf):
-    commits = tables.history(spark, two_versions(spark, sf), "silver", "orders")
-    return commits.select(
-        "version", "operation", F.col("timestamp").isNotNull().alias("dated"),
-        F.col("operationMetrics")["numOutputRows"].cast("bigint").alias("row_count"),
-    )
+    history = tables.history(spark, two_versions(spark, sf), "silver", "orders")
+    return history.select("version", F.col("timestamp").isNotNull().alias("dated"), "row_count")
 
 
 def optional_scan(spark, sf):
     """No click table was ever written: the user measures do without it."""
-    root = scratch_root(spark, "optional")
+    root = place(spark, "optional")
     tables.write_snapshot(orders(spark, sf), root, "silver", "orders")
     return shown(gold.user_metrics(
         tables.try_read_table(spark, root, "silver", "orders"),
@@ -253,7 +258,7 @@ def optional_scan(spark, sf):
 
 
 def named_table_sql(spark, sf):
-    root = scratch_root(spark, "named")
+    root = place(spark, "named")
     tables.write_snapshot(pages(spark, sf), root, "gold", "funnel")
     tables.register_layers(spark, root)
     return spark.sql("SELECT page, visits, conversion_rate FROM gold.funnel WHERE visits > 0")
@@ -261,7 +266,7 @@ def named_table_sql(spark, sf):
 
 def snapshot_overwrite(spark, sf):
     """A second write replaces rows and schema."""
-    root = scratch_root(spark, "overwrite")
+    root = place(spark, "overwrite")
     all_orders = orders(spark, sf)
     tables.write_snapshot(all_orders.select("order_id", "status"), root, "silver", "orders")
     tables.write_snapshot(
@@ -279,12 +284,12 @@ def commit_rows(spark, done):
 
 
 def write_row_count(spark, sf):
-    root = scratch_root(spark, "count")
+    root = place(spark, "count")
     return commit_rows(spark, [tables.write_snapshot(orders(spark, sf), root, "silver", "orders")])
 
 
 def gold_refresh_tables(spark, sf):
-    root = scratch_root(spark, "gold")
+    root = place(spark, "gold")
     tables.write_snapshot(orders(spark, sf), root, "silver", "orders")
     tables.write_snapshot(clicks(spark, sf), root, "silver", "clicks")
     refresh_gold(spark, root)
@@ -292,57 +297,124 @@ def gold_refresh_tables(spark, sf):
 
 
 def gold_refresh(spark, sf):
+    """All rows of all four tables, each as one text."""
     root = gold_refresh_tables(spark, sf)
-    measures = {
-        "daily_revenue": F.sum(money.minor_units(F.col("revenue"))),
-        "product_metrics": F.sum(money.minor_units(F.col("total_revenue"))),
-        "user_metrics": F.sum("total_clicks"),
-        "funnel": F.sum("visits"),
-    }
     result = None
-    for name, measure in measures.items():
-        part = tables.read_table(spark, root, "gold", name).agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"), measure.alias("measure")
-        )
+    for name in tables.LAYERS["gold"]:
+        rows = shown(tables.read_table(spark, root, "gold", name))
+        texts = [
+            F.when(F.col(c).isNull(), "-").otherwise(F.format_string("%.4f", c) if t == "double" else F.col(c).cast("string"))
+            for c, t in rows.dtypes
+        ]
+        part = rows.select(F.lit(name).alias("table_name"), F.concat_ws("|", *texts).alias("line"))
         result = part if result is None else result.union(part)
     return result
 
 
 def refresh_all(spark, sf):
     root = stored_topics(spark, sf)
-    for topic in ("orders", "clicks"):
-        stream_topic(spark, root, topic)
+    stream_topics(spark, root)
     return commit_rows(spark, run_once(spark, root))
 
 
-# Models.
+# Models. What the fitted models give is stated so that SQL can check it.
+
+_modelled = {}
+
+
+def modelled(spark, sf):
+    """All three models and the results of the best one, fitted once for a session and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _modelled:
+        _modelled[key] = propensity(stored_users(spark, sf)[1], place(spark, "models"), THRESHOLD)
+    return _modelled[key]
 
-def fitted(spark, sf, names=None):
-    return propensity(stored_users(spark, sf)[1], THRESHOLD, names)
 
+def fitted(spark, sf, name):
+    """One model, as (model, AUC), and its inputs."""
+    return propensity(stored_users(spark, sf)[1], place(spark, "models"), THRESHOLD, [name])
 
-def model_auc(name):
+
+def logistic_regression(spark, sf):
+    """The gradient of the objective (log-loss and half the squared weights) at the fitted weights, by weight."""
+    found = fitted(spark, sf, models.LOGISTIC)
+    return rounded(models.logistic_gradient(found.best.model, found.inputs.where("not is_test")), 0, "gradient")
+
+
+def tree_model(name):
+    """Features by whether their importance is a share, the sum of the shares, and an AUC above 0.8."""
     def query(spark, sf):
-        results = fitted(spark, sf, [name]).results
-        return spark.createDataFrame([(r.name, r.auc) for r in results], "model string, auc double")
+        found = fitted(spark, sf, name)
+        total = found.importances.agg(F.round(F.sum("importance"), 9)).scalar()
+        return found.importances.select(
+            F.lit(name).alias("model"), "feature", F.col("importance").between(0, 1).alias("is_share"),
+            total.alias("total"), F.lit(found.best.auc > 0.8).alias("learns"),
+        )
     return query
 
 
 def best_model(spark, sf):
-    found = fitted(spark, sf)
+    """Models, by whether their AUC is a valid one and the best one has the highest."""
+    found = modelled(spark, sf)
     return spark.createDataFrame(
-        [(r.name, r.auc, r.name == found.best.name) for r in found.results],
-        "model string, auc double, best boolean",
+        [(r.name, 0.5 < r.auc <= 1, found.best.auc >= r.auc) for r in found.results],
+        "model string, learns boolean, best_is_no_worse boolean",
     )
 
 
-def propensity_scores(spark, sf):
-    root, _ = stored_users(spark, sf)
-    return propensity_of(spark, root, THRESHOLD).scored
+def predict_proba(spark, sf):
+    """Test users, by whether their score is a probability, and equal to that among all users."""
+    found = modelled(spark, sf)
+    every = found.scored.select("user_id", F.col("propensity_score").alias("other"))
+    return found.tested.join(every, "user_id").select(
+        "user_id", F.col("propensity_score").between(0, 1).alias("is_probability"),
+        (F.col("propensity_score") == F.col("other")).alias("is_same"),
+    )
+
+
+def predict_class(spark, sf):
+    """Test users, by whether the class is that of the larger probability."""
+    larger = (F.col("propensity_score") > 0.5).cast("int")
+    return modelled(spark, sf).tested.select("user_id", LABEL, (F.col("prediction") == larger).alias("is_likelier"))
+
+
+def score_all_users(spark, sf):
+    """All users, by whether the segment is that of the score's bin."""
+    score = F.col("propensity_score")
+    own = F.when(score > 0.66, "high").when(score > 0.33, "medium").when(score > 0, "low")
+    return modelled(spark, sf).scored.select("user_id", F.col("segment").eqNullSafe(own).alias("is_binned"))
 
 
-def logistic_scores(spark, sf):
-    return fitted(spark, sf, [models.LOGISTIC])
+def top_propensity(spark, sf):
+    """The ten users, ranked, by how many users outside have a higher score."""
+    found = modelled(spark, sf)
+    top = models.top_propensity(found.scored)
+    least = top.agg(F.min("propensity_score")).scalar()
+    above = found.scored.join(top.select("user_id"), "user_id", "left_anti").where(F.col("propensity_score") > least)
+    outside = above.agg(F.count(F.lit(1))).scalar()
+    order = Window.orderBy(F.desc("propensity_score"), "user_id")
+    return top.select(F.row_number().over(order).alias("place"), outside.alias("higher_outside"))
+
+
+def feature_importance(spark, sf):
+    return modelled(spark, sf).importances.select("feature", (~F.isnan("importance")).alias("is_number"))
+
+
+def propensity_results(spark, sf):
+    """Every result of the job with its number of rows, and of users behind them."""
+    found = modelled(spark, sf)
+    sizes = {
+        "scored": (found.scored, F.count(F.lit(1))), "tested": (found.tested, F.count(F.lit(1))),
+        "report": (found.report.where("class = 'accuracy'"), F.sum("support")), "matrix": (found.matrix, F.sum("rows")),
+        "importances": (found.importances, F.lit(0).cast("bigint")),
+        "segments": (found.segments.unionAll(found.scored.where("segment is null").agg(F.lit("none"), F.count(F.lit(1)))), F.sum("users")),
+        "histogram": (found.histogram, F.sum("rows")),
+    }
+    result = None
+    for name, (rows, users_behind) in sizes.items():
+        part = rows.agg(F.lit(name).alias("result"), users_behind.alias("users"))
+        result = part if result is None else result.union(part)
+    return result
 
 
 def part():
@@ -376,7 +448,7 @@ def exact_auc(spark, sf):
 
 def entry(spark: SparkSession) -> DataFrame:
     """Daily revenue from the raw order topic."""
-    return shown(daily(spark, "/root/testdata/sf0.001")).orderBy("date")
+    return shown(daily(spark, SMALLEST)).orderBy("date")
 
 
 def queries() -> dict[str, Query]:
@@ -392,7 +464,7 @@ def queries() -> dict[str, Query]:
         "version_scan": version_scan,
         "table_history": table_history,
         "named_table_sql": named_table_sql,
-        "describe_schema": lambda s, d: explore.schema_rows(s, stored_users(s, d)[1]),
+        "describe_schema": lambda s, d: explore.schema_rows(stored_users(s, d)[1]),
         # sinks and encoding
         "bronze_append": bronze_append,
         "snapshot_overwrite": snapshot_overwrite,
@@ -406,15 +478,17 @@ def queries() -> dict[str, Query]:
         "envelope_project": lambda s, d: shown(
             bronze_orders(s, d).unionByName(bronze_clicks(s, d)).drop("raw_value")),
         "json_parse_flatten": lambda s, d: shown(parsed_orders(s, d).drop("timestamp", "kafka_key")),
-        "filter_not_null": lambda s, d: parsed_orders(s, d).where("order_id is not null").select(part(), off(), "order_id"),
-        "filter_positive": lambda s, d: parsed_clicks(s, d).where("duration_ms > 0").select(part(), off(), "duration_ms"),
+        "filter_not_null": lambda s, d: parsed_orders(s, d).where(silver.has_id("order_id")).select(part(), off(), "order_id"),
+        "filter_positive": lambda s, d: parsed_clicks(s, d).where(silver.positive("duration_ms")).select(part(), off(), "duration_ms"),
+        "filter_positive_amount": lambda s, d: parsed_orders(s, d).where(silver.positive("total_amount")).select(
+            part(), off(), "total_amount"),
         "filter_in_list": lambda s, d: parsed_orders(s, d).where(
-            F.col("status").isin(*silver.ORDER_STATUSES)).select(part(), off(), "status"),
+            silver.known_status()).select(part(), off(), "status"),
         "filter_equals": lambda s, d: silver.completed(orders(s, d)).select("order_id", "status", "total_amount"),
         "derive_columns": lambda s, d: shown(
             parsed_clicks(s, d).where("event_type is not null").withColumns({
                 "event_ts": scalars.parse_instant(F.col("timestamp")),
-                "referrer": F.coalesce("referrer", F.lit("direct")),
+                "referrer": silver.visit_referrer(),
             }).select("offset", "partition", "click_id", "event_ts", "referrer")),
         "select_columns": lambda s, d: clicks(s, d).select("click_id", "user_id", "page", "duration_ms"),
         # joins
@@ -430,8 +504,8 @@ def queries() -> dict[str, Query]:
         ).select("click_id", part(), off(), "duration_ms"),
         "daily_revenue": lambda s, d: shown(daily(s, d)),
         "product_metrics": lambda s, d: shown(products(s, d)),
-        "user_orders": lambda s, d: shown(gold.user_orders(orders(s, d))),
-        "user_clicks": lambda s, d: gold.user_clicks(clicks(s, d)),
+        "user_orders": lambda s, d: shown(gold.user_orders(buyers(s, d))),
+        "user_clicks": lambda s, d: gold.user_clicks(clicks(s, d, "user_id", "session_id", "converted")),
         "user_metrics": lambda s, d: shown(users(s, d)),
         "funnel": lambda s, d: shown(pages(s, d)),
         "status_distribution": lambda s, d: explore.status_distribution(orders(s, d)),
@@ -456,21 +530,21 @@ def queries() -> dict[str, Query]:
         "revenue_series": lambda s, d: shown(explore.revenue_series(daily(s, d))),
         "limit_n": lambda s, d: explore.first_rows(
             orders(s, d).select("order_id", "user_id", "status", "total_amount"), ["order_id"], 5),
-        "top_propensity": lambda s, d: models.top_propensity(logistic_scores(s, d).scored),
+        "top_propensity": top_propensity,
         # scalar functions
         "scalar_json_parse": lambda s, d: parsed_clicks(s, d).select(off(), "duration_ms", "converted", "page"),
         "scalar_to_timestamp": lambda s, d: parsed_orders(s, d).select(
             off(), scalars.parse_instant(F.col("timestamp")).cast("timestamp_ntz").alias("event_ts")),
         "scalar_day_trunc": lambda s, d: derived_topics.click_events(s, d).select(
-            off(), F.date_trunc("day", "record_ts").cast("timestamp_ntz").alias("day")),
+            off(), scalars.day(F.col("record_ts")).cast("timestamp_ntz").alias("day")),
         "scalar_round": lambda s, d: derived_topics.order_events(s, d).select(
-            off(), F.round("total_amount", 2).alias("amount"),
+            off(), scalars.cents(F.col("total_amount")).alias("amount"),
             F.round(F.col("quantity") / (F.col("partition") + 1), 4).alias("ratio")),
         "scalar_case": lambda s, d: orders(s, d).select(
             "order_id", F.when(F.col("status") == "completed", 1).otherwise(0).alias("is_completed"),
             F.when(F.col("status") == "completed", F.col("total_amount")).alias("spent")),
         "scalar_coalesce": lambda s, d: derived_topics.click_events(s, d).select(
-            off(), F.coalesce("referrer", F.lit("direct")).alias("referrer")),
+            off(), silver.visit_referrer().alias("referrer")),
         "scalar_fillna": lambda s, d: shown(users(s, d).fillna(0).select(
             "user_id", "last_order_ts", "total_clicks", "total_spend", "conversion_rate")),
         "scalar_cast": lambda s, d: users(s, d).select(
@@ -479,11 +553,11 @@ def queries() -> dict[str, Query]:
             F.col("unique_products_bought").cast("double").alias("products"),
             F.col("completed_orders").cast("string").alias("completed_text")),
         "scalar_ratio": lambda s, d: users(s, d).select(
-            "user_id", (F.col("completed_orders") / (F.col("total_clicks") + F.lit(1))).alias("ratio")),
+            "user_id", scalars.rate(F.col("completed_orders"), F.col("total_clicks")).alias("ratio")),
         "scalar_predicates": lambda s, d: derived_topics.click_events(s, d).select(
             off(), F.col("click_id").isNull().alias("no_id"), (F.col("duration_ms") > 0).alias("positive"),
-            (F.col("referrer") == "google").alias("from_google"),
-            F.col("referrer").isin("email", "direct").alias("own"), F.col("referrer").isNotNull().alias("known")),
+            (F.col("referrer") == "search").alias("from_search"),
+            F.col("referrer").isin("mailing", "direct").alias("own"), F.col("referrer").isNotNull().alias("known")),
         "scalar_json_encode": lambda s, d: derived_topics.click_events(s, d).select(
             off(), events.to_payload(events.payload_fields(CLICK_PAYLOAD)).alias("payload")),
         "scalar_iso_format": lambda s, d: derived_topics.click_events(s, d).select(
@@ -499,18 +573,18 @@ def queries() -> dict[str, Query]:
         "stratified_split": lambda s, d: split(s, d).select("user_id", LABEL, "is_test"),
         "split_sizes": lambda s, d: features.split_sizes(split(s, d)),
         "standard_scale": scaled,
-        "logistic_regression": model_auc(models.LOGISTIC),
-        "random_forest": model_auc(models.FOREST),
-        "gradient_boosting": model_auc(models.BOOSTING),
+        "logistic_regression": logistic_regression,
+        "random_forest": tree_model(models.FOREST),
+        "gradient_boosting": tree_model(models.BOOSTING),
         "roc_auc": exact_auc,
-        "predict_proba": lambda s, d: logistic_scores(s, d).tested.select("user_id", "propensity_score"),
+        "predict_proba": predict_proba,
         "best_model": best_model,
-        "predict_class": lambda s, d: logistic_scores(s, d).tested.select("user_id", LABEL, "prediction"),
+        "predict_class": predict_class,
         "classification_report": lambda s, d: rounded(
             evaluate.classification_report(pseudo_scored(s, d)), 9, "precision", "recall", "f1_score"),
         "confusion_matrix": lambda s, d: evaluate.confusion_matrix(pseudo_scored(s, d)),
-        "feature_importance": lambda s, d: models.importances(fitted(s, d, [models.FOREST]).best, s),
-        "score_all_users": lambda s, d: logistic_scores(s, d).scored,
+        "feature_importance": feature_importance,
+        "score_all_users": score_all_users,
         "segment_distribution": lambda s, d: evaluate.segment_distribution(pseudo_scored(s, d), "score"),
         "score_histogram": lambda s, d: evaluate.histogram(
             pseudo_scored(s, d, stored_users(s, d)[1]), "score"),
@@ -519,12 +593,12 @@ def queries() -> dict[str, Query]:
         "stream_resume": stream_resume,
         "stream_replay_dedup": stream_replay_dedup,
         # jobs
-        "silver_orders": lambda s, d: shown(orders(s, d)).drop("timestamp", "kafka_key"),
-        "silver_clicks": lambda s, d: shown(clicks(s, d)).drop("timestamp"),
+        "silver_orders": lambda s, d: shown(orders(s, d).withColumnRenamed("timestamp", "ts_text")),
+        "silver_clicks": lambda s, d: shown(clicks(s, d).withColumnRenamed("timestamp", "ts_text")),
         "silver_incremental": silver_incremental,
         "gold_refresh": gold_refresh,
         "run_once": refresh_all,
-        "propensity": propensity_scores,
+        "propensity": propensity_results,
     } | (llm.queries() if llm else {})
 
 

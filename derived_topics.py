@@ -20,15 +20,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(table: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a table stored in fewer splits than there are cores.
-
-    A large table has many splits and is left as it is, without a shuffle.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
-
-
 def arrival(*identity: Column) -> Column:
     """Place of a record among its copies: 60 bits of the md5 of its identity.
 
@@ -68,7 +59,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "O", "pending")
         .otherwise("cancelled")
     )
-    methods = F.array(*map(F.lit, ("credit_card", "paypal", "apple_pay", "bank_transfer")))
+    methods = F.array(*map(F.lit, ("card", "cash", "voucher", "invoice")))
     cents_up = F.when(F.col("l_linenumber") % 2 == 0, 0.004).otherwise(0.0)
     return joined.select(
         F.lit("order").alias("event_type"),
@@ -81,7 +72,8 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("p_retailprice").alias("unit_price"),
+        # More than two decimals: a mean that rounds them on the way in would show.
+        (F.col("p_retailprice") + 0.00495).alias("unit_price"),
         F.when(F.col("l_suppkey") % 50 == 0, 0.0)
         .otherwise(F.col("l_extendedprice") + cents_up).alias("total_amount"),
         F.lit("USD").alias("currency"),
@@ -106,7 +98,7 @@ def click_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = F.when(F.col("event_id") % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))
     )
-    events = spread(load(spark, sf_dir, "events"), "event_id").select(
+    events = load(spark, sf_dir, "events").select(
         "*", F.get_json_object("props", "$.k").cast("int").alias("k"), F.explode(copies).alias("replay")
     )
     pages = {
@@ -114,8 +106,8 @@ def click_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "purchase": "checkout",
     }
     page = F.create_map(*[F.lit(x) for pair in pages.items() for x in pair])
-    referrers = F.array(*map(F.lit, ("google", "facebook", "email", "direct", "instagram", None)))
-    devices = F.array(*map(F.lit, ("desktop", "mobile", "tablet")))
+    referrers = F.array(*map(F.lit, ("search", "partner", "mailing", "direct", "forum", None)))
+    devices = F.array(*map(F.lit, ("laptop", "phone", "kiosk")))
     at = F.col("ts").cast("timestamp")
     return events.select(
         F.lit("click").alias("event_type"),

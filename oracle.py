@@ -13,7 +13,7 @@ order_raw AS (
     'S' || l_orderkey AS session_id,
     printf('P%06d', l_partkey) AS product_id,
     p_name AS product_name, p_type AS category,
-    CAST(l_quantity AS INTEGER) AS quantity, p_retailprice AS unit_price,
+    CAST(l_quantity AS INTEGER) AS quantity, p_retailprice + 0.00495::DOUBLE AS unit_price,
     CASE WHEN l_suppkey % 50 = 0 THEN 0.0::DOUBLE
       WHEN l_linenumber % 2 = 0 THEN l_extendedprice + 0.004::DOUBLE
       ELSE l_extendedprice END AS total_amount,
@@ -22,10 +22,11 @@ order_raw AS (
       WHEN l_returnflag = 'R' THEN 'refunded'
       WHEN l_returnflag = 'A' OR o_orderstatus = 'F' THEN 'completed'
       WHEN o_orderstatus = 'O' THEN 'pending' ELSE 'cancelled' END AS status,
-    CASE l_linenumber % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'paypal'
-      WHEN 2 THEN 'apple_pay' ELSE 'bank_transfer' END AS payment_method,
+    CASE l_linenumber % 4 WHEN 0 THEN 'card' WHEN 1 THEN 'cash'
+      WHEN 2 THEN 'voucher' ELSE 'invoice' END AS payment_method,
     n_name AS country,
     CASE WHEN l_partkey % 89 = 0 THEN NULL ELSE o_orderdate END AS event_ts,
+    CASE WHEN l_partkey % 89 = 0 THEN 'bad-ts' ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END AS ts_text,
     o_orderdate AS record_ts,
     CAST(l_orderkey % 3 AS INTEGER) AS part_no,
     CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -59,9 +60,9 @@ click_raw AS (
     CASE event_type WHEN 'signup' THEN 'home' WHEN 'error' THEN 'search'
       WHEN 'view' THEN 'product' WHEN 'click' THEN 'category' WHEN 'purchase' THEN 'checkout'
       END AS page,
-    CASE k % 6 WHEN 0 THEN 'google' WHEN 1 THEN 'facebook' WHEN 2 THEN 'email'
-      WHEN 3 THEN 'direct' WHEN 4 THEN 'instagram' END AS referrer,
-    CASE k % 3 WHEN 0 THEN 'desktop' WHEN 1 THEN 'mobile' ELSE 'tablet' END AS device,
+    CASE k % 6 WHEN 0 THEN 'search' WHEN 1 THEN 'partner' WHEN 2 THEN 'mailing'
+      WHEN 3 THEN 'direct' WHEN 4 THEN 'forum' END AS referrer,
+    CASE k % 3 WHEN 0 THEN 'laptop' WHEN 1 THEN 'phone' ELSE 'kiosk' END AS device,
     CAST(floor(value * 100) AS INTEGER) - 50 AS duration_ms,
     event_type = 'purchase' AS converted,
     ts AS event_ts, CAST(user_id % 3 AS INTEGER) AS part_no,
@@ -80,18 +81,14 @@ sc AS (
 )"""
 
 
-def cents(x, digits=2):
-    return f"CAST(round({x} * {10 ** digits}) AS BIGINT)"
-
-
 def total(x):
-    return f"CAST(sum({cents(x)}) AS BIGINT) / 100.0::DOUBLE"
+    """Sum of amounts that have two decimals, as decimals."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(18, 2))) AS DOUBLE)"
 
 
-def mean(x, digits=2):
-    """Half-up mean of non-negative amounts, in cents."""
-    n = f"(count({x}) * {10 ** (digits - 2)})"
-    s = f"CAST(sum({cents(x, digits)}) AS BIGINT)"
+def mean(x):
+    """Mean of non-negative amounts as decimals, rounded half up to cents."""
+    s, n = f"CAST(sum(CAST({x} AS DECIMAL(18, 2))) * 100 AS BIGINT)", f"count({x})"
     return f"((2 * {s} + {n}) // (2 * nullif({n}, 0))) / 100.0::DOUBLE"
 
 
@@ -108,7 +105,7 @@ daily AS (
 PRODUCTS = f"""
 products AS (
   SELECT product_id, product_name, category, count(order_id) AS total_orders,
-    {total('total_amount')} AS total_revenue, {mean('unit_price', 4)} AS avg_price,
+    {total('total_amount')} AS total_revenue, round(CAST(sum(CAST(unit_price AS DECIMAL(18, 6))) AS DOUBLE) / count(unit_price), 2) AS avg_price,
     CAST(sum(quantity) AS BIGINT) AS units_sold, count(DISTINCT user_id) AS unique_buyers
   FROM so WHERE status = 'completed' GROUP BY ALL
 )"""
@@ -155,7 +152,7 @@ FEATURES = ("total_orders", "completed_orders", "cancelled_orders", "avg_order_v
 FEATURE_ROWS = f"""
 uf AS (
   SELECT user_id, coalesce(avg_order_value, 0) AS avg_order_value,
-    {", ".join(f"CAST(coalesce({c}, 0) AS INTEGER) AS {c}" for c in COUNTS)},
+    {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in COUNTS)},
     CASE WHEN total_spend > 500000 THEN 1 ELSE 0 END AS is_high_value
   FROM um
 ),
@@ -254,6 +251,29 @@ def snapshot_counts():
         for (layer, table), cte in counts.items())
 
 
+def gold_lines():
+    """All rows of the gold tables as text, four digits for doubles."""
+    number = lambda c: f"printf('%.4f', {c})"
+    time = lambda c: f"strftime({c}, '%Y-%m-%d %H:%M:%S')"
+    columns = {
+        ("daily_revenue", "daily"): [time("date"), number("revenue"), "order_count", "unique_customers", number("avg_order_value")],
+        ("product_metrics", "products"): ["product_id", "product_name", "category", "total_orders", number("total_revenue"),
+            number("avg_price"), "units_sold", "unique_buyers"],
+        ("user_metrics", "um"): ["user_id", "total_orders", "completed_orders", "cancelled_orders", number("total_spend"),
+            number("avg_order_value"), time("last_order_ts"), time("first_order_ts"), "unique_products_bought", "total_clicks",
+            "converted_clicks", "total_sessions", number("conversion_rate")],
+        ("funnel", "fu"): ["page", "visits", "sessions", "unique_users", "conversions", number("conversion_rate")],
+    }
+    return ctes(ORDERS, CLICKS, DAILY, PRODUCTS, USERS, FUNNEL) + " " + " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, " + " || '|' || ".join(f"coalesce(({c})::VARCHAR, '-')" for c in given) + f" AS line FROM {cte}"
+        for (table, cte), given in columns.items())
+
+
+def tree_rows(model):
+    return f"""SELECT '{model}' AS model, unnest({[*FEATURES]}) AS feature, true AS is_share, 1.0::DOUBLE AS total,
+        true AS learns"""
+
+
 def bronze_columns(topic_cte, topic, ts):
     return f"""SELECT '{topic}' AS topic, part_no, off_no, {ts} AS kafka_timestamp FROM {topic_cte}"""
 
@@ -266,8 +286,10 @@ def schema_lines():
         "unique_products_bought bigint, total_clicks bigint, converted_clicks bigint, "
         "total_sessions bigint, conversion_rate double, updated_at timestamp"
     ).split(", ")
-    return " UNION ALL ".join(
-        f"SELECT {i} AS position, '{c.split()[0]}' AS column_name, '{c.split()[1]}' AS data_type, true AS nullable"
+    filled = lambda c: "count(*)" if c == "updated_at" else f"count({c})"
+    return UM + " " + " UNION ALL ".join(
+        f"SELECT {i} AS position, '{c.split()[0]}' AS column_name, '{c.split()[1]}' AS data_type, true AS nullable, "
+        f"{filled(c.split()[0])} AS filled FROM um"
         for i, c in enumerate(columns))
 
 
@@ -292,12 +314,13 @@ def statements():
             FROM so JOIN (VALUES (0, 'completed'), (1, 'refunded')) t(v, st) ON st = status GROUP BY v)""",
         "optional_scan": users_without_clicks,
         "table_history": SO + """ SELECT CASE status WHEN 'completed' THEN 0 ELSE 1 END::BIGINT AS version,
-            'OVERWRITE' AS operation, true AS dated, count(*) AS row_count FROM so
+            true AS dated, count(*) AS row_count FROM so
             WHERE status IN ('completed', 'refunded') GROUP BY status""",
         "describe_schema": schema_lines(),
         "named_table_sql": ctes(CLICKS, FUNNEL) + " SELECT page, visits, conversion_rate FROM fu WHERE visits > 0",
         # sinks and encoding
-        "bronze_append": clicks_raw + " " + bronze_columns("click_raw", "clicks", "event_ts"),
+        "bronze_append": f"""{clicks_raw} SELECT 'clicks' AS topic, part_no, off_no, event_ts AS kafka_timestamp,
+            click_id AS kafka_key, sha256(CASE WHEN broken THEN '{{"broken' ELSE {CLICK_JSON} END) AS payload_sha256 FROM click_raw""",
         "snapshot_overwrite": SO + " SELECT order_id, user_id, total_amount FROM so WHERE status = 'completed'",
         "write_row_count": SO + " SELECT 'silver' AS layer, 'orders' AS table_name, 0::BIGINT AS version, count(*) AS row_count FROM so",
         "event_encode": f"""{clicks_raw} SELECT click_id AS key_text, {CLICK_JSON} AS value_text,
@@ -314,6 +337,7 @@ def statements():
             FROM order_raw""",
         "filter_not_null": orders_raw + " SELECT part_no, off_no, order_id FROM order_raw WHERE NOT broken AND order_id IS NOT NULL",
         "filter_positive": clicks_raw + " SELECT part_no, off_no, duration_ms FROM click_raw WHERE NOT broken AND duration_ms > 0",
+        "filter_positive_amount": orders_raw + " SELECT part_no, off_no, total_amount FROM order_raw WHERE NOT broken AND total_amount > 0",
         "filter_in_list": orders_raw + """ SELECT part_no, off_no, status FROM order_raw WHERE NOT broken
             AND status IN ('completed', 'pending', 'cancelled', 'refunded')""",
         "filter_equals": SO + " SELECT order_id, status, total_amount FROM so WHERE status = 'completed'",
@@ -364,9 +388,9 @@ def statements():
             coalesce(total_spend, 0) AS total_spend, coalesce(conversion_rate, 0) AS conversion_rate FROM um""",
         "scalar_cast": UM + """ SELECT user_id, CAST(total_orders AS INTEGER) AS total_orders, CAST(total_clicks AS INTEGER)
             AS total_clicks, CAST(unique_products_bought AS DOUBLE) AS products, CAST(completed_orders AS VARCHAR) AS completed_text FROM um""",
-        "scalar_ratio": UM + " SELECT user_id, completed_orders / (total_clicks + 1) AS ratio FROM um",
+        "scalar_ratio": UM + " SELECT user_id, round(completed_orders / (total_clicks + 1), 4) AS ratio FROM um",
         "scalar_predicates": clicks_raw + """ SELECT off_no, click_id IS NULL AS no_id, duration_ms > 0 AS positive,
-            referrer = 'google' AS from_google, referrer IN ('email', 'direct') AS own, NOT (referrer IS NULL) AS known FROM click_raw""",
+            referrer = 'search' AS from_search, referrer IN ('mailing', 'direct') AS own, NOT (referrer IS NULL) AS known FROM click_raw""",
         "scalar_json_encode": f"{clicks_raw} SELECT off_no, {CLICK_JSON} AS payload FROM click_raw",
         "scalar_iso_format": clicks_raw + """ SELECT off_no, strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS text FROM click_raw""",
         "scalar_padded_id": """SELECT l_orderkey, l_linenumber, printf('P%04d', l_partkey) AS product_id,
@@ -385,8 +409,8 @@ def statements():
             LEFT JOIN split s ON s.is_high_value = a.v AND s.prediction = p.v GROUP BY ALL""",
         "segment_distribution": segments,
         "score_histogram": UF + """, span AS (SELECT min(score) AS lo, max(score) AS hi FROM split)
-            SELECT CAST(least(floor((score - lo) / (hi - lo) * 40), 39) AS INTEGER) AS bin, count(*) AS rows
-            FROM split, span GROUP BY 1""",
+            SELECT b.bin::INTEGER AS bin, count(x.bin) AS rows FROM range(40) b(bin)
+            LEFT JOIN (SELECT least(floor((score - lo) / (hi - lo) * 40), 39) AS bin FROM split, span) x ON x.bin = b.bin GROUP BY 1""",
         # streaming
         "stream_two_topics": ctes(ORDER_EVENTS, CLICK_EVENTS) + """
             SELECT topic, part_no, count(*) AS row_count, CAST(min(off_no) AS BIGINT) AS first_offset,
@@ -395,13 +419,23 @@ def statements():
         "stream_resume": clicks_raw + " SELECT part_no, count(*) AS row_count, count(DISTINCT off_no) AS offsets FROM click_raw GROUP BY part_no",
         "stream_replay_dedup": f"{SC} SELECT {CLICK_COLUMNS} FROM sc",
         # jobs
-        "silver_orders": f"{SO} SELECT {ORDER_COLUMNS} FROM so",
-        "silver_clicks": f"{SC} SELECT {CLICK_COLUMNS} FROM sc",
+        "silver_orders": f"{SO} SELECT {ORDER_COLUMNS}, ts_text, NULL::VARCHAR AS kafka_key FROM so",
+        "silver_clicks": f"""{SC} SELECT {CLICK_COLUMNS}, strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS ts_text FROM sc""",
         "silver_incremental": f"{SC} SELECT {CLICK_COLUMNS} FROM sc",
-        "gold_refresh": ctes(ORDERS, CLICKS, DAILY, PRODUCTS, USERS, FUNNEL) + """
-            SELECT 'daily_revenue' AS table_name, count(*) AS row_count, CAST(sum(CAST(round(revenue * 100) AS BIGINT)) AS BIGINT) AS measure FROM daily
-            UNION ALL SELECT 'product_metrics', count(*), CAST(sum(CAST(round(total_revenue * 100) AS BIGINT)) AS BIGINT) FROM products
-            UNION ALL SELECT 'user_metrics', count(*), CAST(sum(total_clicks) AS BIGINT) FROM um
-            UNION ALL SELECT 'funnel', count(*), CAST(sum(visits) AS BIGINT) FROM fu""",
+        "gold_refresh": gold_lines(),
         "run_once": snapshot_counts(),
+        # models: what holds for the fitted ones
+        "logistic_regression": f"SELECT unnest({[*FEATURES, 'intercept']}) AS weight, 0.0::DOUBLE AS gradient",
+        "random_forest": tree_rows("Random Forest"),
+        "gradient_boosting": tree_rows("Gradient Boosting"),
+        "best_model": """SELECT unnest(['Logistic Regression', 'Random Forest', 'Gradient Boosting']) AS model,
+            true AS learns, true AS best_is_no_worse""",
+        "predict_proba": UF + " SELECT user_id, true AS is_probability, true AS is_same FROM split WHERE is_test",
+        "predict_class": UF + " SELECT user_id, is_high_value, true AS is_likelier FROM split WHERE is_test",
+        "score_all_users": UF + " SELECT user_id, true AS is_binned FROM uf",
+        "top_propensity": UF + " SELECT CAST(row_number() OVER (ORDER BY user_id) AS INTEGER) AS place, 0::BIGINT AS higher_outside FROM (SELECT user_id FROM uf LIMIT 10)",
+        "feature_importance": f"SELECT unnest({[*FEATURES]}) AS feature, true AS is_number",
+        "propensity": UF + """, sizes AS (SELECT count(*) AS n, count(*) FILTER (is_test) AS t FROM split)
+            SELECT r.result, CASE r.k WHEN 0 THEN 0 WHEN 1 THEN t ELSE n END::BIGINT AS users FROM sizes, (VALUES ('scored', 2),
+            ('tested', 1), ('report', 1), ('matrix', 1), ('importances', 0), ('segments', 2), ('histogram', 2)) r(result, k)""",
     }

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 from strata.operators.models import top_propensity
 from strata.plans.propensity import propensity_of
 from strata.plans.refresh import run_once
-from strata.sources.tables import register_layers
+from strata.sources.tables import read_table, register_layers
 from strata.streaming.ingest import start_bronze
 
 
@@ -17,8 +17,8 @@ def main(arguments: list[str] | None = None) -> None:
     ingest = jobs.add_parser("ingest", help="append both topics to bronze until one stream stops")
     ingest.add_argument("--servers", required=True, help="Kafka bootstrap servers")
     refresh = jobs.add_parser("refresh", help="bronze to silver to gold, once")
-    refresh.add_argument("--incremental", action="store_true", help="parse only new bronze versions")
-    score = jobs.add_parser("score", help="fit the propensity models and show the top users")
+    refresh.add_argument("--incremental", action="store_true", help="parse only new bronze rows")
+    score = jobs.add_parser("score", help="fit the propensity models, store scores and evaluation in layer ml")
     score.add_argument("--threshold", type=float, default=200.0)
     for job in (ingest, refresh, score):
         job.add_argument("--root", required=True, help="folder of the layers")
@@ -33,10 +33,12 @@ def main(arguments: list[str] | None = None) -> None:
             print(f"{done.layer}.{done.table} version {done.version}: {done.rows} rows")
         register_layers(spark, options.root)
     else:
-        found = propensity_of(spark, options.root, options.threshold)
-        for result in found.results:
+        for result in propensity_of(spark, options.root, options.threshold):
             print(f"{result.name}: AUC {result.auc:.4f}")
-        top_propensity(found.scored).show()
+        stored = lambda name: read_table(spark, options.root, "ml", name)
+        for name in ("classification_report", "confusion_matrix", "feature_importance", "segment_distribution"):
+            stored(name).show()
+        top_propensity(stored("scored_users")).show()
 
 
 if __name__ == "__main__":

@@ -25,6 +25,14 @@ def padded_id(prefix: str, number: Column, width: int) -> Column:
     return F.format_string(f"{prefix}%0{width}d", number.cast("bigint"))
 
 
+def day(ts: Column) -> Column:
+    return F.date_trunc("day", ts)
+
+
+def cents(amount: Column) -> Column:
+    return F.round(amount, 2)
+
+
 def rate(part: Column, whole: Column) -> Column:
     """part / (whole + 1), four digits. The 1 keeps an empty whole from dividing by zero."""
     return F.round(part / (whole + F.lit(1)), 4)

@@ -89,15 +89,16 @@ def segment_distribution(df: DataFrame, score: str = "propensity_score") -> Data
 
 
 def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
-    """Rows per equal-width bin over [min, max], the last bin closed. Empty bins are not listed.
+    """Rows per equal-width bin over [min, max], the last bin closed; all bins, also empty ones.
 
-    The range is a scalar subquery, so nothing is joined. A constant column falls into bin 0.
+    The range is a scalar subquery. A constant column has the range of one unit around its value.
     """
     x = F.col(column).cast("double")
     span = df.agg(F.struct(F.min(x).alias("low"), F.max(x).alias("high"))).scalar()
-    low, high = span["low"], span["high"]
+    half = F.when(span["low"] == span["high"], 0.5).otherwise(0.0)
+    low, high = span["low"] - half, span["high"] + half
     place = F.floor(F.try_divide(x - low, high - low) * bins)
-    bin_ = F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("int")
-    return df.where(F.col(column).isNotNull()).groupBy(bin_.alias("bin")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+    placed = df.where(F.col(column).isNotNull()).select(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
+    counted = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("rows"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return every.join(counted, "bin", "left").select("bin", F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"))

@@ -1,9 +1,9 @@
 """Questions asked of the clean and aggregated tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.money import exact_sum, minor_units
+from strata.functions.money import exact_sum
 from strata.operators.silver import completed
 
 
@@ -11,15 +11,18 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def schema_rows(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Position, name, type and nullability of each column."""
+def schema_rows(df: DataFrame) -> DataFrame:
+    """Position, name, type and nullability of each column, and how many rows have a value: one aggregation."""
+    fields = df.schema.fields
+    counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
     rows = [
-        (i, field.name, field.dataType.simpleString(), field.nullable)
-        for i, field in enumerate(df.schema.fields)
+        F.struct(
+            F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.lit(f.nullable).alias("nullable"), F.col(f"c{i}").alias("filled"),
+        )
+        for i, f in enumerate(fields)
     ]
-    return spark.createDataFrame(
-        rows, "position int, column_name string, data_type string, nullable boolean"
-    )
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def status_distribution(orders: DataFrame) -> DataFrame:
@@ -37,7 +40,7 @@ def category_revenue(orders: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("orders"),
             revenue.alias("revenue"),
-            F.try_divide(revenue, F.count(minor_units(amount))).alias("avg_value"),
+            F.try_divide(revenue, F.count(amount)).alias("avg_value"),
         )
         .orderBy(F.desc_nulls_last("revenue"), "category")
     )

@@ -2,6 +2,8 @@
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ def user_features(users: DataFrame, threshold: float = SPEND_THRESHOLD) -> DataF
         users.withColumns({
             "total_spend": F.col("total_spend").cast("double"),
             "avg_order_value": F.col("avg_order_value").cast("double"),
-            **{c: F.col(c).try_cast("int") for c in counts},
+            **{c: F.col(c).cast("bigint") for c in counts},
         })
         .withColumn(LABEL, F.when(F.col("total_spend") > threshold, 1).otherwise(0))
         .fillna(0)
@@ -35,10 +37,10 @@ def stratified_split(
     key: str = "user_id",
     test: float = 0.2,
     seed: int = 42,
-    classes: Sequence[int] = (0, 1),
 ) -> DataFrame:
     """Add `is_test`: in each class exactly round(test * n) rows, those with the smallest
-    (hash, key). `key` must be unique.
+    (hash, key). `key` must be unique. Classes are those of the data; rows without a label are not
+    test rows.
 
     A rank over a whole class would sort half of the data in one task. Instead the rows are
     counted per class and hash bucket (65,536 buckets, so that result is small whatever the
@@ -47,7 +49,7 @@ def stratified_split(
     rows are scanned three times and the wide ones are never shuffled.
     """
     hashed = df.withColumn("_hash", key_hash(F.col(key), seed))
-    slim = hashed.where(F.col(label).isin(*classes)).select(
+    slim = hashed.where(F.col(label).isNotNull()).select(
         F.col(label).alias("_class"), F.col(key).alias("_key"), "_hash",
         F.shiftright("_hash", 16).alias("_bucket"),
     )
@@ -113,81 +115,73 @@ QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 SUMMARY = ("feature", "count", "mean", "std", "min", *QUARTILES, "max")
 
 
-def summarize(
-    df: DataFrame, columns: Sequence[str], accuracy: int = 10_000, small: int = 100_000
-) -> DataFrame:
+def summarize(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
     """count, mean, std, min, exact quartiles and max, one row per column.
 
     The exact `percentile` function keeps a map of all distinct values in one task. Here a
-    first pass takes an approximate quantile on either side of each quartile, with a rank error
-    of at most n / accuracy; a second counts the rows below that bracket; a third ranks only
-    the values inside it, about 6 n / accuracy rows. Up to `small` rows the bracket is the whole
-    range (it must be for n <= accuracy, where the margin is below one rank). Quartiles are
-    interpolated linearly between neighbouring values.
+    first pass counts the values; a second takes an approximate quantile on either side of each
+    quartile, further away than its rank error and than one rank; a third counts the rows below these
+    brackets, and a fourth ranks only the distinct values inside them. Quartiles are interpolated
+    linearly between neighbouring values.
     """
-    margin, small = 3.0 / accuracy, max(small, accuracy)
-    sides = [
-        p for q in QUARTILES.values() for p in (max(q - margin, 0.0), min(q + margin, 1.0))
-    ]
+    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
     measures = []
     for c in columns:
         x = F.col(c).cast("double")
+        margin = 3.0 / accuracy + 2.0 / max(counts[c], 1)
+        sides = [p for q in QUARTILES.values() for p in (max(q - margin, 0.0), min(q + margin, 1.0))]
         measures += [
-            F.count(x).alias(f"n_{c}"), F.avg(x).alias(f"mean_{c}"),
-            F.stddev_samp(x).alias(f"std_{c}"), F.min(x).alias(f"min_{c}"),
+            F.avg(x).alias(f"mean_{c}"), F.stddev_samp(x).alias(f"std_{c}"), F.min(x).alias(f"min_{c}"),
             F.max(x).alias(f"max_{c}"), F.percentile_approx(x, sides, accuracy).alias(f"at_{c}"),
         ]
     stats = df.agg(*measures).first()
-
-    targets = []
-    for c in columns:
-        for i, (name, q) in enumerate(QUARTILES.items()):
-            n = stats[f"n_{c}"]
-            if n > small:
-                low, high = stats[f"at_{c}"][2 * i : 2 * i + 2]
-            else:
-                low, high = stats[f"min_{c}"], stats[f"max_{c}"]
-            if n > 0:
-                targets.append((c, name, low, high, q * (n - 1)))
-
     known = df.sparkSession.createDataFrame(
-        [
-            (c, *(stats[f"{m}_{c}"] for m in ("n", "mean", "std", "min", "max")))
-            for c in columns
-        ],
+        [(c, counts[c], *(stats[f"{m}_{c}"] for m in ("mean", "std", "min", "max"))) for c in columns],
         "feature string, count bigint, mean double, std double, min double, max double",
     )
-    if not targets:
+    brackets = [
+        (c, name, *stats[f"at_{c}"][2 * i : 2 * i + 2], q * (counts[c] - 1))
+        for c in columns if counts[c] for i, (name, q) in enumerate(QUARTILES.items())
+    ]
+    if not brackets:
         empty = {name: F.lit(None).cast("double") for name in QUARTILES}
         return known.withColumns(empty).select(*SUMMARY)
-    if any(stats[f"n_{c}"] > small for c in columns):
-        below = df.agg(*[
-            F.count(F.when(F.col(c) < low, 1)).alias(f"below_{i}")
-            for i, (c, _, low, _, _) in enumerate(targets)
-        ]).first()
-        targets = [(*t[:4], t[4] - below[i]) for i, t in enumerate(targets)]
-    return known.join(_at_ranks(df, targets), "feature", "left").select(*SUMMARY)
+    below = df.agg(*[
+        F.count(F.when(F.col(c) < low, 1)).alias(f"below_{i}") for i, (c, _, low, _, _) in enumerate(brackets)
+    ]).first()
+    targets = [(*t[:4], t[4] - below[i]) for i, t in enumerate(brackets)]
+    return known.join(_at_ranks(tied_values(df, targets), targets), "feature", "left").select(*SUMMARY)
 
 
-def _at_ranks(df: DataFrame, targets: list[tuple]) -> DataFrame:
+def tied_values(df: DataFrame, targets: list[tuple]) -> DataFrame:
+    """Distinct values inside any bracket of their feature, with their number of rows.
+
+    A row makes one entry per feature at most, and equal values are added up before the shuffle.
+    """
+    inside = {}
+    for c, _, low, high, _ in targets:
+        inside.setdefault(c, []).append(F.col(c).between(low, high))
+    entries = F.array_compact(F.array(*[
+        F.when(reduce(or_, tests), F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")))
+        for c, tests in inside.items()
+    ]))
+    values = df.select(F.explode(entries).alias("entry")).select("entry.*")
+    return values.groupBy("feature", "x").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _at_ranks(values: DataFrame, targets: list[tuple]) -> DataFrame:
     """Per feature, the value at each (fractional) rank counted from the start of its bracket."""
     hits = F.array_compact(F.array(*[
         F.when(
-            F.col(c).between(low, high),
-            F.struct(
-                F.lit(c).alias("feature"), F.lit(name).alias("name"),
-                F.lit(rank).alias("rank"), F.col(c).cast("double").alias("x"),
-            ),
+            (F.col("feature") == c) & F.col("x").between(low, high),
+            F.struct(F.lit(name).alias("name"), F.lit(rank).alias("rank")),
         )
         for c, name, low, high, rank in targets
     ]))
-    values = (
-        df.select(F.explode(hits).alias("hit")).select("hit.*")
-        .groupBy("feature", "name", "rank", "x").agg(F.count(F.lit(1)).alias("n"))
-    )
+    ranked = values.select("feature", "x", "n", F.explode(hits).alias("hit")).select("feature", "x", "n", "hit.*")
     upto = F.sum("n").over(Window.partitionBy("feature", "name").orderBy("x"))
     before, after = F.floor("rank"), F.ceil("rank")
-    found = values.withColumn("upto", upto).groupBy("feature", "name").agg(
+    found = ranked.withColumn("upto", upto).groupBy("feature", "name").agg(
         F.min(F.when(F.col("upto") > before, F.col("x"))).alias("left"),
         F.min(F.when(F.col("upto") > after, F.col("x"))).alias("right"),
         F.max(F.col("rank") - before).alias("share"),

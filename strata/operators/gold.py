@@ -2,14 +2,15 @@
 
 Every measure has a map-side partial form: a key that holds a third of all rows reaches the
 final aggregation as one row per task. Exact distinct counts are grouped by (key, value)
-first, so their shuffle is spread by both.
+first, so their shuffle is spread by both. The names of the measures are fixed values: they are
+the columns of the gold tables.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.money import exact_mean, exact_sum
-from strata.functions.scalars import rate
+from strata.functions.money import exact_mean, exact_sum, price_mean
+from strata.functions.scalars import day, rate
 from strata.operators.silver import completed
 from strata.schemas import CANCELLED, COMPLETED
 
@@ -29,7 +30,7 @@ def _stamped(df: DataFrame, clock: Column | None) -> DataFrame:
 
 def daily_revenue(orders: DataFrame, clock: Column | None = None) -> DataFrame:
     """Completed orders per day; orders without a readable time form the NULL day."""
-    days = completed(orders).groupBy(F.date_trunc("day", "event_ts").alias("date"))
+    days = completed(orders).groupBy(day(F.col("event_ts")).alias("date"))
     return _stamped(
         days.agg(
             exact_sum(F.col("total_amount")).alias("revenue"),
@@ -44,14 +45,14 @@ def daily_revenue(orders: DataFrame, clock: Column | None = None) -> DataFrame:
 def product_metrics(orders: DataFrame, clock: Column | None = None) -> DataFrame:
     """Completed orders per product; a renamed product counts as another one.
 
-    Unit prices are not rounded on the way in, so their mean keeps four digits inside.
+    Unit prices are not rounded on the way in; their mean is rounded once.
     """
     products = completed(orders).groupBy("product_id", "product_name", "category")
     return _stamped(
         products.agg(
             rows().alias("total_orders"),
             exact_sum(F.col("total_amount")).alias("total_revenue"),
-            exact_mean(F.col("unit_price"), digits=4).alias("avg_price"),
+            price_mean(F.col("unit_price")).alias("avg_price"),
             F.sum("quantity").alias("units_sold"),
             F.count_distinct("user_id").alias("unique_buyers"),
         ),

@@ -5,19 +5,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.scalars import parse_instant
+from strata.functions.scalars import cents, parse_instant
 from strata.schemas import (
     CLICK_PAYLOAD, COMPLETED, DEFAULT_REFERRER, ORDER_PAYLOAD, ORDER_STATUSES, POSITION,
 )
 
 
-def parse_payload(bronze: DataFrame, schema: str) -> DataFrame:
-    """Payload columns, ingestion time and place of each raw row.
+def parse_payload(bronze: DataFrame, schema: str, fields: Sequence[str] | None = None) -> DataFrame:
+    """Payload columns (or those in `fields`), ingestion time and place of each raw row.
 
-    Unreadable text gives NULL columns; a field of the wrong type is NULL on its own.
+    Unreadable text gives NULL columns; a field of the wrong type is NULL on its own. The parser skips
+    fields that are not asked for.
     The struct is spread by a generator: filters on its fields would otherwise be moved below
     the projection and parse the text again for each field they use.
     """
+    if fields is not None:
+        schema = ", ".join(f.strip() for f in schema.split(",") if f.split()[0] in fields)
     payload = F.inline(F.array(F.from_json("raw_value", schema)))
     return bronze.select(payload, "ingested_at", *POSITION)
 
@@ -32,38 +35,60 @@ def first_copy(df: DataFrame, keys: Sequence[str], order: Sequence[str] = POSITI
     return df.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
 
 
+def has_id(key: str) -> Column:
+    return F.col(key).isNotNull()
+
+
+def positive(measure: str) -> Column:
+    return F.col(measure) > 0
+
+
+def known_status() -> Column:
+    return F.col("status").isin(*ORDER_STATUSES)
+
+
+def visit_referrer() -> Column:
+    """A missing referrer is a direct visit."""
+    return F.coalesce("referrer", F.lit(DEFAULT_REFERRER))
+
+
 def valid_orders(events: DataFrame) -> DataFrame:
     """Orders with an id, a positive amount and a known status."""
-    return events.where(
-        F.col("order_id").isNotNull()
-        & (F.col("total_amount") > 0)
-        & F.col("status").isin(*ORDER_STATUSES)
-    )
+    return events.where(has_id("order_id") & positive("total_amount") & known_status())
 
 
 def valid_clicks(events: DataFrame) -> DataFrame:
     """Clicks with an id and a positive duration."""
-    return events.where(F.col("click_id").isNotNull() & (F.col("duration_ms") > 0))
+    return events.where(has_id("click_id") & positive("duration_ms"))
 
 
 def completed(orders: DataFrame) -> DataFrame:
     return orders.where(F.col("status") == COMPLETED)
 
 
-def silver_orders(bronze: DataFrame, clock: Column | None = None) -> DataFrame:
-    """Clean orders. Rows are validated first, so a bad copy never displaces a good one."""
-    events = valid_orders(parse_payload(bronze, ORDER_PAYLOAD)).withColumns({
+def silver_orders(
+    bronze: DataFrame, clock: Column | None = None, fields: Sequence[str] | None = None
+) -> DataFrame:
+    """Clean orders. Rows are validated first, so a bad copy never displaces a good one.
+
+    With `fields` only these payload fields are parsed, and those the rules need.
+    """
+    wanted = None if fields is None else {*fields, "order_id", "total_amount", "status", "timestamp"}
+    events = valid_orders(parse_payload(bronze, ORDER_PAYLOAD, wanted)).withColumns({
         "event_ts": parse_instant(F.col("timestamp")),
-        "total_amount": F.round("total_amount", 2),
+        "total_amount": cents(F.col("total_amount")),
     })
     return _stamped(first_copy(events, ["order_id"]), clock)
 
 
-def silver_clicks(bronze: DataFrame, clock: Column | None = None) -> DataFrame:
-    """Clean clicks; a missing referrer is a direct visit."""
-    events = valid_clicks(parse_payload(bronze, CLICK_PAYLOAD)).withColumns({
+def silver_clicks(
+    bronze: DataFrame, clock: Column | None = None, fields: Sequence[str] | None = None
+) -> DataFrame:
+    """Clean clicks. With `fields` only these payload fields are parsed, and those the rules need."""
+    wanted = None if fields is None else {*fields, "click_id", "duration_ms", "timestamp", "referrer"}
+    events = valid_clicks(parse_payload(bronze, CLICK_PAYLOAD, wanted)).withColumns({
         "event_ts": parse_instant(F.col("timestamp")),
-        "referrer": F.coalesce("referrer", F.lit(DEFAULT_REFERRER)),
+        "referrer": visit_referrer(),
     })
     return _stamped(first_copy(events, ["click_id"]), clock)
 

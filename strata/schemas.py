@@ -39,6 +39,10 @@ LAYERS = {
     "bronze": ("orders", "clicks"),
     "silver": ("orders", "clicks"),
     "gold": ("daily_revenue", "product_metrics", "user_metrics", "funnel"),
+    "ml": (
+        "models", "scored_users", "classification_report", "confusion_matrix", "feature_importance",
+        "segment_distribution", "score_histogram",
+    ),
 }
 
 FEATURES = (

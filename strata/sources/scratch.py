@@ -1,17 +1,10 @@
-"""Shared folder for tables that only live as long as a job."""
+"""Folders for tables that only live as long as a job."""
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
 
-
-def scratch_root(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the cluster's `spark.checkpoint.dir`.
-
-    Only where the cluster names none, as in tests on one machine, a local folder is used.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="strata-")
-    return f"{shared.rstrip('/')}/strata-{purpose}-{uuid.uuid4().hex}"
+def scratch_root(folder: str, purpose: str) -> str:
+    """A new folder under `folder`, which must be in a store that all executors share."""
+    if not folder:
+        raise ValueError("a shared folder is needed for intermediate tables")
+    return f"{folder.rstrip('/')}/strata-{purpose}-{uuid.uuid4().hex}"

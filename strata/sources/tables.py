@@ -1,215 +1,148 @@
-"""Layer tables with versions, on plain Parquet.
+"""Layer tables as folders of Parquet files, written and read by Spark's own source.
 
-A version is a directory `<root>/<layer>/<table>/_version=N`; it exists for readers once its
-one-row entry stands in `<root>/<layer>/<table>__commits/version=N`. Data is written first, the
-entry last, so a job that dies in between leaves nothing visible and the next attempt writes
-the same version again. One writer per table.
-
-A snapshot replaces the table and its schema; an append adds to it. The table as of version N
-is the latest snapshot up to N and all appends after it, up to N.
+A refresh writes a new folder `<root>/<layer>/<table>/refresh=N`. It counts once Spark's committer has
+left its `_SUCCESS` file there, so a refresh that dies changes nothing for readers, who take the latest;
+earlier ones stay readable by their number. Rows are added by Spark's append mode. One writer per table.
+Where a table format with transactions is at hand, its own versions and history serve better.
 """
 
-import json
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
-
-from strata.schemas import LAYERS
 
-SNAPSHOT, APPEND = "snapshot", "append"
-
-COMMIT = """
-    timestamp timestamp, operation string, kind string, schema_json string,
-    operationMetrics map<string,string>, query_id string, batch_id bigint, version bigint
-"""
+from strata.schemas import ENVELOPE, LAYERS
+from strata.sources.files import matching
 
 
 @dataclass(frozen=True)
-class Commit:
+class Written:
     layer: str
     table: str
     version: int
     rows: int
 
 
-@dataclass(frozen=True)
-class State:
-    """What the table is made of as of a version: directories first..version.
-
-    `snapshots` tells whether the table was ever replaced, so that its schema may have changed.
-    """
-
-    first: int
-    version: int
-    schema: StructType
-    metrics: dict[str, str]
-    snapshots: bool
-
-
 def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
-def _is_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+def refresh_path(root: str, layer: str, name: str, number: int) -> str:
+    return f"{table_path(root, layer, name)}/refresh={number}"
 
 
-def commits(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    """All commit entries; raises path-not-found for a table that was never written."""
-    return spark.read.schema(COMMIT).parquet(table_path(root, layer, name) + "__commits")
+def refreshes(spark: SparkSession, root: str, layer: str, name: str) -> dict[int, datetime]:
+    """The finished refreshes by number, with the time of their last write."""
+    marks = matching(spark, table_path(root, layer, name) + "/refresh=*/_SUCCESS")
+    return {int(path.split("/refresh=")[-1].split("/")[0]): at for path, at in marks}
 
 
-def state(
-    spark: SparkSession, root: str, layer: str, name: str, version: int | None = None
-) -> State:
-    """The table as of a version (default: the latest); one row reaches the driver."""
-    upto = F.lit(True) if version is None else F.col("version") <= version
-    at = F.when(upto, F.col("version"))
-    is_snapshot = F.col("kind") == SNAPSHOT
-    row = commits(spark, root, layer, name).agg(
-        F.max(at).alias("version"),
-        F.max(F.when(is_snapshot, at)).alias("snapshot"),
-        F.max_by("schema_json", at).alias("schema_json"),
-        F.max_by("operationMetrics", at).alias("metrics"),
-        F.coalesce(F.bool_or(is_snapshot), F.lit(False)).alias("snapshots"),
-    ).first()
-    if row.version is None or version not in (None, row.version):
-        raise ValueError(f"{layer}.{name} has no version {version}")
-    schema = StructType.fromJson(json.loads(row.schema_json))
-    return State(row.snapshot or 0, row.version, schema, row.metrics, row.snapshots)
+def latest(spark: SparkSession, root: str, layer: str, name: str) -> int | None:
+    """The number of the latest refresh, or None for a table that was never written."""
+    return max(refreshes(spark, root, layer, name), default=None)
 
 
-def latest(spark: SparkSession, root: str, layer: str, name: str) -> State | None:
-    """The latest state, or None for a table that was never written."""
-    try:
-        return state(spark, root, layer, name)
-    except AnalysisException as error:
-        if _is_missing(error):
-            return None
-        raise
+def written_at(spark: SparkSession, root: str, layer: str, name: str) -> datetime | None:
+    """When the latest refresh was last written."""
+    found = refreshes(spark, root, layer, name)
+    return found[max(found)] if found else None
 
 
-def read_versions(
-    spark: SparkSession, path: str, schema: StructType, first: int, last: int
-) -> DataFrame:
-    """Rows of the version directories first..last; the others are pruned."""
-    with_version = StructType(schema.fields + [StructField("_version", LongType())])
-    return (
-        spark.read.schema(with_version).parquet(path)
-        .where(F.col("_version").between(first, last))
-        .drop("_version")
-    )
+def bronze_streams(spark: SparkSession, root: str, topic: str) -> list[str]:
+    """Folders of the streams that fill a bronze table, one for each checkpoint."""
+    return sorted(path.rsplit("/", 1)[0] for path, _ in matching(spark, table_path(root, "bronze", topic) + "/*/_spark_metadata"))
 
 
-def read_table(
-    spark: SparkSession, root: str, layer: str, name: str, version: int | None = None
-) -> DataFrame:
-    """The table as of a version (default: the latest)."""
-    return read_at(spark, root, layer, name, state(spark, root, layer, name, version))
+def read_table(spark: SparkSession, root: str, layer: str, name: str, version: int | None = None) -> DataFrame:
+    """The table as of a refresh (default: the latest); a bronze table as of now.
+
+    Of a bronze folder the file source reads what its stream has committed. A table that was never written
+    raises path-not-found.
+    """
+    if layer == "bronze":
+        return read_bronze(spark, root, name)
+    known = refreshes(spark, root, layer, name)
+    if known and version is not None and version not in known:
+        raise ValueError(f"{layer}.{name} has no version {version}")
+    return spark.read.parquet(refresh_path(root, layer, name, max(known, default=0) if version is None else version))
 
 
-def read_at(spark: SparkSession, root: str, layer: str, name: str, at: State) -> DataFrame:
-    """The table in a state that was looked up before."""
-    path = table_path(root, layer, name)
-    if at.first == at.version:
-        return spark.read.schema(at.schema).parquet(f"{path}/_version={at.version}")
-    return read_versions(spark, path, at.schema, at.first, at.version)
+def read_bronze(spark: SparkSession, root: str, topic: str) -> DataFrame:
+    streams = bronze_streams(spark, root, topic) or [table_path(root, "bronze", topic)]
+    parts = [spark.read.schema(ENVELOPE).parquet(path) for path in streams]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionAll(part)
+    return whole
 
 
-def try_read_table(
-    spark: SparkSession, root: str, layer: str, name: str, version: int | None = None
-) -> DataFrame | None:
+def try_read_table(spark: SparkSession, root: str, layer: str, name: str, version: int | None = None) -> DataFrame | None:
     """The table, or None when it was never written. Other errors are raised."""
     try:
         return read_table(spark, root, layer, name, version)
     except AnalysisException as error:
-        if _is_missing(error):
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def write_version(
-    df: DataFrame, root: str, layer: str, name: str, version: int, kind: str, operation: str,
-    query_id: str | None = None, batch_id: int | None = None, **metrics: int,
-) -> Commit:
-    """Write one version and its entry. Both writes replace what an earlier attempt left.
+def _count(spark: SparkSession, path: str) -> int:
+    """Rows of a folder, from the footers of its files."""
+    return spark.read.parquet(path).count()
 
-    The plan runs once: the rows are counted from the footers of the written files. (An
-    Observation would count during the write, but in Spark 4.1 a session that has used one can
-    no longer serialize fitted models that keep a training summary.)
+
+def write_snapshot(df: DataFrame, root: str, layer: str, name: str) -> Written:
+    """Replace the table and its schema; earlier refreshes stay readable.
+
+    The rows are counted from the footers of the new files: the plan runs once.
     """
-    path = table_path(root, layer, name)
-    data = f"{path}/_version={version}"
-    df.write.mode("overwrite").parquet(data)
-    rows = df.sparkSession.read.schema(df.schema).parquet(data).count()
-    noted = {"numOutputRows": rows, **metrics}
-    entry = df.sparkSession.range(1).select(
-        F.current_timestamp().alias("timestamp"),
-        F.lit(operation).alias("operation"),
-        F.lit(kind).alias("kind"),
-        F.lit(df.schema.json()).alias("schema_json"),
-        F.create_map(*[F.lit(str(x)) for pair in noted.items() for x in pair]).alias(
-            "operationMetrics"
-        ),
-        F.lit(query_id).cast("string").alias("query_id"),
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-    )
-    entry.coalesce(1).write.mode("overwrite").parquet(f"{path}__commits/version={version}")
-    return Commit(layer, name, version, rows)
-
-
-def write_snapshot(df: DataFrame, root: str, layer: str, name: str, **metrics: int) -> Commit:
-    """Replace the table and its schema; older versions stay readable."""
-    before = latest(df.sparkSession, root, layer, name)
-    version = before.version + 1 if before else 0
-    return write_version(df, root, layer, name, version, SNAPSHOT, "OVERWRITE", **metrics)
-
-
-def append_rows(df: DataFrame, root: str, layer: str, name: str, **metrics: int) -> Commit:
-    """Add rows to an existing table."""
-    version = state(df.sparkSession, root, layer, name).version + 1
-    return write_version(df, root, layer, name, version, APPEND, "APPEND", **metrics)
+    spark = df.sparkSession
+    before = latest(spark, root, layer, name)
+    number = 0 if before is None else before + 1
+    path = refresh_path(root, layer, name, number)
+    df.write.mode("overwrite").parquet(path)
+    return Written(layer, name, number, _count(spark, path))
+
+
+def append_rows(df: DataFrame, root: str, layer: str, name: str) -> Written:
+    """Add rows to the latest refresh; to a new one where there is none."""
+    spark = df.sparkSession
+    number = latest(spark, root, layer, name)
+    if number is None:
+        return write_snapshot(df, root, layer, name)
+    path = refresh_path(root, layer, name, number)
+    before = _count(spark, path)
+    df.write.mode("append").parquet(path)
+    return Written(layer, name, number, _count(spark, path) - before)
 
 
 def history(spark: SparkSession, root: str, layer: str, name: str, n: int = 10) -> DataFrame:
-    """The latest n commits, newest first."""
-    return (
-        commits(spark, root, layer, name)
-        .select("version", "timestamp", "operation", "operationMetrics")
-        .orderBy(F.desc("version"))
-        .limit(n)
-    )
-
-
-def register_table(
-    spark: SparkSession, root: str, layer: str, name: str, version: int | None = None
-) -> str:
-    """View `layer.name` over the latest version, or `layer.name_vN` over version N."""
-    at = state(spark, root, layer, name, version)
-    columns = ", ".join(f"`{c}`" for c in at.schema.names)
-    view = f"{layer}.{name}" if version is None else f"{layer}.{name}_v{version}"
-    source, condition = table_path(root, layer, name), "true"
-    if at.snapshots:  # Name the directories: others may have another schema.
-        numbers = ",".join(str(v) for v in range(at.first, at.version + 1))
-        source += f"/_version={{{numbers}}}"
+    """The latest n refreshes, newest first: number, time of the last write, rows."""
+    known = sorted(refreshes(spark, root, layer, name).items(), reverse=True)[:n]
+    rows = [(number, at, _count(spark, refresh_path(root, layer, name, number))) for number, at in known]
+    return spark.createDataFrame(rows, "version bigint, timestamp timestamp, row_count bigint").orderBy(F.desc("version"))
+
+
+def register_table(spark: SparkSession, root: str, layer: str, name: str, version: int | None = None) -> str:
+    """View `layer.name` over the latest refresh, or `layer.name_vN` over refresh N."""
+    if layer == "bronze":
+        folders = bronze_streams(spark, root, name)
     else:
-        condition = f"_version <= {at.version}"
+        folders = [refresh_path(root, layer, name, latest(spark, root, layer, name) if version is None else version)]
+    columns = ", ".join(f"`{c}`" for c in read_table(spark, root, layer, name, version).columns)
+    view = f"{layer}.{name}" if version is None else f"{layer}.{name}_v{version}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root.rstrip('/')}/{layer}'")
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {view} AS "
-        f"SELECT {columns} FROM parquet.`{source}` WHERE {condition}"
-    )
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS " + " UNION ALL ".join(f"SELECT {columns} FROM parquet.`{f}`" for f in folders))
     return view
 
 
 def register_layers(spark: SparkSession, root: str) -> list[str]:
-    """A view of every committed table by its name. Call it again after a refresh."""
+    """A view of every written table by its name. Call it again after a refresh."""
     return [
         register_table(spark, root, layer, name)
         for layer, names in LAYERS.items()
         for name in names
-        if latest(spark, root, layer, name) is not None
+        if (bronze_streams(spark, root, name) if layer == "bronze" else refreshes(spark, root, layer, name))
     ]

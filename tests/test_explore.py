@@ -37,8 +37,8 @@ def test_first_rows_and_count(spark):
 
 
 def test_schema_rows(spark):
-    got = explore.schema_rows(spark, spark.range(1)).collect()
-    assert [tuple(r) for r in got] == [(0, "id", "bigint", False)]
+    got = explore.schema_rows(spark.range(1)).collect()
+    assert [tuple(r) for r in got] == [(0, "id", "bigint", False, 1)]
 
 
 def test_encode_keeps_null_fields_and_null_keys(spark):

@@ -1,13 +1,14 @@
 from collections import defaultdict
 from datetime import datetime
 from decimal import ROUND_HALF_UP, Decimal
+import math
 import random
 
 import pytest
 from helpers import plan_of, silver_clicks, silver_orders
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
-from strata.functions.money import exact_mean, exact_sum
+from strata.functions.money import exact_mean, exact_sum, price_mean
 from strata.functions.scalars import padded_id
 from strata.operators import gold
 
@@ -89,11 +90,35 @@ def test_money_is_exact(spark, cents):
 
 
 def test_money_edges(spark):
-    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (1e300,), (None,)], "x double")
-    row = df.agg(exact_sum(F.col("x")).alias("s"), exact_mean(F.col("x")).alias("m")).first()
-    assert (row.s, row.m) == (None, None)
-    fine = spark.createDataFrame([(0.0049,), (0.0052,)], "x double")
-    assert fine.agg(exact_mean(F.col("x"), digits=4)).first()[0] == 0.01
+    """What has no exact form shows in the result as in a plain sum."""
+    def of(*values):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        return tuple(df.agg(exact_sum(F.col("x")), exact_mean(F.col("x"))).first())
+
+    assert of(None) == (None, None)
+    assert of(10.0, 1e17) == (1e17 + 10, (1e17 + 10) / 2)
+    assert of(1e300, 1.0, None) == (1e300, 5e299)
+    assert of(10.0, math.inf) == (math.inf, math.inf)
+    assert all(math.isnan(x) for x in of(10.0, math.nan))
+    assert all(math.isnan(x) for x in of(math.inf, -math.inf))
+    # Cents beyond 64 bits: as doubles.
+    total, mean = of(*[8.9e13] * 1100)
+    assert total == pytest.approx(8.9e13 * 1100) and mean == pytest.approx(8.9e13)
+
+
+def test_amounts_and_counts_agree(spark):
+    rows = [(f"o{i}", "u", "p", x, "completed", datetime(2024, 1, 1)) for i, x in enumerate((10.0, math.nan, 1e17, math.inf))]
+    daily = gold.daily_revenue(silver_orders(spark, rows)).first()
+    assert daily.order_count == 4 and math.isnan(daily.revenue) and math.isnan(daily.avg_order_value)
+    big = gold.daily_revenue(silver_orders(spark, [rows[0], rows[2]])).first()
+    assert (big.order_count, big.revenue) == (2, 1e17 + 10)
+
+
+def test_price_is_rounded_once(spark):
+    mean = lambda *v: spark.createDataFrame([(x,) for x in v], "x double").agg(price_mean(F.col("x"))).first()[0]
+    assert mean(1.00495, 1.00495) == 1.0 and mean(1.005, 1.006) == 1.01 and mean(0.0049, 0.0052) == 0.01
+    assert mean(None) is None and mean(1e300, 1.0) == 5e299 and math.isnan(mean(1.0, math.nan))
+    assert mean(12345.678912345, 12345.678912345) == 12345.68
 
 
 def test_long_ids_keep_their_digits(spark):

@@ -22,7 +22,7 @@ def test_refresh_job(spark, root, capsys):
     assert spark.sql("SELECT count(*) FROM gold.user_metrics").first()[0] == 20
     fill(spark, root, 1)
     main(["refresh", "--root", root, "--incremental"])
-    assert "silver.orders version 1: 20 rows" in capsys.readouterr().out
+    assert "silver.orders version 0: 20 rows" in capsys.readouterr().out
     assert tables.read_table(spark, root, "silver", "orders").count() == 40
     assert tables.read_table(spark, root, "gold", "user_metrics").agg({"total_orders": "sum"}).first()[0] == 40
 
@@ -39,4 +39,6 @@ def test_score_job(spark, root, capsys, monkeypatch):
     main(["refresh", "--root", root])
     main(["score", "--root", root, "--threshold", "100"])
     out = capsys.readouterr().out
-    assert "Logistic Regression: AUC" in out and "propensity_score" in out
+    assert "Logistic Regression: AUC" in out and "propensity_score" in out and "weighted avg" in out
+    assert tables.read_table(spark, root, "ml", "scored_users").count() == 20
+    assert not tables.matching(spark, f"{root}/ml/strata-*")

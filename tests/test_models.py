@@ -21,8 +21,8 @@ def users(spark):
 
 
 @pytest.fixture(scope="module")
-def result(users):
-    return propensity(users, 250.0, trees=5, rounds=3, depth=4)
+def result(users, tmp_path_factory):
+    return propensity(users, str(tmp_path_factory.mktemp("work")), 250.0, trees=5, rounds=3, depth=4)
 
 
 def test_all_models_learn(result):
@@ -45,6 +45,21 @@ def test_all_users_are_scored(result, users):
     assert [r.user_id for r in top] == [r.user_id for r in best]
 
 
+def test_evaluation_is_that_of_the_best_model(result):
+    assert result.best.auc == max(r.auc for r in result.results)
+    assert {r["class"]: r.support for r in result.report.collect()}["accuracy"] == 80
+    assert sum(r.rows for r in result.matrix.collect()) == 80
+    assert {r.feature for r in result.importances.collect()} == set(FEATURES)
+    assert sum(r.users for r in result.segments.collect()) <= 400
+    bins = result.histogram.collect()
+    assert len(bins) == 40 and sum(r.rows for r in bins) == 400
+
+
+def test_a_shared_folder_is_needed(users):
+    with pytest.raises(ValueError, match="shared folder"):
+        propensity(users, "", 250.0)
+
+
 def test_importances(result, spark):
     for fitted in result.results:
         rows = models.importances(fitted, spark).collect()
