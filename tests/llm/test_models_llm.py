@@ -1,6 +1,8 @@
 """Quality and toxicity: held-out accuracy, exactness of the index, awkward rows."""
 
+import math
 import random
+from collections import Counter
 
 import corpus
 import numpy as np
@@ -105,3 +107,34 @@ def test_ids_and_labels_of_held_out_rows_do_not_matter(spark, tmp_path):
     labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality"))).write.parquet(f"{other}/labels.parquet")
     scores.append(sorted((str(r["doc_id"]), r["score"]) for r in q.op1_quality(spark, str(other)).collect()))
     assert scores[0] == scores[1]
+
+
+def plain_vectors(texts):
+    """TF-IDF vectors of length 1 over all words and six-letter beginnings."""
+    counts = []
+    for text in texts:
+        found = t.WORD.findall(text.lower())
+        counts.append(Counter(found + ["^" + w[: t.PREFIX] for w in found if len(w) > t.PREFIX]))
+    frequency = Counter(w for c in counts for w in c)
+    raw = [{w: (1 + math.log(n)) * (math.log((len(texts) + 1) / (frequency[w] + 1)) + 1) for w, n in c.items()} for c in counts]
+    return [{w: x / math.sqrt(sum(y * y for y in v.values())) for w, x in v.items()} for v in raw]
+
+
+def test_toxicity_cosines_are_those_of_whole_texts(spark):
+    rng = random.Random(5)
+    rows = [(i, corpus.prose(rng, rng.randint(1, 40)) + (" zyx" if i in (3, 200) else ""), "en", "a", 1) for i in range(250)]
+    rows += [(250, "zyx", "en", "a", 1), (251, "onlyhere", "en", "a", 1), (252, "", "en", "a", 0)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 3)) for i in range(150)], "doc_id bigint, toxic int")
+    docs = corpus.frame(spark, rows)
+    learnt = t.toxicity_index(docs, labels, F.lit(True))
+    got = {r["row"]["doc_id"]: r for r in t.score_toxicity(docs, learnt).collect()}
+    vectors = plain_vectors([r[1] for r in rows])
+    assert len(got) == len(rows)
+    for i, v in enumerate(vectors):
+        cosines = [sum(x * vectors[j].get(w, 0.0) for w, x in v.items()) for j in range(150)]
+        best = sorted((c for c in cosines if c > 0), reverse=True)[: t.NEAREST]
+        evidence = got[i]["evidence"]
+        assert np.allclose([e["cosine"] for e in evidence], best), i
+        assert all(np.isclose(cosines[e["doc_id"]], e["cosine"]) and e["toxic"] == int(e["doc_id"] % 4 == 3) for e in evidence)
+    # A word of one labelled row finds it.
+    assert [e["doc_id"] for e in got[250]["evidence"]] == [3]
