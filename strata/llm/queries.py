@@ -11,6 +11,7 @@ from strata.llm.quality_model import op1_quality
 from strata.llm.quality_rules import op10_quality_rules
 from strata.llm.secrets import op8_secret_scans
 from strata.llm.simhash import op3_simhash
+from strata.llm.token_files import op11_token_files
 from strata.llm.toxicity import op6_toxicity
 
 
@@ -26,6 +27,7 @@ def queries():
         "op8_secret_scans": op8_secret_scans,
         "op9_mixing": op9_mixing,
         "op10_quality_rules": op10_quality_rules,
+        "op11_token_files": op11_token_files,
         "pipeline": corpus_pipeline.run,
     }
 

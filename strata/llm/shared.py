@@ -22,12 +22,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def store_path(spark: SparkSession, purpose: str) -> str:
+    """A new folder in the shared folder."""
+    return f"{shared_folder(spark)}/llm-{purpose}-{uuid.uuid4().hex}"
+
+
 def store(df: DataFrame, purpose: str) -> DataFrame:
     """The same rows, written to the shared folder and read again.
 
     Cuts the lineage, fixes what a retried task would compute anew, and gives the planner true sizes.
     """
-    path = f"{shared_folder(df.sparkSession)}/llm-{purpose}-{uuid.uuid4().hex}"
+    path = store_path(df.sparkSession, purpose)
     # zstd frees its buffers with the writer; others leave that to the collection of the heap.
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
