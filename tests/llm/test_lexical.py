@@ -1,0 +1,123 @@
+import math
+import random
+import re
+from collections import Counter
+
+import corpus
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import types as T
+from strata.llm import lexical as t12
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+ITEMS = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("text", T.StringType())])
+A_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_terms(text):
+    return TERM.findall((text or "").translate(A_Z))
+
+
+@pytest.mark.parametrize("text", ["A b-C_d e1f2", "É ÉÀ été", "İstanbul ſ K", "x\x00y\x7fz", "日本 語。ok", "", "  ", "don't {a|b}~c", "😀a 😀"])
+def test_terms(text):
+    assert [t.decode() for t in t12.terms(text)] == plain_terms(text)
+
+
+def brute(rows, items, k=10):
+    """(item number, rank, doc_id, score) straight from the definition."""
+    counts = [(r[0], Counter(plain_terms(r[1]))) for r in rows]
+    counts = [(d, c) for d, c in counts if c]
+    total, length = len(counts), sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    out = []
+    for item_id, text in sorted(set(items), key=str):
+        scores = []
+        for doc_id, c in counts:
+            m = 100 - 90 + (90 * sum(c.values()) * total) // length
+            score = 0
+            for t in set(plain_terms(text)):
+                if t in c:
+                    w = math.floor(1000 * math.log((2 * total + 2) / (2 * df[t] + 1)))
+                    score += w * ((1_000_000_000 * c[t]) // (1000 * c[t] + 8 * m))
+            if score > 0:
+                scores.append((score, doc_id))
+        scores.sort(key=lambda x: (-x[0], x[1] is None, x[1] or 0))
+        out += [(item_id, i, d, s) for i, (s, d) in enumerate(scores[:k], 1)]
+    return Counter(out)
+
+
+def run(spark, tmp_path, rows, items):
+    corpus.frame(spark, rows, clash=True).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = t12.op12_lexical_search(spark, str(tmp_path)).collect()
+    return Counter((r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in got)
+
+
+def items_of(rows, seed=3, n=25):
+    rng = random.Random(seed)
+    words = [w for r in rows if r[1] for w in r[1].split()[:200]]
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(1, 40)))) for i in range(n)]
+    return items + [(100, None), (101, ""), (102, "absent_zzz qqqqq"), (103, "The THE the!"), items[0], (0, "an other text"), (None, words[0])]
+
+
+def test_query_equals_brute_force(spark, tmp_path):
+    rows = corpus.awkward()
+    items = items_of(rows)
+    assert run(spark, tmp_path, rows, items) == brute(rows, items)
+
+
+def test_frequent_terms_copies_and_ties(spark, tmp_path, monkeypatch):
+    """Many equal documents, counts above a sketch's byte, small sketches and blocks, several batches of items."""
+    rows = [(i, "the same words here", "en", "a", 1) for i in range(60)] + [(100 + i, "the " * (200 + 30 * i) + "end", "en", "a", 1) for i in range(9)]
+    rows += [(200 + i, corpus.prose(random.Random(i), 30) + " the", "en", "a", 1) for i in range(40)]
+    items = items_of(rows) + [(500, "the same end"), (501, "the"), (502, "words")]
+    monkeypatch.setattr(t12, "BATCH_ITEMS", 7)
+    monkeypatch.setattr(t12, "BLOCK", 16)
+    assert run(spark, tmp_path, rows, items) == brute(rows, items)
+
+
+def test_narrow_sketches_lose_nothing(spark):
+    rows = corpus.awkward(5)
+    items = items_of(rows, 9)
+    index = t12.build_index(corpus.frame(spark, rows), width=8)
+    got = t12.search(index, spark.createDataFrame(items, ITEMS), k=3, width=8).collect()
+    assert Counter((r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in got) == brute(rows, items, 3)
+
+
+def test_bounds_spare_most_documents():
+    """Bounds are never below the scores, and few documents are scored."""
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [rng.choices(words, k=40) for _ in range(2000)]
+    width = 256
+    sketches, columns = [], []
+    for text in texts:
+        found = Counter(x.encode() for x in text)
+        sketch = np.zeros(width, np.uint8)
+        for t, n in found.items():
+            at = t12.crc32(t) % width
+            sketch[at] = max(sketch[at], n)
+        sketches.append(sketch.tobytes())
+        columns.append((b" ".join(found), np.array([*found.values()], "<u4").tobytes()))
+    block = pa.RecordBatch.from_pydict({
+        "doc_id": list(range(len(texts))), "n": [40] * len(texts), "sketch": sketches, "terms": [a for a, _ in columns], "counts": [b for _, b in columns],
+    })
+    items = [[(w.encode(), 1000 + i) for i, w in enumerate(text[:20])] for text in texts[:5]]
+    weights = np.zeros((width, len(items)))
+    for i, item in enumerate(items):
+        for t, w in item:
+            weights[t12.crc32(t) % width, i] += w
+    best = [t12.Best(1) for _ in items]
+    scored = t12.search_block(block, items, weights, len(texts), 40 * len(texts), best)
+    assert len(items) <= scored < 0.02 * len(texts) * len(items)
+    for i, item in enumerate(items):
+        counts = [Counter(x.encode() for x in text) for text in texts]
+        scores = sorted(((-sum(w * t12.impact(c[t], 100) for t, w in set(item) if t in c), False, d) for d, c in enumerate(counts)))
+        assert best[i].kept == scores[:1] or len(set(item)) < len(item)
+
+
+def test_empty(spark, tmp_path):
+    assert run(spark, tmp_path / "a", [], [(1, "x")]) == Counter()
+    assert run(spark, tmp_path / "b", corpus.awkward()[:5], []) == Counter()
+    assert run(spark, tmp_path / "c", [(1, None, None, None, None), (2, "--", "en", "a", 1)], [(1, "x")]) == Counter()
