@@ -1,0 +1,131 @@
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import corpus
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from strata.llm import resampling as t13
+from strata.llm import selection
+from strata.llm.tokens import Known
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+A_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+ITEMS = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("text", T.StringType())])
+
+
+def words_of(text):
+    return WORD.findall((text or "").translate(A_Z))
+
+
+def features(text):
+    words = words_of(text)
+    return words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+
+
+def buckets(text):
+    return Counter(zlib.crc32(f.encode()) % 10_000 for f in features(text))
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abZé1 .\n日-"), max_size=60), max_size=6))
+def test_features_of_whole_arrays(texts):
+    texts = [*texts, "x" * 70 + " " + "y" * 90 + " z " + "é" * 40, ""]
+    n, at, found = t13.hashed(texts, Known(zlib.crc32, 3))
+    assert n.tolist() == [len(words_of(t)) for t in texts]
+    assert [Counter(found[at == i].tolist()) for i in range(len(texts))] == [buckets(t) for t in texts]
+
+
+def brute(rows, items):
+    s, t = Counter(), Counter()
+    for r in rows:
+        s.update(buckets(r[1]))
+    for _, text in items:
+        t.update(buckets(text))
+    s_all, t_all = sum(s.values()), sum(t.values())
+    gain = lambda b: math.floor(1000 * math.log((t[b] + 1) * (s_all + 10_000) / ((s[b] + 1) * (t_all + 10_000))))
+    out = []
+    for r in rows:
+        own = buckets(r[1])
+        n = sum(own.values())
+        weight = sum(c * gain(b) for b, c in own.items()) // n if n else 0
+        h = int(hashlib.sha256(f"7:{'null' if r[0] is None else r[0]}".encode()).hexdigest()[:8], 16)
+        out.append((r[0], n, weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), len(words_of(r[1]))))
+    able = sorted((x for x in out if x[4] >= 20), key=lambda x: (-x[3], x[0] is None, x[0] or 0))
+    drawn = able[: 25 * len(able) // 100]
+    ranks = {}
+    for i, x in enumerate(drawn, 1):
+        ranks.setdefault(x, []).append(i)
+    return out, ranks
+
+
+def check(spark, tmp_path, rows, items):
+    corpus.frame(spark, rows, clash=True).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = t13.op13_importance_resampling(spark, str(tmp_path)).collect()
+    out, ranks = brute(rows, items)
+    assert Counter((r["doc_id"], r["n_features"], r["weight"], r["score"]) for r in got) == Counter(x[:4] for x in out)
+    assert sorted(r["rank"] for r in got if r["rank"]) == list(range(1, sum(map(len, ranks.values())) + 1))
+    # Rows that are equal in score and doc_id stand in any order among themselves.
+    at = {(x[3], x[0]): sorted(n for y, own in ranks.items() if (y[3], y[0]) == (x[3], x[0]) for n in own) for x in ranks}
+    found = {}
+    for r in got:
+        if r["rank"]:
+            found.setdefault((r["score"], r["doc_id"]), []).append(r["rank"])
+    assert {k: sorted(v) for k, v in found.items()} == at
+
+
+def test_query_equals_brute_force(spark, tmp_path):
+    rng = random.Random(4)
+    rows = corpus.awkward() + [(3, rows_text, "en", "a", 1) for rows_text in ("one two three " * 9, "short")]
+    check(spark, tmp_path, rows, [(i, corpus.prose(rng, 30)) for i in range(20)] + [(50, None), (51, "")])
+
+
+def test_groups_of_equal_rows(spark, tmp_path):
+    """A third of all rows is one row; the cut goes through them."""
+    same = (7, corpus.prose(random.Random(1), 40), "en", "a", 1)
+    rows = [same] * 60 + [(100 + i, corpus.prose(random.Random(i), 25), "en", "a", 1) for i in range(30)]
+    check(spark, tmp_path, rows, [(1, same[1])])
+
+
+def test_empty(spark, tmp_path):
+    check(spark, tmp_path / "a", [], [(1, "x")])
+    check(spark, tmp_path / "b", corpus.awkward()[:30], [])
+    check(spark, tmp_path / "c", [(1, None, None, None, None), (2, "few words", "en", "a", 1)], [(1, "x")])
+
+
+def test_reruns_agree(spark, tmp_path):
+    rows, target = corpus.frame(spark, corpus.awkward()), spark.createDataFrame([(1, "an the re")], ITEMS)
+    runs = [{(r["doc_id"], r["score"], r["rank"]) for r in t13.resample(rows.repartition(n), target).collect() if r["doc_id"] not in (None, 3, 4)} for n in (1, 5)]
+    assert runs[0] == runs[1]
+
+
+def keys_of(spark, keys, parts):
+    return spark.createDataFrame([tuple(k) for k in keys], "k1 bigint, k2 bigint, k3 bigint").repartition(parts, F.col("k3"))
+
+
+@pytest.mark.parametrize("n, parts, spread", [(1, 1, 1), (50, 7, 3), (900, 5, 10**12), (900, 3, 1)])
+def test_cutoff(spark, n, parts, spread):
+    rng = random.Random(n + parts)
+    keys = [(rng.randrange(-spread, spread), rng.randrange(4), i) for i in range(n)]
+    table = keys_of(spark, keys, parts).cache()
+    for k in {1, n // 4, n // 2, n - 1, n} - {0}:
+        assert selection.cutoff(table, k) == sorted(keys)[k - 1]
+    assert selection.cutoff(table, 0) is None
+    with pytest.raises(ValueError):
+        selection.cutoff(table, n + 1)
+
+
+def test_each_round_discards_a_quarter():
+    rng = random.Random(6)
+    for _ in range(50):
+        parts = [sorted(rng.randrange(10**6) for _ in range(rng.randint(1, 80))) for _ in range(rng.randint(1, 9))]
+        pivot = selection.weighted_median([(len(p), (p[(len(p) - 1) // 2], 0, 0)) for p in parts])[0]
+        whole = np.concatenate(parts)
+        assert min((whole <= pivot).sum(), (whole >= pivot).sum()) >= len(whole) / 4
