@@ -65,8 +65,10 @@ def id_counts(ids: DataFrame) -> DataFrame:
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for width, data in zip(batch["width"].to_pylist(), batch["ids"].to_pylist()):
-                found = np.bincount(np.frombuffer(data, f"<u{width}"), minlength=len(total))
+            for at in range(0, batch.num_rows, ROWS):
+                some = batch.slice(at, ROWS)
+                ids = np.frombuffer(b"".join(some["ids"].to_pylist()), f"u{some['width'][0]}")
+                found = np.bincount(ids, minlength=len(total))
                 found[: len(total)] += total
                 total = found
         some = np.flatnonzero(total)
@@ -135,7 +137,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end: int = END) -> Non
         packer = Packer(rans.Table(frequency))
         for batch in batches:
             for doc_id, width, data in zip(*[batch[c].to_pylist() for c in ("doc_id", "width", "ids")]):
-                yield from packer.add(doc_id, np.frombuffer(data, f"<u{width}"))
+                yield from packer.add(doc_id, np.frombuffer(data, f"u{width}"))
         if packer.held:
             yield packer.rows()
 

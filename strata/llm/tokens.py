@@ -1,14 +1,15 @@
-"""Token ids of whole texts by a public tokenizer, as little-endian bytes.
+"""Token ids of whole texts by a public tokenizer, as bytes of unsigned integers in the machine's order.
 
 Some tokenizers drop white space and never look across it (`WORDWISE` tells them by their settings). Then a text's ids are those of its
-words one after the other, and each word is encoded once in a while instead of at each place. Words of plain letters, digits and signs
-need no normalisation but lower case, so that their pieces go straight to the library's BPE model; all other words, and all texts of other
-tokenizers, go through the library's whole encoding.
+words one after the other, and what has been encoded is remembered. Texts of plain letters, digits and signs need no normalisation but lower
+case, so that their pieces go straight to the library's BPE model; in other texts the other words, and of other tokenizers all texts, go
+through the library's whole encoding.
 """
 
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -19,11 +20,11 @@ WORDWISE = (
     r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
     "ByteLevel",
 )
-#: Characters whose normal form is their lower case: Latin-1 letters, digits, signs that begin no contraction or special token.
-PLAIN = re.compile(r"[A-Za-z0-9À-ÖØ-öø-ÿ!-&(-;=-@\[-`{-~]+")
-PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: Texts whose normal form is their lower case: Latin-1 letters, digits, signs that begin no contraction or special token, gaps.
+PLAIN = re.compile(r"[A-Za-z0-9À-ÖØ-öø-ÿ!-&(-;=-@\[-`{-~ \t\n\r]*")
+PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ \t\n\r]+")
 GAPS = str.maketrans("\t\n\r", "   ")
-MOST_WORDS, MOST_PIECES = 400_000, 200_000
+MOST_WORDS, MOST_PIECES = 50_000, 600_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -45,7 +46,7 @@ def is_wordwise(settings: dict) -> bool:
     )
 
 
-class _Known(dict):
+class Known(dict):
     """A memory of at most `most` entries; it is emptied when full."""
 
     def __init__(self, make, most: int):
@@ -65,29 +66,32 @@ class TokenCoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.dtype = np.dtype(self.code)
         with open(path, encoding="utf-8") as file:
             self.wordwise = is_wordwise(json.load(file))
         self.letters = byte_letters()
-        self.pieces = _Known(self._piece, MOST_PIECES)
-        self.words = _Known(self._word, MOST_WORDS)
-
-    def _bytes(self, ids) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        self.pieces = Known(self._piece, MOST_PIECES)
+        self.words = Known(self._word, MOST_WORDS)
 
     def _piece(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(self.letters)
-        return self._bytes([t.id for t in self.tokenizer.model.tokenize(letters)])
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
     def _word(self, word: str) -> bytes:
         if PLAIN.fullmatch(word):
             return b"".join(map(self.pieces.__getitem__, PIECES.findall(word.lower())))
-        return self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        return array(self.code, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _text(self, text: str) -> bytes:
+        if PLAIN.fullmatch(text):
+            return b"".join(map(self.pieces.__getitem__, PIECES.findall(text.lower())))
+        return b"".join(map(self.words.__getitem__, text.translate(GAPS).split(" ")))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.wordwise:
-            return [b"".join(map(self.words.__getitem__, t.translate(GAPS).split(" "))) for t in texts]
-        return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return [self._text(t) for t in texts]
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 _coders: dict[str, TokenCoder] = {}
