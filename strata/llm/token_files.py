@@ -35,7 +35,7 @@ END = 1
 #: Ids in a part, about; a part is one task's work and one file.
 PART_IDS = 1 << 26
 GROUP = 16
-ROWS = 256
+ROWS, TEXTS = 256, 4096
 DOCUMENT = "struct<doc_id: bigint, start: bigint, n: bigint>"
 BLOCK_ROW = f"part int, first bigint, n bigint, documents array<{DOCUMENT}>, payload binary"
 
@@ -47,8 +47,8 @@ def encoded(docs: DataFrame, path: str, end: int = END) -> DataFrame:
         own = coder(path)
         last = np.array([end], own.dtype).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                some = batch.slice(at, ROWS)
+            for at in range(0, batch.num_rows, TEXTS):
+                some = batch.slice(at, TEXTS)
                 ids = [x + last for x in own.encode(some["text"].to_pylist())]
                 width = pa.array([own.dtype.itemsize] * len(ids), pa.int32())
                 yield pa.RecordBatch.from_arrays([some["doc_id"], some["tie"], width, pa.array(ids, pa.binary())], ["doc_id", "tie", "width", "ids"])

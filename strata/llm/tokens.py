@@ -12,6 +12,8 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Settings under which words can be encoded one by one: fixed values of the tokenizer's file.
@@ -22,9 +24,9 @@ WORDWISE = (
 )
 #: Texts whose normal form is their lower case: Latin-1 letters, digits, signs that begin no contraction or special token, gaps.
 PLAIN = re.compile(r"[A-Za-z0-9À-ÖØ-öø-ÿ!-&(-;=-@\[-`{-~ \t\n\r]*")
-PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ \t\n\r]+")
+PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|\n|[^a-z0-9ß-öø-ÿ\n]+")
 GAPS = str.maketrans("\t\n\r", "   ")
-MOST_WORDS, MOST_PIECES = 50_000, 600_000
+MOST_WORDS, MOST_PIECES = 50_000, 800_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -75,23 +77,47 @@ class TokenCoder:
         self.words = Known(self._word, MOST_WORDS)
 
     def _piece(self, piece: str) -> bytes:
+        if piece == "\n":  # stands between words
+            return b""
         letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
         return array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
     def _word(self, word: str) -> bytes:
         if PLAIN.fullmatch(word):
-            return b"".join(map(self.pieces.__getitem__, PIECES.findall(word.lower())))
+            return self._plain_words(word.lower())[0].tobytes()
         return array(self.code, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
-    def _text(self, text: str) -> bytes:
-        if PLAIN.fullmatch(text):
-            return b"".join(map(self.pieces.__getitem__, PIECES.findall(text.lower())))
-        return b"".join(map(self.words.__getitem__, text.translate(GAPS).split(" ")))
+    def _plain_words(self, words: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in one array, and where each word ends in it. Words are plain, in lower case, each ended by a newline."""
+        pieces = PIECES.findall(words)
+        ids = list(map(self.pieces.__getitem__, pieces))
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) // self.dtype.itemsize
+        return np.frombuffer(b"".join(ids), self.dtype), ends[np.fromiter(map("\n".__eq__, pieces), bool, len(pieces))]
+
+    def _plain_texts(self, texts: list[str]) -> list[bytes]:
+        """Each different word is encoded once; its ids are then copied to all its places at once."""
+        split = pc.utf8_split_whitespace(pa.array([t.lower() for t in texts], pa.large_string()))
+        # White space at either end of a text leaves an empty word there.
+        words = split.flatten().dictionary_encode()
+        at = words.indices.to_numpy()
+        different = words.dictionary
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(different)], different), pa.scalar("\n", pa.large_string()))[0].as_py()
+        ids, ends = self._plain_words(joined + "\n" if len(different) else "")
+        sizes = np.diff(ends, prepend=0)
+        n = sizes[at]
+        until = np.cumsum(n)
+        copied = ids[np.repeat((ends - sizes)[at] - (until - n), n) + np.arange(int(n.sum()))]
+        borders = np.concatenate(([0], until))[split.offsets.to_numpy()].tolist()
+        return [copied[a:b].tobytes() for a, b in zip(borders, borders[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.wordwise:
-            return [self._text(t) for t in texts]
-        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if not self.wordwise:
+            return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out = [b"" if PLAIN.fullmatch(t) else b"".join(map(self.words.__getitem__, t.translate(GAPS).split(" "))) for t in texts]
+        plain = [i for i, t in enumerate(texts) if PLAIN.fullmatch(t)]
+        for i, ids in zip(plain, self._plain_texts([texts[i] for i in plain])):
+            out[i] = ids
+        return out
 
 
 _coders: dict[str, TokenCoder] = {}
