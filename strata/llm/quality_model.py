@@ -175,17 +175,20 @@ def with_statistics(rows: DataFrame, text: Column) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: int) -> DataFrame:
-    """text and y of at most `most` labelled rows, those with the smallest hash of the doc_id."""
+    """doc_id, text and y of at most `most` labelled rows, those with the smallest hash of doc_id and text; equal rows are one."""
     # A third of the labels may be of one document: labels of a document are one row.
     one = labels.where(F.col(label).isNotNull() & learn).groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y"))
-    one = store(one.orderBy(F.xxhash64(F.lit("training"), "doc_id"), "doc_id").limit(most), "training-labels")
-    return docs.select("doc_id", whole_text().alias("text")).join(one, "doc_id").select("doc_id", "text", "y")
+    told = docs.select("doc_id", F.xxhash64(whole_text()).alias("t_hash")).join(one, "doc_id").distinct()
+    chosen = store(told.orderBy(F.xxhash64(F.lit("training"), "doc_id", "t_hash"), "doc_id", "t_hash").limit(most), "training-labels")
+    texts = docs.select("doc_id", whole_text().alias("text")).withColumn("t_hash", F.xxhash64("text"))
+    rows = texts.join(chosen, ["doc_id", "t_hash"]).groupBy("doc_id", "t_hash").agg(F.first("text").alias("text"), F.first("y").alias("y"))
+    return rows.select("doc_id", "text", "y")
 
 
 def quality_model(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_TRAINING) -> Additive:
     """The model learnt from labelled rows that meet `learn` (on the labels' doc_id)."""
     rows = training_rows(docs, labels, "quality", learn, most)
-    got = with_statistics(rows, F.col("text")).select("doc_id", "x", "y").orderBy("doc_id", "y", "x").limit(2 * most).collect()
+    got = with_statistics(rows, F.col("text")).select("doc_id", "x", "y").orderBy("doc_id", "y", "x").collect()
     x = np.array([r["x"] for r in got], float).reshape(len(got), len(FEATURES))
     return fit(x, np.array([r["y"] for r in got], float))
 

@@ -1,11 +1,13 @@
 """Quality and toxicity: held-out accuracy, exactness of the index, awkward rows."""
 
 import math
+import pickle
 import random
 from collections import Counter
 
 import corpus
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from strata.llm import quality_model as q
 from strata.llm import toxicity as t
@@ -52,24 +54,90 @@ def test_one_class_and_no_rows():
 
 
 def index_of(rng, n=700):
-    terms = [f"w{i}" for i in range(40)] + ["^abcdef", "^ghijkl"]
-    idf = {w: 1 + rng.random() * 4 for w in terms}
-    index = t.Index(idf, [(i, rng.randrange(2)) for i in range(n)])
-    texts = [" ".join(rng.choices([*terms[:40], "abcdefgh", "ghijklmn", "other"], k=rng.randint(0, 12))) for _ in range(n)]
-    vectors = [index.vector(x) for x in texts]
-    index.add(vectors)
-    return index, vectors
-
-
-def test_nearest_equal_brute_force():
+    """An index of random texts, and the vectors of length 1 of these, by term."""
+    words = [f"w{i}" for i in range(40)] + ["^abcdef", "^ghijkl"]
+    idf = {t.hashed(w): 1 + rng.random() * 4 for w in words}
+    keys = np.array(sorted(np.array(list(idf), np.uint64).view(np.int64).tolist()), np.int64)
+    weights = np.array([idf[int(np.uint64(k & 0xFFFFFFFFFFFFFFFF))] for k in keys.tolist()])
+    texts = [" ".join(rng.choices([*words[:40], "abcdefgh", "ghijklmn", "other"], k=rng.randint(0, 12))) for _ in range(n)]
+    found = []
+    for text in texts:
+        k, c = t.terms(text)
+        known = np.isin(k, keys)
+        found.append((k[known], c[known]))
+    number = np.repeat(np.arange(n, dtype=np.int32), [len(k) for k, _ in found])
+    at = np.searchsorted(keys, np.concatenate([k for k, _ in found])).astype(np.int32)
+    index = t.Index.of(keys, weights, number, at, np.concatenate([c for _, c in found]), [(i, rng.randrange(2), i) for i in range(n)])
+    queries = [index.query(*f)[:2] for f in found]
+    return index, queries, [dict(zip(a.tolist(), w.tolist())) for a, w in queries]
+
+
+@pytest.mark.parametrize("common, block", [(128, 64), (3, 16), (0, 700)])
+def test_nearest_equal_brute_force(monkeypatch, common, block):
+    monkeypatch.setattr(t, "COMMON", common)
+    monkeypatch.setattr(t, "BLOCK", block)
     rng = random.Random(1)
-    index, vectors = index_of(rng)
-    for i in range(0, 700, 7):
-        for k, leave in ((1, -1), (15, i), (100, -1)):
-            ids, cosines = index.nearest(vectors[i], k, leave)
-            every = sorted(((round(sum(w * v.get(x, 0.0) for x, w in vectors[i].items()), 12), -j) for j, v in enumerate(vectors) if j != leave), reverse=True)
+    index, queries, vectors = index_of(rng)
+    index = pickle.loads(pickle.dumps(index))
+    asked = list(range(0, 700, 7))
+    for k, leave in ((1, False), (15, True), (100, False), (700, False), (900, True)):
+        found = index.nearest([queries[i] for i in asked], k, asked if leave else None)
+        for i, (ids, products) in zip(asked, found):
+            every = sorted(
+                ((round(sum(w * v.get(x, 0.0) for x, w in vectors[i].items()), 12), -j) for j, v in enumerate(vectors) if not (leave and j == i)),
+                reverse=True,
+            )
             best = [c for c, _ in every if c > 0][:k]
-            assert np.allclose(cosines, best) and [-j for c, j in every if c > 0][:k] == ids.tolist()
+            assert np.allclose(products, best) and len(ids) == len(best)
+            # Equal products go by number; they may differ in the last digit here.
+            assert [-j for c, j in every if c > 0][:k] == ids.tolist() or np.isclose(np.diff(best), 0, atol=1e-11).any()
+
+
+def test_few_common_weights_are_looked_up():
+    """Blocks whose bound stays below the best are not completed."""
+    rng = random.Random(4)
+    index, queries, _ = index_of(rng, 3000)
+    of = index.made()
+    seen = []
+    real = of["common"]
+
+    class Watched(np.ndarray):
+        def __getitem__(self, item):
+            if isinstance(item, slice):
+                seen.append(item.start // t.BLOCK)
+            return np.asarray(super().__getitem__(item))
+
+    of["common"] = real.view(Watched)
+    one = next(q for q in queries if len(q[0]) == 1)
+    index.nearest([one], 5)
+    assert 0 < len(set(seen)) <= len(of["most"])
+
+
+def test_votes():
+    index, _, _ = index_of(random.Random(2), 10)
+    index.labels = np.array([1.0, 0, 0, 1, 0, 0, 0, 0, 0, 0])
+    smooth = lambda share: (share + t.PRIOR * index.plain) / (1 + t.PRIOR)
+    near, products = np.arange(10).repeat(2)[:16], np.linspace(0.9, 0.15, 16)
+    got = index.votes(near, products)
+    toxic = index.labels[near[:15]]
+    assert np.isclose(got[0], smooth(products[:15] @ toxic / products[:15].sum()))
+    outer = products[:15] - products[15]
+    assert np.isclose(got[1], smooth(outer @ toxic / outer.sum()))
+    assert np.allclose(index.votes(near, products * 0.37), got)
+    assert np.allclose(index.votes(near[:2], np.array([0.5, 0.5])), smooth(1.0))
+    assert np.isclose(index.votes(near, np.full(16, 0.5))[1], smooth(toxic.mean()))
+
+
+def test_scores_are_calibrated():
+    rng = np.random.default_rng(3)
+    y = (rng.random(800) < 0.3).astype(float)
+    n = 2 * len(t.VOTERS)
+    votes = rng.random((800, n))
+    votes[:, 4] = np.clip(np.where(y > 0, 0.7, 0.2) + rng.normal(0, 0.1, 800), 0.01, 0.99)
+    scores = t.fit_voting(votes, y).scores(votes)
+    assert ((scores > 0.5) == (y > 0)).mean() > 0.95 and abs(scores.mean() - y.mean()) < 0.01
+    plain = t.fit_voting(votes, np.ones(800))
+    assert np.isclose(plain.scores(np.full(n, 0.25)), 0.25)
 
 
 def awkward_tables(spark, tmp_path):
@@ -120,21 +188,58 @@ def plain_vectors(texts):
     return [{w: x / math.sqrt(sum(y * y for y in v.values())) for w, x in v.items()} for v in raw]
 
 
-def test_toxicity_cosines_are_those_of_whole_texts(spark):
+def test_toxicity_cosines_votes_and_scores(spark):
+    """The whole query against plain Python: cosines of whole texts, leave-one-out votes, logistic, scores."""
     rng = random.Random(5)
     rows = [(i, corpus.prose(rng, rng.randint(1, 40)) + (" zyx" if i in (3, 200) else ""), "en", "a", 1) for i in range(250)]
     rows += [(250, "zyx", "en", "a", 1), (251, "onlyhere", "en", "a", 1), (252, "", "en", "a", 0)]
-    labels = spark.createDataFrame([(i, int(i % 4 == 3)) for i in range(150)], "doc_id bigint, toxic int")
+    label = {i: int(i % 4 == 3) for i in range(150)}
+    labels = spark.createDataFrame(list(label.items()), "doc_id bigint, toxic int")
     docs = corpus.frame(spark, rows)
     learnt = t.toxicity_index(docs, labels, F.lit(True))
     got = {r["row"]["doc_id"]: r for r in t.score_toxicity(docs, learnt).collect()}
     vectors = plain_vectors([r[1] for r in rows])
     assert len(got) == len(rows)
-    for i, v in enumerate(vectors):
-        cosines = [sum(x * vectors[j].get(w, 0.0) for w, x in v.items()) for j in range(150)]
-        best = sorted((c for c in cosines if c > 0), reverse=True)[: t.NEAREST]
+    plain = (sum(label.values()) + 0.5) / 151
+
+    def nearest(i, leave):
+        """Votes do not ask for the terms that no example has: they scale all cosines of a text alike."""
+        cosines = [(sum(x * vectors[j].get(w, 0.0) for w, x in vectors[i].items()), j) for j in range(150) if j != leave]
+        return sorted((c for c in cosines if c[0] > 0), key=lambda c: (-c[0], c[1]))
+
+    def votes_of(near):
+        out = []
+        for k in t.VOTERS:
+            for outside in (0.0, near[k][0] if len(near) > k else 0.0):
+                weights = [c - outside for c, _ in near[:k]]
+                weights = weights if sum(weights) > 0 else [1.0] * len(near[:k])
+                out.append((sum(w * label[j] for w, (_, j) in zip(weights, near)) / sum(weights) + t.PRIOR * plain) / (1 + t.PRIOR))
+        return out
+
+    taught = [i for i in range(150) if rows[i][1]]
+    votes = np.array([votes_of(nearest(i, i)) if nearest(i, i) else [plain] * (2 * len(t.VOTERS)) for i in taught])
+    voting = t.fit_voting(votes, np.array([label[i] for i in taught], float))
+    assert np.allclose(voting.weights, learnt[1].weights, atol=1e-6) and np.allclose(voting.means, learnt[1].means)
+    for i in range(len(rows)):
+        near = nearest(i, None)
         evidence = got[i]["evidence"]
-        assert np.allclose([e["cosine"] for e in evidence], best), i
-        assert all(np.isclose(cosines[e["doc_id"]], e["cosine"]) and e["toxic"] == int(e["doc_id"] % 4 == 3) for e in evidence)
+        cosines = {j: c for c, j in near}
+        assert np.allclose([e["cosine"] for e in evidence], [c for c, _ in near[: t.EVIDENCE]]), i
+        assert all(np.isclose(cosines[e["doc_id"]], e["cosine"]) and e["toxic"] == label[e["doc_id"]] for e in evidence)
+        assert np.isclose(got[i]["score"], voting.scores(np.array(votes_of(near))) if near else plain, atol=1e-6), i
     # A word of one labelled row finds it.
     assert [e["doc_id"] for e in got[250]["evidence"]] == [3]
+
+
+def test_rows_of_a_repeated_labelled_id_are_bounded_fairly(spark):
+    """A labelled doc_id with very many rows takes its share, not all places; equal rows are one example."""
+    rows = [(1, f"text {i} of one id", "en", "a", 1) for i in range(60)] + [(2, "same", "en", "a", 1)] * 300
+    rows += [(10 + i, f"other {i}", "en", "a", 1) for i in range(60)]
+    labels = spark.createDataFrame([(1, 0), (2, 1)] + [(10 + i, 1) for i in range(60)], "doc_id bigint, toxic int")
+    from strata.llm.quality_model import training_rows
+
+    every = training_rows(corpus.frame(spark, rows), labels, "toxic", F.lit(True), 1000).collect()
+    assert len(every) == 121 and sum(r["doc_id"] == 2 for r in every) == 1
+    some = [sorted((r["doc_id"], r["text"]) for r in training_rows(corpus.frame(spark, rows).repartition(n), labels, "toxic", F.lit(True), 40).collect()) for n in (1, 5)]
+    assert len(some[0]) == 40 and some[0] == some[1]
+    assert 5 < sum(d == 1 for d, _ in some[0]) < 35
