@@ -1,22 +1,63 @@
 """The few file-system calls that no DataFrame makes, on whatever store the path names."""
 
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
 
+@dataclass(frozen=True)
+class Stored:
+    path: str
+    at: datetime
+    size: int
+
+    @property
+    def name(self) -> str:
+        return self.path.rsplit("/", 1)[-1]
+
+
 def _path(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _stored(status) -> Stored:
+    at = datetime.fromtimestamp(status.getModificationTime() / 1000, timezone.utc)
+    return Stored(status.getPath().toString(), at, status.getLen())
+
+
+def found(spark: SparkSession, pattern: str) -> list[Stored]:
+    """What matches a glob pattern."""
+    hadoop, store = _path(spark, pattern)
+    return [_stored(status) for status in store.globStatus(hadoop) or ()]
+
+
 def matching(spark: SparkSession, pattern: str) -> list[tuple[str, datetime]]:
     """Paths that match a glob pattern, with the time of their last change."""
-    hadoop, store = _path(spark, pattern)
-    return [
-        (status.getPath().toString(), datetime.fromtimestamp(status.getModificationTime() / 1000, timezone.utc))
-        for status in store.globStatus(hadoop) or ()
-    ]
+    return [(s.path, s.at) for s in found(spark, pattern)]
+
+
+def data_files(spark: SparkSession, folder: str) -> list[Stored]:
+    """The Parquet files under a folder, at any depth, without those of writers that have not committed."""
+    hadoop, store = _path(spark, folder)
+    if not store.exists(hadoop):
+        return []
+    files, listing = [], store.listFiles(hadoop, True)
+    while listing.hasNext():
+        files.append(_stored(listing.next()))
+    inner = lambda f: f.path.split(folder.rstrip("/").rsplit("/", 1)[-1] + "/", 1)[-1]
+    return [f for f in files if f.name.endswith(".parquet") and not any(p[0] in "_." for p in inner(f).split("/"))]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    hadoop, store = _path(spark, path)
+    stream = store.open(hadoop)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def remove(spark: SparkSession, path: str) -> None:

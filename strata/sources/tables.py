@@ -1,28 +1,44 @@
-"""Layer tables as folders of Parquet files, written and read by Spark's own source.
+"""Layer tables as folders of Parquet files, written and read by Spark's own sources and sinks.
 
 A refresh writes a new folder `<root>/<layer>/<table>/refresh=N`. It counts once Spark's committer has
 left its `_SUCCESS` file there, so a refresh that dies changes nothing for readers, who take the latest;
-earlier ones stay readable by their number. Rows are added by Spark's append mode. One writer per table.
+earlier ones stay readable by their number. Rows are added by Spark's append mode, or by a stream that fills a
+refresh of its own: then its sink's log says what counts. Bronze tables are filled by streams only, one folder
+for each; their versions are the numbers of the batches. One writer per table.
 Where a table format with transactions is at hand, its own versions and history serve better.
 """
 
-from dataclasses import dataclass
+import re
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.schemas import ENVELOPE, LAYERS
-from strata.sources.files import matching
+from strata.sources.files import Stored, data_files, matching
+from strata.sources.sink_log import FOLDER, read_log
+
+HISTORY = """
+    version bigint, timestamp timestamp, operation string, operation_parameters map<string,string>,
+    operation_metrics map<string,string>, row_count bigint
+"""
+# Part of the name that Spark gives to all files of one write.
+WRITE_ID = re.compile(r"part-\d+-([0-9a-f-]{36})")
 
 
 @dataclass(frozen=True)
 class Written:
+    """What one write did; `metrics` are the counts that the write itself observed, by name."""
+
     layer: str
     table: str
     version: int
     rows: int
+    metrics: dict = field(default_factory=dict, compare=False)
 
 
 def table_path(root: str, layer: str, name: str) -> str:
@@ -34,9 +50,14 @@ def refresh_path(root: str, layer: str, name: str, number: int) -> str:
 
 
 def refreshes(spark: SparkSession, root: str, layer: str, name: str) -> dict[int, datetime]:
-    """The finished refreshes by number, with the time of their last write."""
-    marks = matching(spark, table_path(root, layer, name) + "/refresh=*/_SUCCESS")
-    return {int(path.split("/refresh=")[-1].split("/")[0]): at for path, at in marks}
+    """The finished refreshes by number, with the time of their last write; a stream's counts from its first commit on."""
+    path = table_path(root, layer, name)
+    marks = matching(spark, f"{path}/refresh=*/_SUCCESS") + matching(spark, f"{path}/refresh=*/{FOLDER}/[0-9]*")
+    out: dict[int, datetime] = {}
+    for mark, at in marks:
+        number = int(mark.split("/refresh=")[-1].split("/")[0])
+        out[number] = max(at, out.get(number, at))
+    return out
 
 
 def latest(spark: SparkSession, root: str, layer: str, name: str) -> int | None:
@@ -44,34 +65,60 @@ def latest(spark: SparkSession, root: str, layer: str, name: str) -> int | None:
     return max(refreshes(spark, root, layer, name), default=None)
 
 
+def is_streamed(spark: SparkSession, root: str, layer: str, name: str, number: int) -> bool:
+    """Whether a stream fills this refresh."""
+    return bool(matching(spark, f"{refresh_path(root, layer, name, number)}/{FOLDER}"))
+
+
 def written_at(spark: SparkSession, root: str, layer: str, name: str) -> datetime | None:
     """When the latest refresh was last written."""
-    found = refreshes(spark, root, layer, name)
-    return found[max(found)] if found else None
+    known = refreshes(spark, root, layer, name)
+    return known[max(known)] if known else None
 
 
 def bronze_streams(spark: SparkSession, root: str, topic: str) -> list[str]:
     """Folders of the streams that fill a bronze table, one for each checkpoint."""
-    return sorted(path.rsplit("/", 1)[0] for path, _ in matching(spark, table_path(root, "bronze", topic) + "/*/_spark_metadata"))
+    return sorted(path.rsplit("/", 1)[0] for path, _ in matching(spark, table_path(root, "bronze", topic) + f"/*/{FOLDER}"))
+
+
+def bronze_files(spark: SparkSession, root: str, topic: str, version: int) -> list[str]:
+    """The files that batches 0 to `version` of every stream of a bronze table have committed.
+
+    A stream that has not got so far yet gives what it has; at least one must have committed a batch of this number.
+    """
+    logs = [read_log(spark, folder) for folder in bronze_streams(spark, root, topic)]
+    known = [log.batches() for log in logs]
+    if logs and not any(version in batches for batches in known):
+        raise ValueError(f"bronze.{topic} has no version {version}")
+    files: list[str] = []
+    for log, batches in zip(logs, known):
+        last = min(version, max(log.files))
+        if last not in batches:
+            raise ValueError(f"bronze.{topic} no longer has version {version}")
+        files += log.entries(last)
+    return sorted(files)
 
 
 def read_table(spark: SparkSession, root: str, layer: str, name: str, version: int | None = None) -> DataFrame:
-    """The table as of a refresh (default: the latest); a bronze table as of now.
+    """The table as of a version (default: the latest): of a refresh, or of a batch for a bronze table.
 
-    Of a bronze folder the file source reads what its stream has committed. A table that was never written
-    raises path-not-found.
+    Of a stream's folder the file source reads what the stream has committed. A table that was never written
+    raises path-not-found, a version that it does not have ValueError.
     """
     if layer == "bronze":
-        return read_bronze(spark, root, name)
+        return read_bronze(spark, root, name, version)
     known = refreshes(spark, root, layer, name)
     if known and version is not None and version not in known:
         raise ValueError(f"{layer}.{name} has no version {version}")
     return spark.read.parquet(refresh_path(root, layer, name, max(known, default=0) if version is None else version))
 
 
-def read_bronze(spark: SparkSession, root: str, topic: str) -> DataFrame:
-    streams = bronze_streams(spark, root, topic) or [table_path(root, "bronze", topic)]
-    parts = [spark.read.schema(ENVELOPE).parquet(path) for path in streams]
+def read_bronze(spark: SparkSession, root: str, topic: str, version: int | None = None) -> DataFrame:
+    streams = bronze_streams(spark, root, topic)
+    if streams and version is not None:
+        files = bronze_files(spark, root, topic, version)
+        return spark.read.schema(ENVELOPE).parquet(*files) if files else spark.createDataFrame([], ENVELOPE)
+    parts = [spark.read.schema(ENVELOPE).parquet(path) for path in streams or [table_path(root, "bronze", topic)]]
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionAll(part)
@@ -88,9 +135,28 @@ def try_read_table(spark: SparkSession, root: str, layer: str, name: str, versio
         raise
 
 
-def _count(spark: SparkSession, path: str) -> int:
-    """Rows of a folder, from the footers of its files."""
-    return spark.read.parquet(path).count()
+def _plain(path: str) -> str:
+    """A path as it is written everywhere: without scheme and encoding."""
+    return unquote(path).split(":", 1)[-1].lstrip("/")
+
+
+def file_rows(spark: SparkSession, paths: Sequence[str]) -> dict[str, int]:
+    """Rows of Parquet files by path, from their footers."""
+    if not paths:
+        return {}
+    counts = spark.read.parquet(*paths).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("rows"))
+    return {_plain(row["file_path"]): row["rows"] for row in counts.collect()}
+
+
+def _sizes(files: Sequence[Stored], rows: dict[str, int]) -> dict[str, int]:
+    n = sum(rows.get(_plain(f.path), 0) for f in files)
+    return {"numFiles": len(files), "numOutputRows": n, "numOutputBytes": sum(f.size for f in files)}
+
+
+def counted(spark: SparkSession, layer: str, name: str, number: int, files: Sequence[Stored]) -> Written:
+    """What a write did, from the files it left and their footers."""
+    sizes = _sizes(files, file_rows(spark, [f.path for f in files]))
+    return Written(layer, name, number, sizes["numOutputRows"], sizes)
 
 
 def write_snapshot(df: DataFrame, root: str, layer: str, name: str) -> Written:
@@ -103,38 +169,101 @@ def write_snapshot(df: DataFrame, root: str, layer: str, name: str) -> Written:
     number = 0 if before is None else before + 1
     path = refresh_path(root, layer, name, number)
     df.write.mode("overwrite").parquet(path)
-    return Written(layer, name, number, _count(spark, path))
+    return counted(spark, layer, name, number, data_files(spark, path))
 
 
 def append_rows(df: DataFrame, root: str, layer: str, name: str) -> Written:
-    """Add rows to the latest refresh; to a new one where there is none."""
+    """Add rows to the latest refresh; to a new one where there is none. Only the footers of the new files are read."""
     spark = df.sparkSession
     number = latest(spark, root, layer, name)
     if number is None:
         return write_snapshot(df, root, layer, name)
+    if is_streamed(spark, root, layer, name, number):
+        raise ValueError(f"{layer}.{name} is filled by a stream")
     path = refresh_path(root, layer, name, number)
-    before = _count(spark, path)
+    before = {f.path for f in data_files(spark, path)}
     df.write.mode("append").parquet(path)
-    return Written(layer, name, number, _count(spark, path) - before)
+    return counted(spark, layer, name, number, [f for f in data_files(spark, path) if f.path not in before])
+
+
+def _stream_commits(spark: SparkSession, folder: str, n: int) -> list[tuple]:
+    """The last n batches of a stream's folder: batch, time, sizes of what it added."""
+    log = read_log(spark, folder)
+    out = []
+    for number, at in sorted(log.batches().items(), reverse=True)[:n]:
+        try:
+            files = [Stored(path, at, size) for path, size in log.added(number).items()]
+        except ValueError:  # the batch before a compact file is gone
+            continue
+        out.append((number, at, files))
+    rows = file_rows(spark, [f.path for _, _, files in out for f in files])
+    return [(number, at, _sizes(files, rows)) for number, at, files in out]
+
+
+def _refresh_commits(spark: SparkSession, path: str, at: datetime) -> list[tuple]:
+    """The writes of one refresh, in order: time, sizes. The files of a write share a part of their names."""
+    writes: dict[str, list[Stored]] = {}
+    for file in data_files(spark, path):
+        mark = WRITE_ID.match(file.name)
+        writes.setdefault(mark[1] if mark else "", []).append(file)
+    if not writes:
+        return [(at, _sizes([], {}))]
+    rows = file_rows(spark, [f.path for files in writes.values() for f in files])
+    return sorted(((max(f.at for f in files), _sizes(files, rows)) for files in writes.values()), key=lambda w: w[0])
 
 
 def history(spark: SparkSession, root: str, layer: str, name: str, n: int = 10) -> DataFrame:
-    """The latest n refreshes, newest first: number, time of the last write, rows."""
-    known = sorted(refreshes(spark, root, layer, name).items(), reverse=True)[:n]
-    rows = [(number, at, _count(spark, refresh_path(root, layer, name, number))) for number, at in known]
-    return spark.createDataFrame(rows, "version bigint, timestamp timestamp, row_count bigint").orderBy(F.desc("version"))
+    """The latest n writes, newest first: version, time, operation, its parameters and metrics, rows.
 
+    WRITE is a refresh (mode Overwrite) or rows added to one (mode Append); STREAMING UPDATE is a batch of a stream. What a write did is
+    read from its committed files, their footers and the sink's log.
+    """
+    text = lambda values: {k: str(v) for k, v in values.items()}
+    rows = []
+
+    def streamed(folder: str, version=None) -> None:
+        stream = folder.rsplit("/", 1)[-1]
+        for number, at, sizes in _stream_commits(spark, folder, n):
+            parameters = {"outputMode": "Append", "stream": stream, "batch": number}
+            rows.append((number if version is None else version, at, "STREAMING UPDATE", text(parameters), text(sizes), sizes["numOutputRows"]))
 
-def register_table(spark: SparkSession, root: str, layer: str, name: str, version: int | None = None) -> str:
-    """View `layer.name` over the latest refresh, or `layer.name_vN` over refresh N."""
     if layer == "bronze":
-        folders = bronze_streams(spark, root, name)
+        for folder in bronze_streams(spark, root, name):
+            streamed(folder)
+    else:
+        for number, at in sorted(refreshes(spark, root, layer, name).items(), reverse=True)[:n]:
+            path = refresh_path(root, layer, name, number)
+            if is_streamed(spark, root, layer, name, number):
+                streamed(path, number)
+                continue
+            for i, (when, sizes) in enumerate(_refresh_commits(spark, path, at)):
+                rows.append((number, when, "WRITE", {"mode": "Append" if i else "Overwrite"}, text(sizes), sizes["numOutputRows"]))
+    return spark.createDataFrame(rows, HISTORY).orderBy(F.desc("version"), F.desc("timestamp")).limit(n)
+
+
+def register_table(spark: SparkSession, root: str, layer: str, name: str, version: int | None = None) -> str:
+    """View `layer.name` over the latest version, or `layer.name_vN` over version N.
+
+    The view of a bronze version names the files of its batches, so it fits tables of some thousand files.
+    """
+    if layer == "bronze" and version is not None:
+        folders = {}
+        for file in bronze_files(spark, root, name, version):
+            folder, _, leaf = file.rpartition("/")
+            folders.setdefault(folder, []).append(leaf)
+        sources = [f"{folder}/{{{','.join(leaves)}}}" for folder, leaves in folders.items()]
+    elif layer == "bronze":
+        sources = bronze_streams(spark, root, name)
     else:
-        folders = [refresh_path(root, layer, name, latest(spark, root, layer, name) if version is None else version)]
+        sources = [refresh_path(root, layer, name, latest(spark, root, layer, name) if version is None else version)]
     columns = ", ".join(f"`{c}`" for c in read_table(spark, root, layer, name, version).columns)
     view = f"{layer}.{name}" if version is None else f"{layer}.{name}_v{version}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root.rstrip('/')}/{layer}'")
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS " + " UNION ALL ".join(f"SELECT {columns} FROM parquet.`{f}`" for f in folders))
+    selects = [f"SELECT {columns} FROM parquet.`{s}`" for s in sources]
+    if not selects:  # a version without files
+        nothing = ", ".join(f"CAST(NULL AS {t}) AS `{c}`" for c, t in read_table(spark, root, layer, name).dtypes)
+        selects = [f"SELECT {nothing} WHERE false"]
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS " + " UNION ALL ".join(selects))
     return view
 
 

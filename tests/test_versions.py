@@ -1,0 +1,160 @@
+"""Versions and history of tables that streams fill, and of refreshed ones."""
+
+import os
+import time
+
+import pytest
+from helpers import order, records
+from pyspark.errors import AnalysisException
+from strata.sources import tables
+from strata.sources.sink_log import read_log
+from strata.streaming import ingest
+from strata.streaming.reports import reports
+
+
+def put(spark, root, payloads, first=0):
+    records(spark, payloads, "orders", first).coalesce(1).write.mode("append").parquet(f"{root}/topics/orders")
+
+
+def stream(spark, root, name="main", files=1):
+    source = ingest.read_events(spark, "orders", "parquet", path=f"{root}/topics/orders", maxFilesPerTrigger=files)
+    query = ingest.write_bronze(source, root, "orders", ingest.ALL_AVAILABLE, name)
+    query.awaitTermination()
+    return query
+
+
+def offsets(df):
+    return sorted(r.offset for r in df.select("offset").collect())
+
+
+def of(spark, root, version=None):
+    return offsets(tables.read_table(spark, root, "bronze", "orders", version))
+
+
+def test_bronze_as_of_a_batch(spark, root):
+    for i in range(3):
+        put(spark, root, [order(f"a{i}"), order(f"b{i}")], 2 * i)
+        stream(spark, root)
+    assert [of(spark, root, n) for n in range(3)] == [[0, 1], [0, 1, 2, 3], [0, 1, 2, 3, 4, 5]]
+    assert of(spark, root) == of(spark, root, 2)
+    for unknown in (3, 99, -1):
+        with pytest.raises(ValueError, match=f"no version {unknown}"):
+            tables.read_table(spark, root, "bronze", "orders", unknown)
+    assert tables.read_table(spark, root, "bronze", "orders", 0).columns == tables.read_table(spark, root, "bronze", "orders").columns
+    with pytest.raises(AnalysisException):
+        tables.read_table(spark, root, "bronze", "clicks", 0)
+    assert tables.try_read_table(spark, root, "bronze", "clicks", 0) is None
+
+
+def test_two_streams_of_one_topic(spark, root):
+    put(spark, root, [order("a")], 0)
+    stream(spark, root)
+    put(spark, root, [order("b")], 1)
+    stream(spark, root)
+    stream(spark, root, "second", files=5)
+    assert of(spark, root, 0) == [0, 0, 1]
+    assert of(spark, root, 1) == [0, 0, 1, 1]
+    with pytest.raises(ValueError, match="no version 2"):
+        of(spark, root, 2)
+
+
+def test_versions_over_compactions_of_the_log(spark, root):
+    """The log is compacted each tenth batch; a batch stays readable while the files that tell it are there."""
+    for i in range(23):
+        put(spark, root, [order(f"a{i}")], i)
+    stream(spark, root)
+    log = read_log(spark, f"{root}/bronze/orders/main")
+    assert log.compact == {9, 19} and list(log.batches()) == list(range(23))
+    for n in (0, 8, 9, 10, 18, 19, 20, 22):
+        assert len(of(spark, root, n)) == n + 1
+    assert len(log.added(9)) == len(log.added(12)) == 1 and len(log.entries(12)) == 13
+    # What Spark does when it may delete old log files.
+    for i in (*range(9), 12):
+        os.remove(f"{root}/bronze/orders/main/_spark_metadata/{i}")
+    log = read_log(spark, f"{root}/bronze/orders/main")
+    assert list(log.batches()) == [9, 10, 11, *range(19, 23)]
+    assert len(of(spark, root, 10)) == 11 and len(of(spark, root, 22)) == 23
+    for n in (5, 12, 13):
+        with pytest.raises(ValueError):
+            of(spark, root, n)
+    history = tables.history(spark, root, "bronze", "orders", 30).collect()
+    assert [r.version for r in history] == [22, 21, 20, 11, 10]
+
+
+def test_the_log_is_kept_whole_and_the_session_stays_as_it_was(spark, root):
+    deletion, delay = "spark.sql.streaming.fileSink.log.deletion", "spark.sql.streaming.fileSink.log.cleanupDelay"
+    before = spark.conf.get(deletion)
+    for i in range(12):
+        put(spark, root, [order(f"a{i}")], i)
+    spark.conf.set(delay, "1ms")
+    try:
+        stream(spark, root)
+    finally:
+        spark.conf.unset(delay)
+    assert spark.conf.get(deletion) == before
+    assert sorted(read_log(spark, f"{root}/bronze/orders/main").files) == list(range(12))
+
+
+def test_views_of_bronze_versions(spark, root):
+    for i in range(2):
+        put(spark, root, [order(f"a{i}")], i)
+        stream(spark, root)
+    stream(spark, root, "second", files=5)
+    name = tables.register_table(spark, root, "bronze", "orders", 0)
+    assert name == "bronze.orders_v0"
+    assert sorted(r[0] for r in spark.sql(f"SELECT offset FROM {name}").collect()) == [0, 0, 1]
+    put(spark, root, [order("z")], 9)
+    stream(spark, root)
+    assert spark.sql(f"SELECT count(*) FROM {name}").first()[0] == 3
+    tables.register_table(spark, root, "bronze", "orders")
+    assert spark.sql("SELECT count(*) FROM bronze.orders").first()[0] == 5
+
+
+def test_history_of_bronze(spark, root):
+    for i, n in enumerate((2, 3)):
+        put(spark, root, [order(f"a{i}-{j}") for j in range(n)], 10 * i)
+        stream(spark, root)
+    stream(spark, root, "second", files=5)
+    rows = tables.history(spark, root, "bronze", "orders").collect()
+    assert [(r.version, r.operation, r.operation_parameters["stream"], r.row_count) for r in rows] == [
+        (1, "STREAMING UPDATE", "main", 3), (0, "STREAMING UPDATE", "second", 5), (0, "STREAMING UPDATE", "main", 2),
+    ]
+    for r in rows:
+        m = r.operation_metrics
+        assert int(m["numOutputRows"]) == r.row_count and int(m["numFiles"]) >= 1 and int(m["numOutputBytes"]) > 0
+        assert r.timestamp is not None and r.operation_parameters["outputMode"] == "Append"
+
+
+def test_history_of_refreshes_and_appends(spark, root):
+    numbers = lambda *v: spark.createDataFrame([(x,) for x in v], "x int")
+    tables.write_snapshot(numbers(1, 2), root, "silver", "t")
+    time.sleep(0.05)
+    done = tables.append_rows(numbers(3), root, "silver", "t")
+    assert done.rows == 1 and done.metrics["numOutputRows"] == 1
+    tables.write_snapshot(numbers(), root, "silver", "t")
+    rows = tables.history(spark, root, "silver", "t").collect()
+    assert [(r.version, r.operation, r.operation_parameters["mode"], r.row_count) for r in rows] == [
+        (1, "WRITE", "Overwrite", 0), (0, "WRITE", "Append", 1), (0, "WRITE", "Overwrite", 2),
+    ]
+    assert int(rows[1].operation_metrics["numFiles"]) >= 1
+    assert tables.history(spark, root, "silver", "none").collect() == []
+
+
+def test_rows_of_a_stream_are_reported(spark, root):
+    for i, n in enumerate((2, 3, 4)):
+        put(spark, root, [order(f"a{i}-{j}") for j in range(n)], 10 * i)
+    found = reports(stream(spark, root))
+    assert [b.batch for b in found] == [0, 1, 2]
+    assert sorted(b.observed["rows_written"] for b in found) == [2, 3, 4] == sorted(b.rows_read for b in found)
+
+
+def test_streamed_tables_take_no_appends(spark, root):
+    from strata.plans.incremental import extend_silver
+
+    put(spark, root, [order("a")])
+    stream(spark, root)
+    extend_silver(spark, root)
+    with pytest.raises(ValueError, match="stream"):
+        tables.append_rows(tables.read_table(spark, root, "silver", "orders"), root, "silver", "orders")
+    rows = tables.history(spark, root, "silver", "orders").collect()
+    assert [(r.version, r.operation, r.row_count) for r in rows] == [(0, "STREAMING UPDATE", 1)]
