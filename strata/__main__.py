@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from strata.operators.models import top_propensity
 from strata.plans.propensity import propensity_of
-from strata.plans.refresh import run_once
+from strata.plans.run import run_once
 from strata.sources.tables import read_table, register_layers
 from strata.streaming.ingest import start_bronze
 
@@ -17,7 +17,7 @@ def main(arguments: list[str] | None = None) -> None:
     ingest = jobs.add_parser("ingest", help="append both topics to bronze until one stream stops")
     ingest.add_argument("--servers", required=True, help="Kafka bootstrap servers")
     refresh = jobs.add_parser("refresh", help="bronze to silver to gold, once")
-    refresh.add_argument("--incremental", action="store_true", help="parse only new bronze rows")
+    refresh.add_argument("--incremental", action="store_true", help="clean and aggregate only what is new")
     score = jobs.add_parser("score", help="fit the propensity models, store scores and evaluation in layer ml")
     score.add_argument("--threshold", type=float, default=200.0)
     for job in (ingest, refresh, score):
@@ -30,7 +30,8 @@ def main(arguments: list[str] | None = None) -> None:
         spark.streams.awaitAnyTermination()
     elif options.job == "refresh":
         for done in run_once(spark, options.root, incremental=options.incremental):
-            print(f"{done.layer}.{done.table} version {done.version}: {done.rows} rows")
+            counts = "".join(f", {name} {n}" for name, n in done.metrics.items()) if done.layer == "silver" else ""
+            print(f"{done.layer}.{done.table} version {done.version}: {done.rows} rows{counts}")
         register_layers(spark, options.root)
     else:
         for result in propensity_of(spark, options.root, options.threshold):

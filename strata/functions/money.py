@@ -48,12 +48,7 @@ def exact_mean(amount: Column) -> Column:
 
     Divides with remainder instead of doubling the sum, so the range of the sum is not halved.
     """
-    total = F.try_sum(minor_units(amount))
-    step = F.nullif(F.count(minor_units(amount)), F.lit(0))
-    size = F.abs(total)
-    rest = size % step
-    rounded = _div(size, step) + F.when(rest * 2 >= step, 1).otherwise(0)
-    cents = F.when(total < 0, -rounded).otherwise(rounded) / F.lit(100.0)
+    cents = _rounded_share(F.try_sum(minor_units(amount)), F.count(minor_units(amount)))
     plain = F.round(F.try_divide(_total(amount), F.count(amount)), 2)
     return _with_beyond(
         F.coalesce(cents, plain), amount,
@@ -61,6 +56,15 @@ def exact_mean(amount: Column) -> Column:
     )
 
 
+def _rounded_share(total: Column, n: Column) -> Column:
+    """total / n of whole cents as an amount, rounded half up (away from zero) to cents; NULL for n = 0."""
+    step = F.nullif(n, F.lit(0))
+    size = F.abs(total)
+    rest = size % step
+    rounded = _div(size, step) + F.when(rest * 2 >= step, 1).otherwise(0)
+    return F.when(total < 0, -rounded).otherwise(rounded) / F.lit(100.0)
+
+
 def price_mean(price: Column) -> Column:
     """Aggregate: mean of prices with any number of decimals, rounded once, to two digits.
 
@@ -80,3 +84,54 @@ def price_mean(price: Column) -> Column:
 def _div(a: Column, b: Column) -> Column:
     """Integer division; `/` would go through double and lose digits above 2^53."""
     return F.call_function("div", a, b)
+
+
+# The same sums and means in parts that can be stored and added up.
+
+def money_parts(name: str, amount: Column) -> dict[str, Column]:
+    """Aggregates from which `sum_of` and `mean_of` follow; all of them are merged by adding up."""
+    units, odd = minor_units(amount), _beyond(amount)
+    return {
+        f"{name}_cents": F.sum(units.cast("decimal(19,0)")).cast("decimal(38,0)"), f"{name}_whole": F.count(units),
+        f"{name}_odd": F.sum(odd), f"{name}_odds": F.count(odd), f"{name}_n": F.count(amount),
+    }
+
+
+def _amount_of(name: str) -> Column:
+    cents = F.col(f"{name}_cents")
+    return F.coalesce(cents.try_cast("bigint") / F.lit(100.0), cents.cast("double") / F.lit(100.0))
+
+
+def _odd_or(name: str, exact: Column, combine) -> Column:
+    return F.when(F.coalesce(f"{name}_odds", F.lit(0)) == 0, exact).otherwise(combine(F.col(f"{name}_odd")))
+
+
+def sum_of(name: str) -> Column:
+    """What `exact_sum` gives, from stored parts."""
+    total = _amount_of(name)
+    return _odd_or(name, total, lambda odd: F.coalesce(total, F.lit(0.0)) + odd)
+
+
+def mean_of(name: str) -> Column:
+    """What `exact_mean` gives, from stored parts."""
+    n = F.col(f"{name}_n")
+    cents = _rounded_share(F.col(f"{name}_cents").try_cast("bigint"), F.col(f"{name}_whole"))
+    plain = F.round(F.try_divide(_amount_of(name), n), 2)
+    return _odd_or(name, F.coalesce(cents, plain), lambda odd: F.round((F.coalesce(_amount_of(name), F.lit(0.0)) + odd) / n, 2))
+
+
+def price_parts(name: str, price: Column) -> dict[str, Column]:
+    """Aggregates from which `price_mean_of` follows; all of them are merged by adding up."""
+    exact = F.abs(price) < F.lit(1e12)
+    odd = F.when(~exact, price)
+    return {
+        f"{name}_decimal": F.sum(F.when(exact, price).try_cast("decimal(28,12)")).cast("decimal(38,12)"),
+        f"{name}_odd": F.sum(odd), f"{name}_odds": F.count(odd), f"{name}_n": F.count(price),
+    }
+
+
+def price_mean_of(name: str) -> Column:
+    """What `price_mean` gives, from stored parts."""
+    total = F.col(f"{name}_decimal").cast("double")
+    whole = _odd_or(name, total, lambda odd: F.coalesce(total, F.lit(0.0)) + odd)
+    return F.round(F.try_divide(whole, F.col(f"{name}_n")), 2)

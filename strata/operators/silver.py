@@ -1,6 +1,8 @@
 """Raw rows to typed, valid, unique rows."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,14 +54,35 @@ def visit_referrer() -> Column:
     return F.coalesce("referrer", F.lit(DEFAULT_REFERRER))
 
 
+def order_rules() -> dict[str, Column]:
+    """What an order must meet, in the order the rules are tried."""
+    return {"no_id": has_id("order_id"), "not_positive": positive("total_amount"), "unknown_status": known_status()}
+
+
+def click_rules() -> dict[str, Column]:
+    return {"no_id": has_id("click_id"), "not_positive": positive("duration_ms")}
+
+
+def meets(rules: dict[str, Column]) -> Column:
+    return reduce(and_, rules.values())
+
+
 def valid_orders(events: DataFrame) -> DataFrame:
     """Orders with an id, a positive amount and a known status."""
-    return events.where(has_id("order_id") & positive("total_amount") & known_status())
+    return events.where(meets(order_rules()))
 
 
 def valid_clicks(events: DataFrame) -> DataFrame:
     """Clicks with an id and a positive duration."""
-    return events.where(has_id("click_id") & positive("duration_ms"))
+    return events.where(meets(click_rules()))
+
+
+def typed_orders(events: DataFrame) -> DataFrame:
+    return events.withColumns({"event_ts": parse_instant(F.col("timestamp")), "total_amount": cents(F.col("total_amount"))})
+
+
+def typed_clicks(events: DataFrame) -> DataFrame:
+    return events.withColumns({"event_ts": parse_instant(F.col("timestamp")), "referrer": visit_referrer()})
 
 
 def completed(orders: DataFrame) -> DataFrame:
@@ -74,11 +97,7 @@ def silver_orders(
     With `fields` only these payload fields are parsed, and those the rules need.
     """
     wanted = None if fields is None else {*fields, "order_id", "total_amount", "status", "timestamp"}
-    events = valid_orders(parse_payload(bronze, ORDER_PAYLOAD, wanted)).withColumns({
-        "event_ts": parse_instant(F.col("timestamp")),
-        "total_amount": cents(F.col("total_amount")),
-    })
-    return _stamped(first_copy(events, ["order_id"]), clock)
+    return unique(typed_orders(valid_orders(parse_payload(bronze, ORDER_PAYLOAD, wanted))), "order_id", clock)
 
 
 def silver_clicks(
@@ -86,13 +105,10 @@ def silver_clicks(
 ) -> DataFrame:
     """Clean clicks. With `fields` only these payload fields are parsed, and those the rules need."""
     wanted = None if fields is None else {*fields, "click_id", "duration_ms", "timestamp", "referrer"}
-    events = valid_clicks(parse_payload(bronze, CLICK_PAYLOAD, wanted)).withColumns({
-        "event_ts": parse_instant(F.col("timestamp")),
-        "referrer": visit_referrer(),
-    })
-    return _stamped(first_copy(events, ["click_id"]), clock)
+    return unique(typed_clicks(valid_clicks(parse_payload(bronze, CLICK_PAYLOAD, wanted))), "click_id", clock)
 
 
-def _stamped(events: DataFrame, clock: Column | None) -> DataFrame:
+def unique(events: DataFrame, key: str, clock: Column | None = None) -> DataFrame:
+    """The first copy of each id, without its place, stamped with the time of cleaning."""
     stamp = F.current_timestamp() if clock is None else clock
-    return events.drop(*POSITION).withColumn("processed_at", stamp)
+    return first_copy(events, [key]).drop(*POSITION).withColumn("processed_at", stamp)

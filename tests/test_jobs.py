@@ -21,10 +21,14 @@ def test_refresh_job(spark, root, capsys):
     assert "silver.orders version 0: 20 rows" in capsys.readouterr().out
     assert spark.sql("SELECT count(*) FROM gold.user_metrics").first()[0] == 20
     fill(spark, root, 1)
+    # After a full refresh a new table is filled from all of bronze; the next call adds what is new.
     main(["refresh", "--root", root, "--incremental"])
-    assert "silver.orders version 0: 20 rows" in capsys.readouterr().out
-    assert tables.read_table(spark, root, "silver", "orders").count() == 40
-    assert tables.read_table(spark, root, "gold", "user_metrics").agg({"total_orders": "sum"}).first()[0] == 40
+    assert "silver.orders version 1: 40 rows" in capsys.readouterr().out
+    fill(spark, root, 2)
+    main(["refresh", "--root", root, "--incremental"])
+    assert "silver.orders version 1: 20 rows" in capsys.readouterr().out
+    assert tables.read_table(spark, root, "silver", "orders").count() == 60
+    assert tables.read_table(spark, root, "gold", "user_metrics").agg({"total_orders": "sum"}).first()[0] == 60
 
 
 def test_score_job(spark, root, capsys, monkeypatch):
