@@ -11,6 +11,7 @@ import sys
 import tempfile
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,14 +21,18 @@ import derived_topics  # noqa: E402
 import oracle  # noqa: E402
 from strata.functions import money, scalars  # noqa: E402
 from strata.operators import (  # noqa: E402
-    evaluate, events, explore, features, gold, models, silver,
+    evaluate, events, explore, features, gold, models, silver, trees,
 )
 from strata.plans.propensity import propensity  # noqa: E402
-from strata.plans.refresh import extend_silver, refresh_gold, run_once  # noqa: E402
+from strata.plans import dated  # noqa: E402
+from strata.plans.incremental import extend_silver  # noqa: E402
+from strata.plans.refresh import refresh_gold  # noqa: E402
+from strata.plans.run import run_once  # noqa: E402
 from strata.schemas import CLICK_PAYLOAD, FEATURES, LABEL, ORDER_PAYLOAD  # noqa: E402
-from strata.sources import tables  # noqa: E402
+from strata.sources import layout, tables  # noqa: E402
 from strata.sources.scratch import scratch_root  # noqa: E402
 from strata.streaming import ingest  # noqa: E402
+from strata.streaming.reports import reports  # noqa: E402
 
 try:
     from strata.llm import queries as llm  # noqa: E402
@@ -39,6 +44,7 @@ except ModuleNotFoundError as missing:
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMALLEST = "/root/testdata/sf0.001"
+MONTH = "month"  # The given events lie thinly over years: folders of months.
 THRESHOLD = 500_000.0  # The given prices are far above those the default of 200 is meant for.
 
 
@@ -211,15 +217,135 @@ def table_scan(spark, sf):
 def silver_incremental(spark, sf):
     """The click topic arrives in two parts; the second refresh reads only the second part."""
     root = place(spark, "layers")
-    records = derived_topics.click_records(spark, sf)
-    # An event with an even number comes first, its replay (odd offset) in the second part.
-    for part in (0, 1):
-        records.where(F.col("offset") % 2 == part).write.mode("append").parquet(f"{root}/topics/clicks")
+    for part in topic_parts(spark, sf, "clicks"):
+        part.write.mode("append").parquet(f"{root}/topics/clicks")
         stream_topics(spark, root, ["clicks"])
         extend_silver(spark, root)
     return shown(tables.read_table(spark, root, "silver", "clicks")).drop("timestamp")
 
 
+def topic_parts(spark, sf, name):
+    """A topic in two parts; of an id with copies, the first one is in the first part, or all are in one."""
+    if name == "clicks":  # an event with an even number comes first, its replay (odd offset) in the second part
+        records, late = derived_topics.click_records(spark, sf), F.col("offset") % 2
+    else:
+        records, late = derived_topics.order_records(spark, sf), (F.col("partition") > 0).cast("int")
+    return [records.where(late == part) for part in (0, 1)]
+
+
+def arrive(spark, root, name, records):
+    """One more part of a topic goes to bronze, as one batch."""
+    records.write.mode("append").parquet(f"{root}/topics/{name}")
+    for query in ingest.start_bronze(spark, root, [name], "parquet", ingest.ALL_AVAILABLE, path=root + "/topics/{topic}"):
+        query.awaitTermination()
+
+
+def two_batches(spark, sf):
+    """bronze.clicks in two batches, which are its versions."""
+    root = place(spark, "batches")
+    for part in topic_parts(spark, sf, "clicks"):
+        arrive(spark, root, "clicks", part)
+    return root
+
+
+def version_scan_bronze(spark, sf):
+    """The rows of each version, read by its number and by the name of its view."""
+    root = two_batches(spark, sf)
+    both = None
+    for version in (0, 1):
+        view = tables.register_table(spark, root, "bronze", "clicks", version)
+        rows = tables.read_table(spark, root, "bronze", "clicks", version)
+        named = spark.table(view).agg(F.count(F.lit(1))).scalar()
+        part = rows.groupBy(F.col("partition").alias("part_no")).agg(
+            F.lit(version).cast("bigint").alias("version"), F.count(F.lit(1)).alias("row_count"), named.alias("in_view"),
+            F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"), F.sum(F.col("offset").cast("decimal(20,0)")).cast("bigint").alias("offsets"),
+        )
+        both = part if both is None else both.unionByName(part)
+    return both
+
+
+def table_history_bronze(spark, sf):
+    history = tables.history(spark, two_batches(spark, sf), "bronze", "clicks")
+    return history.select(
+        "version", "operation", F.col("operation_parameters")["stream"].alias("stream"), F.col("timestamp").isNotNull().alias("dated"),
+        F.col("operation_metrics")["numOutputRows"].cast("bigint").alias("row_count"),
+        (F.col("operation_metrics")["numFiles"].cast("int") > 0).alias("has_files"),
+    )
+
+
+def stream_row_counts(spark, sf):
+    """Rows of both topics: read and written by the stream to bronze, rejected by each rule, copies, written to silver; as the streams observed."""
+    root = place(spark, "layers")
+    counts = []
+    for name in ("orders", "clicks"):
+        read = written = 0
+        for part in topic_parts(spark, sf, name):
+            part.write.mode("append").parquet(f"{root}/topics/{name}")
+            for query in ingest.start_bronze(spark, root, [name], "parquet", ingest.ALL_AVAILABLE, path=root + "/topics/{topic}", maxFilesPerTrigger=4):
+                query.awaitTermination()
+                batches = reports(query)
+                read += sum(b.rows_read for b in batches)
+                written += sum(b.observed["rows_written"] for b in batches)
+        counts.append([name, read, written])
+    for row, done in zip(counts, extend_silver(spark, root)):
+        row += [done.metrics["rows_read"], done.metrics["no_id"], done.metrics["not_positive"], done.metrics.get("unknown_status", 0), done.metrics["copies"], done.rows]
+    return spark.createDataFrame(
+        [tuple(row) for row in counts],
+        "topic string, bronze_read bigint, bronze_written bigint, silver_read bigint, no_id bigint, not_positive bigint, unknown_status bigint, "
+        "copies bigint, silver_written bigint",
+    )
+
+
+def gold_incremental(spark, sf):
+    """Both topics arrive in two parts; silver and gold are brought up to date after each from what is new."""
+    root = place(spark, "layers")
+    for parts in zip(topic_parts(spark, sf, "orders"), topic_parts(spark, sf, "clicks")):
+        for name, part in zip(("orders", "clicks"), parts):
+            arrive(spark, root, name, part)
+        run_once(spark, root, incremental=True)
+    return gold_rows(spark, root)
+
+
+def dated_orders(spark, sf):
+    """Silver orders by date: those of one partition of the topic come late."""
+    root = place(spark, "dated")
+    for late, build in ((False, dated.write_dated_orders), (True, dated.add_late_orders)):
+        records = bronze_orders(spark, sf).where((F.col("partition") == 2) == F.lit(late))
+        build(silver.silver_orders(records), root, MONTH)
+    return root
+
+
+def revenue_by_date(spark, sf):
+    """Daily revenue of some years, from their files alone."""
+    return shown(dated.revenue_between(spark, dated_orders(spark, sf), "1996-03-15", "1999-12-31", MONTH))
+
+
+def latest_days_pruned(spark, sf):
+    return shown(dated.latest_revenue(spark, dated_orders(spark, sf)))
+
+
+def late_dates(spark, sf):
+    """Stored daily revenue: of all dates first, then, after late orders, of their dates alone."""
+    root = place(spark, "late")
+    first, late = [silver.silver_orders(bronze_orders(spark, sf).where((F.col("partition") == 2) == F.lit(x))) for x in (False, True)]
+    for new, build in ((first, dated.write_dated_orders), (late, dated.add_late_orders)):
+        build(new, root, MONTH)
+        dated.refresh_dates(spark, root, new, MONTH)
+    return shown(tables.read_table(spark, root, "gold", "daily_revenue_dated").drop("event_date"))
+
+
+def bronze_compaction(spark, sf):
+    """Many small batches, packed, and one more batch: the rows, and whether the files to read are fewer."""
+    root = stream_topics(spark, stored_topics(spark, sf, ["clicks"]), ["clicks"])
+    layout.compact_bronze(spark, root, "clicks")
+    derived_topics.click_records(spark, sf).where(F.col("partition") == 0).coalesce(1).write.mode("append").parquet(f"{root}/topics/clicks")
+    stream_topics(spark, root, ["clicks"])
+    whole = layout.read_compacted(spark, root, "clicks")
+    return whole.groupBy("topic", F.col("partition").alias("part_no")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("offset").alias("offsets"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+    )
+
+
 def two_versions(spark, sf):
     """silver.orders as of all completed, then of all refunded orders."""
     root = place(spark, "versions")
@@ -244,7 +370,9 @@ def version_scan(spark, sf):
 
 def table_history(spark, sf):
     history = tables.history(spark, two_versions(spark, sf), "silver", "orders")
-    return history.select("version", F.col("timestamp").isNotNull().alias("dated"), "row_count")
+    return history.select(
+        "version", F.col("timestamp").isNotNull().alias("dated"), "operation", F.col("operation_parameters")["mode"].alias("mode"), "row_count"
+    )
 
 
 def optional_scan(spark, sf):
@@ -298,7 +426,10 @@ def gold_refresh_tables(spark, sf):
 
 def gold_refresh(spark, sf):
     """All rows of all four tables, each as one text."""
-    root = gold_refresh_tables(spark, sf)
+    return gold_rows(spark, gold_refresh_tables(spark, sf))
+
+
+def gold_rows(spark, root):
     result = None
     for name in tables.LAYERS["gold"]:
         rows = shown(tables.read_table(spark, root, "gold", name))
@@ -353,6 +484,47 @@ def tree_model(name):
     return query
 
 
+def tree_walk(spark, sf, name):
+    """One tree model, its stored nodes, and whether it is a boosted one."""
+    root = place(spark, "trees")
+    found = propensity(stored_users(spark, sf)[1], root, THRESHOLD, [name])
+    trees.node_table(spark, found.best.model, f"{root}/model").write.parquet(f"{root}/nodes")
+    return found, spark.read.parquet(f"{root}/nodes"), name == models.BOOSTING
+
+
+def tree_scores(spark, sf):
+    """Every user by model: whether the score from the stored nodes is the model's, and the class and segment those of the score."""
+    result = None
+    for name in (models.FOREST, models.BOOSTING):
+        found, nodes, boosted = tree_walk(spark, sf, name)
+        inputs = found.inputs.select("user_id", vector_to_array("raw").alias("x"))
+        walked = trees.walk(inputs, "user_id", "x", nodes, boosted, trees.depth_of(nodes))
+        of_model = models.score(found.best.model, found.inputs).join(found.scored.select("user_id", "segment"), "user_id")
+        part = of_model.join(walked, "user_id").select(
+            F.lit(name).alias("model"), "user_id", (F.abs(F.col("score") - F.col("propensity_score")) < 1e-9).alias("is_same"),
+            (F.col("prediction") == (F.col("score") > 0.5).cast("int")).alias("is_likelier"),
+            F.col("segment").eqNullSafe(scalars.segment(F.col("propensity_score"))).alias("is_binned"),
+        )
+        result = part if result is None else result.unionAll(part)
+    return result
+
+
+def tree_importances(spark, sf):
+    """Features by model: whether the importance from the nodes' gains is the model's, in the same order."""
+    result = None
+    order = Window.partitionBy("model").orderBy
+    for name in (models.FOREST, models.BOOSTING):
+        found, nodes, boosted = tree_walk(spark, sf, name)
+        own = trees.importance_table(nodes, FEATURES, boosted).select(F.lit(name).alias("model"), "feature", F.col("importance").alias("own"))
+        both = own.join(found.importances, "feature")
+        part = both.select(
+            "model", "feature", (F.abs(F.col("own") - F.col("importance")) < 1e-9).alias("is_same"),
+            (F.row_number().over(order(F.round("own", 9), "feature")) == F.row_number().over(order(F.round("importance", 9), "feature"))).alias("same_place"),
+        )
+        result = part if result is None else result.unionAll(part)
+    return result
+
+
 def best_model(spark, sf):
     """Models, by whether their AUC is a valid one and the best one has the highest."""
     found = modelled(spark, sf)
@@ -463,12 +635,17 @@ def queries() -> dict[str, Query]:
         "optional_scan": optional_scan,
         "version_scan": version_scan,
         "table_history": table_history,
+        "version_scan_bronze": version_scan_bronze,
+        "table_history_bronze": table_history_bronze,
         "named_table_sql": named_table_sql,
         "describe_schema": lambda s, d: explore.schema_rows(stored_users(s, d)[1]),
         # sinks and encoding
         "bronze_append": bronze_append,
         "snapshot_overwrite": snapshot_overwrite,
         "write_row_count": write_row_count,
+        "stream_row_counts": stream_row_counts,
+        "bronze_compaction": bronze_compaction,
+        "late_dates": late_dates,
         "event_encode": lambda s, d: events.encode_events(
             derived_topics.click_events(s, d), "click_id", "clicks", CLICK_PAYLOAD
         ).select(text("key"), text("value"), "topic", part(), off()),
@@ -524,6 +701,8 @@ def queries() -> dict[str, Query]:
         "feature_summary": feature_summary,
         # sorts and top-k
         "latest_days_top10": lambda s, d: shown(explore.latest_days(daily(s, d))),
+        "latest_days_pruned": latest_days_pruned,
+        "revenue_by_date": revenue_by_date,
         "top_products": lambda s, d: shown(explore.top_products(products(s, d))),
         "top_users": lambda s, d: shown(explore.top_users(users(s, d))),
         "funnel_by_visits": lambda s, d: shown(explore.funnel_by_visits(pages(s, d))),
@@ -578,6 +757,8 @@ def queries() -> dict[str, Query]:
         "gradient_boosting": tree_model(models.BOOSTING),
         "roc_auc": exact_auc,
         "predict_proba": predict_proba,
+        "tree_scores": tree_scores,
+        "tree_importances": tree_importances,
         "best_model": best_model,
         "predict_class": predict_class,
         "classification_report": lambda s, d: rounded(
@@ -597,6 +778,7 @@ def queries() -> dict[str, Query]:
         "silver_clicks": lambda s, d: shown(clicks(s, d).withColumnRenamed("timestamp", "ts_text")),
         "silver_incremental": silver_incremental,
         "gold_refresh": gold_refresh,
+        "gold_incremental": gold_incremental,
         "run_once": refresh_all,
         "propensity": propensity_results,
     } | (llm.queries() if llm else {})

@@ -314,14 +314,31 @@ def statements():
             FROM so JOIN (VALUES (0, 'completed'), (1, 'refunded')) t(v, st) ON st = status GROUP BY v)""",
         "optional_scan": users_without_clicks,
         "table_history": SO + """ SELECT CASE status WHEN 'completed' THEN 0 ELSE 1 END::BIGINT AS version,
-            true AS dated, count(*) AS row_count FROM so
+            true AS dated, 'WRITE' AS operation, 'Overwrite' AS mode, count(*) AS row_count FROM so
             WHERE status IN ('completed', 'refunded') GROUP BY status""",
+        "version_scan_bronze": clicks_raw + """, versions AS (SELECT v::BIGINT AS version, c.* FROM click_raw c JOIN (VALUES (0), (1)) t(v) ON off_no % 2 <= v)
+            SELECT part_no, version, count(*) AS row_count, sum(count(*)) OVER (PARTITION BY version)::BIGINT AS in_view,
+              min(off_no)::BIGINT AS first_offset, max(off_no)::BIGINT AS last_offset, sum(off_no)::BIGINT AS offsets
+            FROM versions GROUP BY part_no, version""",
+        "table_history_bronze": clicks_raw + """ SELECT (off_no % 2)::BIGINT AS version, 'STREAMING UPDATE' AS operation, 'main' AS stream,
+            true AS dated, count(*) AS row_count, true AS has_files FROM click_raw GROUP BY off_no % 2""",
         "describe_schema": schema_lines(),
         "named_table_sql": ctes(CLICKS, FUNNEL) + " SELECT page, visits, conversion_rate FROM fu WHERE visits > 0",
         # sinks and encoding
         "bronze_append": f"""{clicks_raw} SELECT 'clicks' AS topic, part_no, off_no, event_ts AS kafka_timestamp,
             click_id AS kafka_key, sha256(CASE WHEN broken THEN '{{"broken' ELSE {CLICK_JSON} END) AS payload_sha256 FROM click_raw""",
         "snapshot_overwrite": SO + " SELECT order_id, user_id, total_amount FROM so WHERE status = 'completed'",
+        "stream_row_counts": ctes(ORDER_EVENTS, CLICK_EVENTS) + """, judged AS (
+              SELECT 'orders' AS topic, order_id AS id, CASE WHEN broken OR order_id IS NULL THEN 1 WHEN NOT coalesce(total_amount > 0, false) THEN 2
+                WHEN NOT coalesce(status <> 'unknown', false) THEN 3 ELSE 0 END AS rule FROM order_raw
+              UNION ALL SELECT 'clicks', click_id, CASE WHEN broken OR click_id IS NULL THEN 1 WHEN NOT coalesce(duration_ms > 0, false) THEN 2 ELSE 0 END FROM click_raw)
+            SELECT topic, count(*) AS bronze_read, count(*) AS bronze_written, count(*) AS silver_read, count(*) FILTER (rule = 1) AS no_id,
+              count(*) FILTER (rule = 2) AS not_positive, count(*) FILTER (rule = 3) AS unknown_status,
+              count(*) FILTER (rule = 0) - count(DISTINCT id) FILTER (rule = 0) AS copies, count(DISTINCT id) FILTER (rule = 0) AS silver_written
+            FROM judged GROUP BY topic""",
+        "bronze_compaction": clicks_raw + """ SELECT 'clicks' AS topic, part_no, count(*) * CASE part_no WHEN 0 THEN 2 ELSE 1 END AS row_count,
+            count(DISTINCT off_no) AS offsets, min(off_no)::BIGINT AS first_offset, max(off_no)::BIGINT AS last_offset FROM click_raw GROUP BY part_no""",
+        "late_dates": ctes(ORDERS, DAILY) + " SELECT * FROM daily",
         "write_row_count": SO + " SELECT 'silver' AS layer, 'orders' AS table_name, 0::BIGINT AS version, count(*) AS row_count FROM so",
         "event_encode": f"""{clicks_raw} SELECT click_id AS key_text, {CLICK_JSON} AS value_text,
             'clicks' AS topic, part_no, off_no FROM click_raw""",
@@ -369,6 +386,8 @@ def statements():
         "feature_summary": summary(),
         # sorts and top-k
         "latest_days_top10": ctes(ORDERS, DAILY) + " SELECT * FROM daily ORDER BY date DESC NULLS LAST LIMIT 10",
+        "latest_days_pruned": ctes(ORDERS, DAILY) + " SELECT * FROM daily WHERE date IS NOT NULL ORDER BY date DESC LIMIT 10",
+        "revenue_by_date": ctes(ORDERS, DAILY) + " SELECT * FROM daily WHERE date BETWEEN '1996-03-15' AND '1999-12-31'",
         "top_products": ctes(ORDERS, PRODUCTS) + """ SELECT * FROM products
             ORDER BY total_revenue DESC NULLS LAST, product_id, product_name, category LIMIT 10""",
         "top_users": UM + " SELECT * FROM um ORDER BY total_spend DESC NULLS LAST, user_id LIMIT 10",
@@ -423,11 +442,16 @@ def statements():
         "silver_clicks": f"""{SC} SELECT {CLICK_COLUMNS}, strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS ts_text FROM sc""",
         "silver_incremental": f"{SC} SELECT {CLICK_COLUMNS} FROM sc",
         "gold_refresh": gold_lines(),
+        "gold_incremental": gold_lines(),
         "run_once": snapshot_counts(),
         # models: what holds for the fitted ones
         "logistic_regression": f"SELECT unnest({[*FEATURES, 'intercept']}) AS weight, 0.0::DOUBLE AS gradient",
         "random_forest": tree_rows("Random Forest"),
         "gradient_boosting": tree_rows("Gradient Boosting"),
+        "tree_scores": UF + """ SELECT model, user_id, true AS is_same, true AS is_likelier, true AS is_binned
+            FROM uf, (VALUES ('Random Forest'), ('Gradient Boosting')) m(model)""",
+        "tree_importances": f"""SELECT model, feature, true AS is_same, true AS same_place
+            FROM (SELECT unnest({[*FEATURES]}) AS feature), (VALUES ('Random Forest'), ('Gradient Boosting')) m(model)""",
         "best_model": """SELECT unnest(['Logistic Regression', 'Random Forest', 'Gradient Boosting']) AS model,
             true AS learns, true AS best_is_no_worse""",
         "predict_proba": UF + " SELECT user_id, true AS is_probability, true AS is_same FROM split WHERE is_test",
