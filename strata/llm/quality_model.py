@@ -181,7 +181,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, learn: Column,
     told = docs.select("doc_id", F.xxhash64(whole_text()).alias("t_hash")).join(one, "doc_id").distinct()
     chosen = store(told.orderBy(F.xxhash64(F.lit("training"), "doc_id", "t_hash"), "doc_id", "t_hash").limit(most), "training-labels")
     texts = docs.select("doc_id", whole_text().alias("text")).withColumn("t_hash", F.xxhash64("text"))
-    rows = texts.join(chosen, ["doc_id", "t_hash"]).groupBy("doc_id", "t_hash").agg(F.first("text").alias("text"), F.first("y").alias("y"))
+    # At most `most` rows of three numbers: bounded, so that texts stay where they are.
+    rows = texts.join(F.broadcast(chosen), ["doc_id", "t_hash"]).groupBy("doc_id", "t_hash").agg(F.first("text").alias("text"), F.first("y").alias("y"))
     return rows.select("doc_id", "text", "y")
 
 

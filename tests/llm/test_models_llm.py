@@ -219,7 +219,7 @@ def test_toxicity_cosines_votes_and_scores(spark):
     taught = [i for i in range(150) if rows[i][1]]
     votes = np.array([votes_of(nearest(i, i)) if nearest(i, i) else [plain] * (2 * len(t.VOTERS)) for i in taught])
     voting = t.fit_voting(votes, np.array([label[i] for i in taught], float))
-    assert np.allclose(voting.weights, learnt[1].weights, atol=1e-6) and np.allclose(voting.means, learnt[1].means)
+    assert np.allclose(voting.weights, learnt.voting.weights, atol=1e-6) and np.allclose(voting.means, learnt.voting.means)
     for i in range(len(rows)):
         near = nearest(i, None)
         evidence = got[i]["evidence"]
