@@ -4,10 +4,11 @@ Every version of every path is addressed by the SHA-256 of its content. The ledg
 version that was ever scanned, the spans found (also when there are none). A run scans only the pairs that the ledger
 lacks, and joins findings back to all paths and versions of the content.
 
-At scale: copies meet as digests; of each content one text is shuffled, since equal ones are merged before the shuffle. The
-join back moves digests and spans only, and Spark splits a digest that many paths share. A run over a history that has
-been scanned before reads texts and writes nothing new. The ledger is a table in the folder the caller names; each run
-appends what is new, so a run that dies half-way leaves at most rows that the next one finds done.
+At scale: what goes through the joins is a digest and the columns that the caller carries, never a text beside them; texts of unseen
+contents are shuffled once, by digest, equal ones merged before, and a run over a history that has been scanned reads no text a
+second time. A digest that many paths share is a large side of a join, which Spark splits. The ledger is a table in the folder the
+caller names; each run appends what is new, so a run that dies half-way leaves at most rows that the next one finds done. Rule
+versions are digests of the rules themselves.
 
 Cases: a null text is empty; empty texts have no spans; null paths are kept; repeated rows are judged alike, each with
 its row; an empty table gives an empty result; text of any length is scanned as a whole.
@@ -17,10 +18,10 @@ import hashlib
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.shared import packed, store, table, whole_text
+from strata.llm.shared import packed, shared_folder, store, store_path, table, whole_text
 
 # The base patterns and least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -36,7 +37,9 @@ MORE = {
     "forge": ("gh", re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}")),
 }
 KINDS = (*BASE, *MORE)
-RULES = "rules-1"
+#: The version of the rules: another pattern or bound makes another one.
+RULES = hashlib.sha256(repr((ASSIGN.pattern, ASSIGN.flags, ACCESS.pattern, HEX.pattern, LEAST_ASSIGNED, LEAST_ACCESS, NAMES,
+                             [(k, m, p.pattern, p.flags) for k, (m, p) in MORE.items()])).encode()).hexdigest()[:16]
 LEDGER = "blob string, rules string, spans array<struct<kind: string, start: bigint, end: bigint>>"
 
 
@@ -66,26 +69,38 @@ def scanned(blobs: DataFrame, rules: str) -> DataFrame:
     return blobs.select("blob", "text").mapInPandas(scan, LEDGER)
 
 
-def scan_versions(versions: DataFrame, ledger: str | None = None, text: str = "text", rules: str = RULES) -> tuple[DataFrame, DataFrame]:
-    """All versions (`row`, `blob`, `spans`), and the ledger rows this run added.
+def digest_of(text: Column) -> Column:
+    return F.sha2(F.encode(text, "UTF-8"), 256)
 
-    `ledger` is the folder of the ledger table, made by the first run; None scans everything and keeps no ledger.
+
+def scan_versions(
+    versions: DataFrame, ledger: str | None = None, text: str = "text", rules: str = RULES, carry: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """All versions (`row` with all columns, or those in `carry`; `blob`, `spans`), and the ledger rows this run added.
+
+    `ledger` is the folder of the ledger table, made by the first run; None is a new one.
     """
     spark = versions.sparkSession
-    addressed = versions.select(packed(versions), whole_text(text).alias("text")).withColumn("blob", F.sha2(F.encode("text", "UTF-8"), 256))
-    blobs = addressed.select("blob", "text").dropDuplicates(["blob"])
-    if ledger is None:
-        new = known = store(scanned(blobs, rules), "secret-ledger")
-    else:
-        spark.createDataFrame([], LEDGER).write.mode("append").parquet(ledger)
-        before = spark.read.schema(LEDGER).parquet(ledger).where(F.col("rules") == rules)
-        new = store(scanned(blobs.join(before, "blob", "left_anti"), rules), "secret-ledger")
+    ledger = ledger or store_path(spark, "secret-ledger")
+    spark.createDataFrame([], LEDGER).write.mode("append").parquet(ledger)
+    done = lambda: spark.read.schema(LEDGER).parquet(ledger).where(F.col("rules") == rules)
+    row = packed(versions if carry is None else versions.select(*carry))
+    addressed = store(versions.select(row, digest_of(whole_text(text)).alias("blob")), "secret-versions")
+    unseen = store(addressed.select("blob").distinct().join(done().select("blob"), "blob", "left_anti"), "secret-unseen")
+    new = spark.createDataFrame([], LEDGER)
+    if not unseen.isEmpty():
+        texts = versions.select(whole_text(text).alias("text")).withColumn("blob", digest_of(F.col("text")))
+        blobs = texts.join(unseen, "blob", "left_semi").dropDuplicates(["blob"])
+        new = store(scanned(blobs, rules), "secret-new")
         new.write.mode("append").parquet(ledger)
-        known = spark.read.schema(LEDGER).parquet(ledger).where(F.col("rules") == rules).dropDuplicates(["blob"])
-    found = known.where(F.size("spans") > 0).select("blob", "spans")
-    all_versions = addressed.select("row", "blob").join(found, "blob", "left")
+    found = done().where(F.size("spans") > 0).select("blob", "spans").dropDuplicates(["blob"])
     none = F.array().cast("array<struct<kind: string, start: bigint, end: bigint>>")
-    return all_versions.withColumn("spans", F.coalesce("spans", none)), new
+    return addressed.join(found, "blob", "left").select("row", "blob", F.coalesce("spans", none).alias("spans")), new
+
+
+def ledger_of(spark: SparkSession, path: str) -> str:
+    """The folder of a table's ledger in the shared folder, the same in every run."""
+    return f"{shared_folder(spark)}/llm-secret-ledger-{hashlib.sha256(path.encode()).hexdigest()[:16]}"
 
 
 def joined(spans):
@@ -94,8 +109,7 @@ def joined(spans):
 
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    # Of the row only the path is needed behind the scan.
-    versions, _ = scan_versions(documents)
+    versions, _ = scan_versions(documents, ledger_of(spark, f"{sf_dir}/documents.parquet"), carry=["doc_id"])
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
     return versions.select(

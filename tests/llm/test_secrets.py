@@ -61,6 +61,29 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
     assert spark.read.parquet(ledger).groupBy("blob", "rules").agg(F.count("*").alias("n")).where("n > 1").count() == 0
 
 
+def test_the_query_scans_nothing_twice(spark, tmp_path, monkeypatch):
+    """A second run of the query reads its ledger; copies of one content under very many paths are one blob."""
+    rows = [(i, "token=abcdefghijklmnop", "en", "a", 1) for i in range(400)] + [(1000 + i, f"plain {i}", "en", "a", 1) for i in range(20)]
+    corpus.frame(spark, rows).repartition(7).write.parquet(f"{tmp_path}/documents.parquet")
+    first = sorted(map(str, s8.op8_secret_scans(spark, str(tmp_path)).collect()))
+    ledger = spark.read.parquet(s8.ledger_of(spark, f"{tmp_path}/documents.parquet"))
+    assert ledger.count() == 21 and ledger.select("blob").distinct().count() == 21
+
+    def refuse(*_):
+        raise AssertionError("scanned again")
+
+    monkeypatch.setattr(s8, "scanned", refuse)
+    assert sorted(map(str, s8.op8_secret_scans(spark, str(tmp_path)).collect())) == first
+
+
+def test_only_carried_columns_and_digests_go_through_the_joins(spark, tmp_path):
+    docs = corpus.frame(spark, corpus.awkward()).select("doc_id", "text")
+    versions, _ = s8.scan_versions(docs, carry=["doc_id"])
+    plan = versions._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan and set(versions.columns) == {"row", "blob", "spans"}
+    assert versions.schema["row"].dataType.names == ["doc_id"]
+
+
 def test_empty(spark, tmp_path):
     corpus.frame(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     assert s8.op8_secret_scans(spark, str(tmp_path)).collect() == []
