@@ -7,17 +7,23 @@ from strata.llm import decontamination as d
 BENCHMARK = "item_id bigint, text string"
 
 
-def shingles(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
-    return {" ".join(words[i : i + 5]) for i in range(len(words) - 4)}
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def runs(words, width):
+    return {" ".join(words[i : i + width]) for i in range(len(words) - width + 1)}
 
 
 def brute(rows, items):
+    """By the task's definition: five words, or all of an item's words where it has fewer."""
     out = set()
     for doc_id, text, *_ in rows:
-        s = shingles(text)
+        words = words_of(text)
         for item_id, item in items:
-            t = shingles(item)
+            width = min(len(words_of(item)), 5)
+            t = runs(words_of(item), width) if width else set()
+            s = runs(words, width) if width else set()
             if t and 10 * len(s & t) >= 8 * len(t):
                 out.add((str(doc_id), item_id, len(s & t), len(t)))
     return out
@@ -26,8 +32,10 @@ def brute(rows, items):
 def cases():
     rng = random.Random(8)
     items = [(i, corpus.prose(rng, rng.choice([5, 6, 12, 30, 33, 64, 70]))) for i in range(40)]
-    items += [(100, "too few words"), (101, None), (102, ""), (103, items[0][1]), (None, items[1][1])]
+    items += [(100, "too Few words"), (104, "four words stand here"), (105, "zyx"), (106, "never seen"), (101, None), (102, ""), (103, items[0][1]), (None, items[1][1])]
     rows = corpus.awkward()
+    rows += [(6000, "there are TOO few\nwords in it", "en", "a", 1), (6001, "four words stand here", "en", "a", 1), (6002, "four words stand", "en", "a", 1)]
+    rows += [(6003, "stand here four words stand here too few word", "en", "a", 1), (6004, "zyx", "en", "a", 1)]
     for k in range(80):
         item = rng.choice(items[:40])[1].split()
         kind = k % 4
@@ -48,6 +56,8 @@ def test_equals_brute_force(spark):
     found = d.contained(corpus.frame(spark, rows, clash=True), spark.createDataFrame(items, BENCHMARK)).collect()
     got = {(str(r["doc_id"]), r["item_id"], r["n_shared"], r["n_item"]) for r in found}
     assert got == brute(rows, items) and len(got) > 50
+    assert {("6000", 100, 1, 1), ("6001", 104, 1, 1), ("6003", 104, 1, 1), ("6004", 105, 1, 1)} <= got
+    assert not any(x[1] in (101, 102, 106) for x in got)
 
 
 def test_stage(spark, tmp_path):
