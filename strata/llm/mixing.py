@@ -179,21 +179,29 @@ def pieces(documents: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def taken(of: Mix, block: int = BLOCK) -> DataFrame:
-    """source_key, start, taken: the words that the mix takes of each document with words, repeats counted."""
-    copies = of.slots.groupBy("source_key", "block").agg(F.count("*").alias("copies"))
+    """source_key, start, taken, n_shards: the words that the output shards hold of each document with words, repeats counted, and how many
+    shards hold some."""
+    copies = of.slots.groupBy("source_key", "block", "shard").agg(F.count("*").alias("copies"))
     parts = pieces(of.documents.select("source_key", "start", "size"), block)
     # Slots come from a table of a few rows, so the planner takes them for few: they must never be broadcast.
     joined = parts.join(copies.hint("merge"), ["source_key", "block"])
-    return joined.groupBy("source_key", "start").agg(F.sum(F.col("piece_words") * F.col("copies")).alias("taken"))
+    by_shard = joined.groupBy("source_key", "start", "shard").agg(F.sum(F.col("piece_words") * F.col("copies")).alias("words"))
+    return by_shard.groupBy("source_key", "start").agg(F.sum("words").alias("taken"), F.count("*").alias("n_shards"))
+
+
+def shard_counts(of: Mix) -> DataFrame:
+    """shard, source_key, blocks: how many blocks of each source a shard drew."""
+    return of.slots.groupBy("shard", "source_key").agg(F.count("*").alias("blocks"))
 
 
 def per_document(of: Mix, block: int = BLOCK) -> DataFrame:
-    """row, size, source_size, target, taken. The rows' own columns move in the last join only."""
+    """row, size, source_size, target, taken, n_shards. The rows' own columns move in the last join only."""
     counts = taken(of, block)
     documents = of.documents.withColumn("m_start", F.when(F.col("size") > 0, F.col("start")))
     joined = documents.join(counts.withColumnRenamed("start", "m_start"), ["source_key", "m_start"], "left")
+    none = F.lit(0).cast("bigint")
     counted = joined.join(of.sources, "source_key").select(
-        "uid", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken")
+        "uid", "size", "source_size", "target", F.coalesce("taken", none).alias("taken"), F.coalesce("n_shards", none).alias("n_shards")
     )
     return of.rows.join(counted, "uid").drop("uid")
 
@@ -220,11 +228,17 @@ def shards(of: Mix, block: int = BLOCK, text: str = "text") -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_document(mix(table(spark, sf_dir, "documents"), ["doc_id"])).select(
-        F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken"
+        F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "n_shards"
     )
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: every document with the words that the mix takes of it, over the whole corpus 0 to 3 times."""
-    names = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
-    return per_document(mix(docs)).select(*[F.col(f"row.`{c}`") for c in names], "size", "source_size", "target", "taken")
+    """Pipeline stage: every document with the words that the mix takes of it, over the whole corpus 0 to 3 times, and the number of shards
+    that hold some. A new column whose name the documents have already is called mix_ and that name."""
+    def named(c: str) -> str:
+        while c in docs.columns:
+            c = f"mix_{c}"
+        return c
+
+    new = ("size", "source_size", "target", "taken", "n_shards")
+    return per_document(mix(docs)).select(*[F.col(f"row.`{c}`") for c in docs.columns], *[F.col(c).alias(named(c)) for c in new])

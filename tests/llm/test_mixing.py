@@ -95,7 +95,39 @@ def test_shards_hold_the_texts(spark):
     assert max(counts.values()) == 1
 
 
-def test_stage(spark):
+def replayed(mixed, block):
+    """Words and shards by document, counted out of the shards' own rows."""
+    words, held = {}, {}
+    for r in m.shards(mixed, block).collect():
+        for p in r["parts"]:
+            words[p["doc_id"]] = words.get(p["doc_id"], 0) + p["words"]
+            held.setdefault(p["doc_id"], set()).add(r["shard"])
+    return words, held
+
+
+def test_taken_is_what_the_shards_hold(spark):
+    rows = list({r[0]: r for r in corpus.awkward() if r[0] is not None}.values())
+    mixed = m.mix(corpus.frame(spark, rows), block=8, shard_slots=64)
+    words, held = replayed(mixed, 8)
+    got = m.per_document(mixed, 8).select("row.doc_id", "taken", "n_shards").collect()
+    assert {r["doc_id"]: r["taken"] for r in got if r["taken"]} == words
+    assert {r["doc_id"]: r["n_shards"] for r in got if r["n_shards"]} == {d: len(x) for d, x in held.items()}
+    drawn = {(r["shard"], r["source_key"]): r["blocks"] for r in m.shard_counts(mixed).collect()}
+    assert sum(drawn.values()) == mixed.slots.count() and len({s for s, _ in drawn}) > 3
+
+
+def test_a_source_with_most_rows(spark):
+    rng = random.Random(9)
+    rows = [(i, corpus.prose(rng, rng.randint(5, 60)), "en", "hot" if i % 10 else f"s{i % 7}", 1) for i in range(600)]
+    check(spark, rows, block=8)
+    mixed = m.mix(corpus.frame(spark, rows), block=8, shard_slots=64)
+    words, _ = replayed(mixed, 8)
+    assert {r["doc_id"]: r["taken"] for r in m.per_document(mixed, 8).select("row.doc_id", "taken").collect() if r["taken"]} == words
+
+
+def test_stage_keeps_the_documents_own_columns(spark):
     df = corpus.frame(spark, corpus.awkward(), clash=True)
     out = m.mixing_stage(spark, df, None)
-    assert {"size", "source_size", "target", "taken"} <= set(out.columns) and out.count() == df.count()
+    assert out.columns == df.columns + ["mix_size", "source_size", "target", "taken", "n_shards"] and out.count() == df.count()
+    assert {r["size"] for r in out.collect()} == {corpus.CLASHES.index("size")}
+    assert all(r["mix_size"] == size(r["text"]) for r in out.collect())

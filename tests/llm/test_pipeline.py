@@ -17,7 +17,7 @@ def test_stages_and_run_agree(spark, tmp_path):
         counts.append(docs.count())
     assert counts[0] > counts[1] == counts[2] > counts[3] > counts[4]
     out = corpus_pipeline.run(spark, str(tmp_path))
-    assert out.columns == columns + ["size", "source_size", "target", "taken"]
+    assert out.columns == columns + ["size", "source_size", "target", "taken", "n_shards"]
     assert sorted(str(r["doc_id"]) for r in out.collect()) == sorted(str(r["doc_id"]) for r in docs.collect())
     assert 20 not in [r["doc_id"] for r in out.collect()]
 
