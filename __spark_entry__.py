@@ -21,10 +21,10 @@ import derived_topics  # noqa: E402
 import oracle  # noqa: E402
 from strata.functions import money, scalars  # noqa: E402
 from strata.operators import (  # noqa: E402
-    evaluate, events, explore, features, gold, models, silver, trees,
+    distinct, evaluate, events, explore, features, gold, models, silver, trees,
 )
 from strata.plans.propensity import propensity  # noqa: E402
-from strata.plans import dated  # noqa: E402
+from strata.plans import dated, visitors  # noqa: E402
 from strata.plans.incremental import extend_silver  # noqa: E402
 from strata.plans.refresh import refresh_gold  # noqa: E402
 from strata.plans.run import run_once  # noqa: E402
@@ -346,6 +346,28 @@ def bronze_compaction(spark, sf):
     )
 
 
+def distinct_by_bitmap(spark, sf):
+    """Exact distinct counts over all clean orders, in one aggregation of bitmaps over dictionary numbers."""
+    root = place(spark, "distinct")
+    tables.write_snapshot(orders(spark, sf, "user_id", "product_id"), root, "silver", "orders")
+    stored = tables.read_table(spark, root, "silver", "orders").select("user_id", "product_id", F.col("event_ts").cast("string").alias("instant"))
+    for column in stored.columns:
+        distinct.extend_dictionary(stored.select(column), root, column)
+    numbered = distinct.with_ids(stored, {c: c for c in stored.columns}, root)
+    measures = {"users": "user_id_id", "products": "product_id_id", "instants": "instant_id"}
+    return distinct.distinct_counts(distinct.bitmaps(numbered, [], measures), [], list(measures))
+
+
+def funnel_by_bitmap(spark, sf):
+    """The page funnel from stored bitmaps, to which two parts of the clicks were added one after the other."""
+    root = place(spark, "bitmaps")
+    tables.write_snapshot(clicks(spark, sf, "user_id", "session_id", "page", "converted"), root, "silver", "clicks")
+    stored = tables.read_table(spark, root, "silver", "clicks")
+    for part in (0, 1):
+        visitors.add_clicks(stored.where(F.crc32("click_id") % 2 == part), root)
+    return shown(visitors.funnel(spark, root))
+
+
 def two_versions(spark, sf):
     """silver.orders as of all completed, then of all refunded orders."""
     root = place(spark, "versions")
@@ -691,6 +713,8 @@ def queries() -> dict[str, Query]:
         "agg_count_distinct": lambda s, d: orders(s, d).agg(
             F.count_distinct("user_id").alias("users"), F.count_distinct("product_id").alias("products"),
             F.count_distinct("event_ts").alias("instants")),
+        "distinct_by_bitmap": distinct_by_bitmap,
+        "funnel_by_bitmap": funnel_by_bitmap,
         "agg_conditional": lambda s, d: orders(s, d).groupBy("category").agg(
             F.count(F.when(F.col("status") == "completed", 1)).alias("completed"),
             F.count(F.when(F.col("status") == "cancelled", 1)).alias("cancelled"),

@@ -379,6 +379,9 @@ def statements():
         "row_count": SO + " SELECT count(*) AS row_count FROM so",
         "agg_count_distinct": SO + """ SELECT count(DISTINCT user_id) AS users, count(DISTINCT product_id) AS products,
             count(DISTINCT event_ts) AS instants FROM so""",
+        "distinct_by_bitmap": SO + """ SELECT count(DISTINCT user_id) AS users, count(DISTINCT product_id) AS products,
+            count(DISTINCT event_ts) AS instants FROM so""",
+        "funnel_by_bitmap": pages,
         "agg_conditional": f"""{SO} SELECT category, count(CASE WHEN status = 'completed' THEN 1 END) AS completed,
             count(CASE WHEN status = 'cancelled' THEN 1 END) AS cancelled, {total(SPENT)} AS spend, {mean(SPENT)} AS mean_spend
             FROM so GROUP BY category""",

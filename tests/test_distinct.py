@@ -1,0 +1,69 @@
+import os
+import random
+
+from helpers import plan_of, silver_clicks
+from pyspark.sql import functions as F
+from strata.operators import distinct, gold
+from strata.plans import visitors
+
+
+def texts(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "v string")
+
+
+def numbers(spark, root, name="d"):
+    return {r.value: r.id for r in distinct.read_dictionary(spark, root, name).collect()}
+
+
+def test_numbers_are_dense_and_never_change(spark, root):
+    assert distinct.extend_dictionary(texts(spark, ["b", "a", None, "b", ""]).repartition(5), root, "d") == 3
+    first = numbers(spark, root)
+    assert sorted(first.values()) == [0, 1, 2] and set(first) == {"a", "b", ""}
+    assert distinct.extend_dictionary(texts(spark, [f"x{i}" for i in range(500)] + ["a"]).repartition(7), root, "d") == 503
+    second = numbers(spark, root)
+    assert sorted(second.values()) == list(range(503)) and first.items() <= second.items()
+    assert distinct.extend_dictionary(texts(spark, ["a", None]), root, "d") == 503
+    assert distinct.extend_dictionary(texts(spark, []), root, "none") == 0
+
+
+def test_an_extension_that_died_counts_for_nothing(spark, root):
+    distinct.extend_dictionary(texts(spark, ["a"]), root, "d")
+    distinct.extend_dictionary(texts(spark, ["b"]), root, "d")
+    os.remove(f"{root}/dictionary/d/from=1/_SUCCESS")
+    assert numbers(spark, root) == {"a": 0}
+    distinct.extend_dictionary(texts(spark, ["c", "b"]), root, "d")
+    assert sorted(numbers(spark, root).values()) == [0, 1, 2]
+
+
+def test_counts_over_many_buckets_and_merges(spark):
+    ids = spark.range(100_000).select((F.col("id") % 7).alias("k"), (F.col("id") % 70_001).alias("a"), F.when(F.col("id") % 2 == 0, F.col("id") % 33_000).alias("b"))
+    expected = {tuple(r) for r in ids.groupBy("k").agg(F.count_distinct("a"), F.count_distinct("b")).collect()}
+    whole = distinct.bitmaps(ids, ["k"], {"x": "a", "y": "b"})
+    assert {tuple(r) for r in distinct.distinct_counts(whole, ["k"], ["x", "y"]).collect()} == expected
+    parts = [distinct.bitmaps(ids.where(F.pmod(F.hash("a"), F.lit(3)) == i), ["k"], {"x": "a", "y": "b"}) for i in range(3)]
+    merged = distinct.merged(parts[0].unionByName(parts[1]).unionByName(parts[2]), ["k"])
+    assert {tuple(r) for r in distinct.distinct_counts(merged, ["k"], ["x", "y"]).collect()} == expected
+    plan = plan_of(distinct.distinct_counts(merged, ["k"], ["x", "y"]))
+    assert "Expand" not in plan
+
+
+def some_clicks(rng, first, n):
+    return [
+        (f"c{first + i}", rng.choice(["u1", "u2", "u3", None]), f"s{rng.randrange(40)}", rng.choice(["home", "cart", None]), rng.choice([True, False, None]))
+        for i in range(n)
+    ]
+
+
+def rows(df):
+    return sorted(map(repr, df.drop("updated_at").collect()))
+
+
+def test_funnel_from_stored_bitmaps(spark, root):
+    rng, every = random.Random(2), []
+    for n in (40, 1, 30):
+        part = some_clicks(rng, len(every), n)
+        every += part
+        visitors.add_clicks(silver_clicks(spark, part), root)
+    got, expected = visitors.funnel(spark, root), gold.funnel(silver_clicks(spark, every))
+    assert got.dtypes == expected.dtypes and rows(got) == rows(expected)
+    assert "Expand" not in plan_of(got) and "Expand" in plan_of(expected)
