@@ -1,8 +1,8 @@
 """Line dedup by a deletion-neighbourhood join: the earliest of near-equal lines stays.
 
 Lines are sequences of words (white space aside) and are ordered by doc_id (null last), hash of the text and place. A
-line of MIN_WORDS words or more goes if an earlier line is equal, or, from EDIT_WORDS words on, within one edit: one word put
-in, left out or changed. Shorter and blank lines stay.
+line with a word goes if an earlier line is equal, or, from EDIT_WORDS words on, within one edit: one word put
+in, left out or changed. Blank lines stay.
 
 Every line emits its variants, itself and all results of leaving out one word, as hashed keys. Lines of one length that agree
 when the word at one place is left out are one edit apart, and so are a line and a line that equals it with one word left out. So
@@ -15,7 +15,7 @@ these lines, and variants that more than one line has, are found again through b
 is a hash and a number for each variant once. Links are one for each member of a group, whatever its size; hot
 lines are large sides of joins, which Spark splits.
 
-Cases: null texts stay null; empty texts and texts without a long enough line stay as they are; a text
+Cases: null texts stay null; empty and wordless texts stay as they are; a text
 whose lines all go becomes empty; repeated rows (same doc_id and text) are one document and stay or lose lines alike; an
 empty table gives an empty result.
 """
@@ -29,8 +29,8 @@ from xxhash import xxh3_128_digest, xxh64_digest, xxh64_intdigest
 from strata.llm.shared import packed, store, table, whole_text
 from strata.llm.shingles import bit_set, in_set, small_batches
 
-MIN_WORDS = 5
-EDIT_WORDS = 10
+#: In shorter lines one word is more than a fifth: they must be equal.
+EDIT_WORDS = 5
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -101,7 +101,7 @@ def lines_of(rows: DataFrame) -> DataFrame:
 
     def of(frames):
         for frame in frames:
-            lines = [[(i, w) for i, w in enumerate(line_words(t)) if len(w) >= MIN_WORDS] for t in frame["text"]]
+            lines = [[(i, w) for i, w in enumerate(line_words(t)) if w] for t in frame["text"]]
             every = [w for x in lines for _, w in x]
             if every:
                 out = placed(frame, lines)

@@ -22,10 +22,10 @@ def brute(rows, order):
         kept, removed = [], 0
         for line in (doc[1] or "").split("\n"):
             words = line.split()
-            near = len(words) >= 5 and any(
-                w == words or min(len(w), len(words)) >= 10 and abs(len(w) - len(words)) <= 1 and distance(w, words) <= 1 for w in seen
+            near = bool(words) and any(
+                w == words or min(len(w), len(words)) >= 5 and abs(len(w) - len(words)) <= 1 and distance(w, words) <= 1 for w in seen
             )
-            if len(words) >= 5:
+            if words:
                 seen.append(words)
             if near:
                 removed += 1
@@ -42,7 +42,7 @@ def lines_rows(seed=2):
         lines = []
         for _ in range(rng.randint(1, 6)):
             kind = rng.randrange(8)
-            words = corpus.prose(rng, rng.choice([3, 6, 9, 10, 11, 16, 25])).split()
+            words = corpus.prose(rng, rng.choice([1, 3, 4, 5, 6, 9, 10, 11, 16, 25])).split()
             if pool and kind < 4:
                 words = list(rng.choice(pool))
                 for _ in range(kind):  # up to three edits
