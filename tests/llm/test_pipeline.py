@@ -1,6 +1,14 @@
+import random
+
 import corpus
 import corpus_pipeline
 import pytest
+import test_decontamination
+import test_line_dedup
+import test_mixing
+import test_quality_rules
+import test_simhash
+from strata.llm import quality_rules
 from strata.llm.shared import table
 
 
@@ -32,3 +40,63 @@ def test_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
     with pytest.raises(Exception):
         corpus_pipeline.run(spark, str(tmp_path / "nowhere"))
+
+
+def plain_run(rows, items, passes):
+    """The stages in plain Python over rows of distinct ids; `passes` are the ids that the quality rules keep."""
+    docs = [r for r in sorted(rows) if r[0] in passes]
+    left = test_line_dedup.brute(docs, docs)
+    docs = [(r[0], left[r[0]][0], *r[2:4], len(left[r[0]][0]) if left[r[0]][1] else r[4]) for r in docs]
+    classes = test_simhash.brute_components([(r[0], test_simhash.brute_fingerprint(r[1])) for r in docs])
+    docs = [r for r, least in zip(docs, classes) if r[0] == least]
+    dirty = {x[0] for x in test_decontamination.brute(docs, items)}
+    docs = [r for r in docs if str(r[0]) not in dirty]
+    sizes = {}
+    for r in docs:
+        sizes[r[3]] = sizes.get(r[3], 0) + test_mixing.size(r[1])
+    targets = test_mixing.brute_targets(sizes)
+    return {r[0]: (*r[1:], test_mixing.size(r[1]), sizes[r[3]], targets[r[3]]) for r in docs}
+
+
+def fixture():
+    rng = random.Random(12)
+    rows = {r[0]: r for r in corpus.awkward(5, 300) if r[0] is not None and r[1] is not None}
+    passage = corpus.prose(rng, 60)
+    for i in range(40):
+        text = corpus.text_of(rng, rng.randint(1, 5))
+        if i % 4 == 1:
+            text += "\n" + passage  # a line that many documents share
+        elif i % 4 == 2:
+            text = rows[i][1] if i in rows else text  # an exact copy
+        elif i % 4 == 3:
+            text += " " + corpus.prose(random.Random(99), 30)  # the benchmark item
+        rows[5000 + i] = (5000 + i, text, rng.choice(["en", "de"]), rng.choice(["a", "b", "c", None]), len(text))
+    items = [(1, corpus.prose(random.Random(99), 30)), (2, None), (3, "absent words")]
+    return list(rows.values()), items
+
+
+def test_run_equals_plain_python(spark, tmp_path):
+    rows, items = fixture()
+    corpus.frame(spark, rows).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    passes = {r["doc_id"] for r in quality_rules.op10_quality_rules(spark, str(tmp_path)).where("kept").collect()}
+    failed = {r[0] for r in rows if test_quality_rules.base(r[1])[-1]}
+    assert not passes & failed and len(passes) > 0.7 * (len(rows) - len(failed))
+    want = plain_run(rows, items, passes)
+    got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert got.keys() == want.keys() and 20 < len(want) < len(passes)
+    taken, targets = {}, {}
+    for doc_id, r in got.items():
+        text, lang, source, n_chars, size, source_size, target = want[doc_id]
+        assert (r["text"], r["lang"], r["source"], r["n_chars"], r["size"], r["source_size"]) == (text, lang, source, n_chars, size, source_size)
+        assert abs(r["target"] - target) < 1e-6 and 0 <= r["taken"] <= 3 * size
+        taken[source], targets[source] = taken.get(source, 0) + r["taken"], target
+    assert all(abs(taken[s] - targets[s]) <= 2 * 64 for s in taken)
+
+
+def test_columns_that_stages_use_themselves_pass_through(spark, tmp_path):
+    corpus.frame(spark, corpus.awkward(6, 60), clash=True).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "x y z")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == table(spark, str(tmp_path), "documents").columns + ["mix_size", "source_size", "target", "taken", "n_shards"]
+    assert all({r[c] for r in out.select(c).collect()} == {i} for i, c in enumerate(corpus.CLASHES))
