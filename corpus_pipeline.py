@@ -2,7 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is stored as Parquet in the shared folder and read again
 as the next one's documents. All but the last return the columns of documents; the last adds the size, the
-targets and the words that the mix takes of each document.
+targets, the words that the mix takes of each document and the number of output shards that hold some.
+
+Cases: null and wordless texts have too few words and go with the quality rules; long texts are read whole; rows that repeat are alike in
+every stage, and of equal ones the near-duplicate stage keeps one; other columns pass through, also under names that the stages use
+themselves (a new column of the last stage is then called mix_ and its name); empty tables give an empty result.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +26,7 @@ STAGES = [
     ("mixing", mixing_stage),
 ]
 
-#: The robust estimates, edit distances and keyed draws of the stages have no SQL form; tests compare with brute force.
+#: The robust estimates, edit distances and keyed draws of the stages have no SQL form; a test compares run() with plain Python.
 ORACLE_SQL = None
 
 
