@@ -30,6 +30,7 @@ from strata.plans.refresh import refresh_gold  # noqa: E402
 from strata.plans.run import run_once  # noqa: E402
 from strata.schemas import CLICK_PAYLOAD, FEATURES, LABEL, ORDER_PAYLOAD  # noqa: E402
 from strata.sources import layout, tables  # noqa: E402
+from strata.sources.files import matching  # noqa: E402
 from strata.sources.scratch import scratch_root  # noqa: E402
 from strata.streaming import ingest  # noqa: E402
 from strata.streaming.reports import reports  # noqa: E402
@@ -476,8 +477,8 @@ _modelled = {}
 
 
 def modelled(spark, sf):
-    """All three models and the results of the best one, fitted once for a session and folder."""
-    key = (spark.sparkContext.applicationId, sf)
+    """All three models and the results of the best one, fitted once for a session and the files of the tables."""
+    key = (spark.sparkContext.applicationId, sf, tuple(matching(spark, f"{sf}/*.parquet")))
     if key not in _modelled:
         _modelled[key] = propensity(stored_users(spark, sf)[1], place(spark, "models"), THRESHOLD)
     return _modelled[key]
