@@ -38,18 +38,6 @@ def matching(spark: SparkSession, pattern: str) -> list[tuple[str, datetime]]:
     return [(s.path, s.at) for s in found(spark, pattern)]
 
 
-def data_files(spark: SparkSession, folder: str) -> list[Stored]:
-    """The Parquet files under a folder, at any depth, without those of writers that have not committed."""
-    hadoop, store = _path(spark, folder)
-    if not store.exists(hadoop):
-        return []
-    files, listing = [], store.listFiles(hadoop, True)
-    while listing.hasNext():
-        files.append(_stored(listing.next()))
-    inner = lambda f: f.path.split(folder.rstrip("/").rsplit("/", 1)[-1] + "/", 1)[-1]
-    return [f for f in files if f.name.endswith(".parquet") and not any(p[0] in "_." for p in inner(f).split("/"))]
-
-
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file as text."""
     hadoop, store = _path(spark, path)

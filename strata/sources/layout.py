@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.schemas import ENVELOPE
 from strata.sources import tables
-from strata.sources.files import data_files, matching, remove
+from strata.sources.files import matching, remove
 from strata.sources.sink_log import read_log
 from strata.sources.tables import Written
 
@@ -36,7 +36,7 @@ def write_dated(rows: DataFrame, root: str, layer: str, name: str, time: str = "
     number = 0 if before is None else before + 1
     path = tables.refresh_path(root, layer, name, number)
     _by_date(dated(rows, time, unit)).mode("overwrite").parquet(path)
-    return tables.counted(spark, layer, name, number, data_files(spark, path))
+    return tables.counted(spark, layer, name, number, path)
 
 
 def replace_dates(rows: DataFrame, root: str, layer: str, name: str, time: str = "event_ts", unit: str = "day") -> Written:
@@ -49,9 +49,9 @@ def replace_dates(rows: DataFrame, root: str, layer: str, name: str, time: str =
     if number is None:
         return write_dated(rows, root, layer, name, time, unit)
     path = tables.refresh_path(root, layer, name, number)
-    before = {f.path for f in data_files(spark, path)}
+    before = tables.files_in(spark, path)
     _by_date(dated(rows, time, unit)).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    return tables.counted(spark, layer, name, number, [f for f in data_files(spark, path) if f.path not in before])
+    return tables.counted(spark, layer, name, number, *sorted(tables.files_in(spark, path) - before))
 
 
 def between(rows: DataFrame, first=None, last=None, time: str = "event_ts", unit: str = "day") -> DataFrame:

@@ -8,18 +8,15 @@ for each; their versions are the numbers of the batches. One writer per table.
 Where a table format with transactions is at hand, its own versions and history serve better.
 """
 
-import re
-from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.schemas import ENVELOPE, LAYERS
-from strata.sources.files import Stored, data_files, matching
+from strata.sources.files import matching
 from strata.sources.sink_log import FOLDER, read_log
 
 HISTORY = """
@@ -27,7 +24,7 @@ HISTORY = """
     operation_metrics map<string,string>, row_count bigint
 """
 # Part of the name that Spark gives to all files of one write.
-WRITE_ID = re.compile(r"part-\d+-([0-9a-f-]{36})")
+WRITE_ID = r"part-\d+-([0-9a-f-]{36})[^/]*$"
 
 
 @dataclass(frozen=True)
@@ -135,28 +132,29 @@ def try_read_table(spark: SparkSession, root: str, layer: str, name: str, versio
         raise
 
 
-def _plain(path: str) -> str:
-    """A path as it is written everywhere: without scheme and encoding."""
-    return unquote(path).split(":", 1)[-1].lstrip("/")
+def file_table(spark: SparkSession, *paths: str) -> DataFrame:
+    """path, size, at and rows of the Parquet files in folders, or of files: listed and counted in tasks, from footers alone."""
+    read = spark.read.schema("_none boolean").parquet(*paths)
+    meta = {"path": "file_path", "size": "file_size", "at": "file_modification_time"}
+    return read.groupBy(*[F.col(f"_metadata.{m}").alias(c) for c, m in meta.items()]).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def file_rows(spark: SparkSession, paths: Sequence[str]) -> dict[str, int]:
-    """Rows of Parquet files by path, from their footers."""
-    if not paths:
-        return {}
-    counts = spark.read.parquet(*paths).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("rows"))
-    return {_plain(row["file_path"]): row["rows"] for row in counts.collect()}
+def _sums() -> list:
+    none = F.lit(0).cast("bigint")
+    return [
+        F.count(F.lit(1)).alias("numFiles"), F.coalesce(F.sum("rows"), none).alias("numOutputRows"), F.coalesce(F.sum("size"), none).alias("numOutputBytes"),
+    ]
 
 
-def _sizes(files: Sequence[Stored], rows: dict[str, int]) -> dict[str, int]:
-    n = sum(rows.get(_plain(f.path), 0) for f in files)
-    return {"numFiles": len(files), "numOutputRows": n, "numOutputBytes": sum(f.size for f in files)}
+def counted(spark: SparkSession, layer: str, name: str, number: int, *paths: str) -> Written:
+    """What a write did, from the folder or the files it left and their footers."""
+    sizes = file_table(spark, *paths).agg(*_sums()).first().asDict() if paths else {"numFiles": 0, "numOutputRows": 0, "numOutputBytes": 0}
+    return Written(layer, name, number, sizes["numOutputRows"], sizes)
 
 
-def counted(spark: SparkSession, layer: str, name: str, number: int, files: Sequence[Stored]) -> Written:
-    """What a write did, from the files it left and their footers."""
-    sizes = _sizes(files, file_rows(spark, [f.path for f in files]))
-    return Written(layer, name, number, sizes["numOutputRows"], sizes)
+def files_in(spark: SparkSession, path: str) -> set[str]:
+    """The data files of a folder, as Spark lists them."""
+    return set(spark.read.schema("_none boolean").parquet(path).inputFiles())
 
 
 def write_snapshot(df: DataFrame, root: str, layer: str, name: str) -> Written:
@@ -169,7 +167,7 @@ def write_snapshot(df: DataFrame, root: str, layer: str, name: str) -> Written:
     number = 0 if before is None else before + 1
     path = refresh_path(root, layer, name, number)
     df.write.mode("overwrite").parquet(path)
-    return counted(spark, layer, name, number, data_files(spark, path))
+    return counted(spark, layer, name, number, path)
 
 
 def append_rows(df: DataFrame, root: str, layer: str, name: str) -> Written:
@@ -181,35 +179,30 @@ def append_rows(df: DataFrame, root: str, layer: str, name: str) -> Written:
     if is_streamed(spark, root, layer, name, number):
         raise ValueError(f"{layer}.{name} is filled by a stream")
     path = refresh_path(root, layer, name, number)
-    before = {f.path for f in data_files(spark, path)}
+    before = files_in(spark, path)
     df.write.mode("append").parquet(path)
-    return counted(spark, layer, name, number, [f for f in data_files(spark, path) if f.path not in before])
+    return counted(spark, layer, name, number, *sorted(files_in(spark, path) - before))
 
 
 def _stream_commits(spark: SparkSession, folder: str, n: int) -> list[tuple]:
     """The last n batches of a stream's folder: batch, time, sizes of what it added."""
-    log = read_log(spark, folder)
-    out = []
+    log, out = read_log(spark, folder), []
     for number, at in sorted(log.batches().items(), reverse=True)[:n]:
         try:
-            files = [Stored(path, at, size) for path, size in log.added(number).items()]
+            files = log.added(number)
         except ValueError:  # the batch before a compact file is gone
             continue
-        out.append((number, at, files))
-    rows = file_rows(spark, [f.path for _, _, files in out for f in files])
-    return [(number, at, _sizes(files, rows)) for number, at, files in out]
+        out.append((number, at, counted(spark, "", "", number, *files).metrics))
+    return out
 
 
 def _refresh_commits(spark: SparkSession, path: str, at: datetime) -> list[tuple]:
     """The writes of one refresh, in order: time, sizes. The files of a write share a part of their names."""
-    writes: dict[str, list[Stored]] = {}
-    for file in data_files(spark, path):
-        mark = WRITE_ID.match(file.name)
-        writes.setdefault(mark[1] if mark else "", []).append(file)
-    if not writes:
-        return [(at, _sizes([], {}))]
-    rows = file_rows(spark, [f.path for files in writes.values() for f in files])
-    return sorted(((max(f.at for f in files), _sizes(files, rows)) for files in writes.values()), key=lambda w: w[0])
+    write = F.regexp_extract("path", WRITE_ID, 1)
+    writes = file_table(spark, path).groupBy(write.alias("write")).agg(F.max("at").alias("written"), *_sums()).orderBy("written").collect()
+    return [(w["written"], {k: w[k] for k in ("numFiles", "numOutputRows", "numOutputBytes")}) for w in writes] or [
+        (at, {"numFiles": 0, "numOutputRows": 0, "numOutputBytes": 0})
+    ]
 
 
 def history(spark: SparkSession, root: str, layer: str, name: str, n: int = 10) -> DataFrame:
