@@ -3,13 +3,15 @@
 A page is read into blocks of text; what stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
 reader comments by its tags, roles, classes and ids is left out, and blocks within <article> or <main> are marked as such. The
 words of a host's pages are then concatenated and their suffixes sorted; runs of MIN_RUN words or more that stand in
-MIN_PAGES distinct pages or more are repeated. Where a page marks its article, that is the main text, with its repeated runs, since
-quotations and copies belong to an article. Elsewhere the words in repeated runs go, and the other words of each block stay.
+MIN_PAGES distinct pages or more are repeated. Where a page marks its article, that is the main text but for the words in boilerplate:
+runs that the host puts beside the marked articles of MIN_PAGES distinct pages or more, and into those of MIN_ARTICLES or more. Other
+repeated runs stay in it, since quotations and copies belong to an article, and a text that is only its own belongs to it however many pages
+announce it. On pages that mark none, the words in repeated runs go. Of each block the other words stay.
 
 At scale: pages are parsed where they are read. A host's pages are dealt into shards of bounded size by a hash of their words, so
 that a host may hold any share of all pages, and each shard has its own suffix array. It gives the distinct pages of each run of
-MIN_RUN words; these are summed over all shards of the host, so the size of the shards decides nothing. Only runs that a page
-without a marked article has are summed (a bit set of fixed size holds them); they are found again in those pages by a join.
+MIN_RUN words; these are summed over all shards of the host, so the size of the shards decides nothing. Only runs that stand outside
+marked articles are summed (a bit set of fixed size holds them); they are found again in the pages by a join.
 
 Cases: null and empty html, and pages without text, have the text ''; a null url is a host of its own; pages of equal blocks count as
 one page when repeats are sought; repeated rows are pages of their own in the result; markup may be cut off anywhere: an
@@ -30,6 +32,7 @@ from strata.llm.shingles import bit_set, in_set, small_batches, spans
 
 MIN_RUN = 8  # a power of two
 MIN_PAGES = 3
+MIN_ARTICLES = 2
 SHARD_CHARS = 1_000_000
 
 MARKUP = re.compile(
@@ -165,7 +168,7 @@ def blocks(page: str | None) -> list[tuple[bool, str]]:
 
 
 def suffixes(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    """For each word of the pages and an end mark after each page: the rank of its suffix, and how many distinct pages have that rank.
+    """For each word of the pages and an end mark after each page: the rank of its suffix, and the first page of the same words as its page.
 
     The suffixes of the concatenated pages are sorted by their first MIN_RUN words, by doubling: ranks of one word,
     then of two, four, eight. Equal ranks are neighbours in the suffix array with that much in common.
@@ -181,11 +184,15 @@ def suffixes(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         after = np.concatenate((rank[width:], np.full(width, -1)))[: len(rank)]
         rank = np.unique(rank * (after.max() + 2) + after + 1, return_inverse=True)[1].astype(np.int64)
         width *= 2
-    # Distinct pages by rank; pages with the same words are one page.
     same: dict = {}
     first = np.array([same.setdefault(tuple(p), i) for i, p in enumerate(pages)])
-    places = np.unique(rank * len(pages) + first[page])
-    return rank, np.bincount(places // len(pages), minlength=rank.max() + 1)[rank]
+    return rank, first[page]
+
+
+def distinct_pages(rank: np.ndarray, page: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each rank, in how many distinct pages it stands at the places `at`; pages with the same words are one."""
+    width = int(page.max(initial=0)) + 1
+    return np.bincount(np.unique(rank[at] * width + page[at]) // width, minlength=rank.max() + 1)
 
 
 def marked_words(begins: np.ndarray, length: int) -> np.ndarray:
@@ -201,24 +208,44 @@ def repeated(pages: list[list[str]]) -> list[np.ndarray]:
     lengths = np.array([len(p) for p in pages])
     if not lengths.sum():
         return [np.zeros(n, bool) for n in lengths]
-    rank, in_pages = suffixes(pages)
-    covered = marked_words(np.flatnonzero(in_pages >= MIN_PAGES), len(rank))
+    rank, page = suffixes(pages)
+    covered = marked_words(np.flatnonzero(distinct_pages(rank, page, np.arange(len(rank)))[rank] >= MIN_PAGES), len(rank))
     starts = np.concatenate(([0], np.cumsum(lengths + 1)))
     return [covered[starts[i] : starts[i] + n] for i, n in enumerate(lengths)]
 
 
-def run_counts(pages: list[list[str]], bits: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each distinct run of MIN_RUN words, and how many distinct pages have it; of the runs in the bit set, if one is given."""
+NO_RUNS = pd.DataFrame({c: np.empty(0, np.int64) for c in ("key", "n", "beside", "within")})
+
+
+def run_counts(pages: list[list[str]], blocks_of: list[list[int]], bits: np.ndarray | None) -> pd.DataFrame:
+    """key (the hash) of each distinct run of MIN_RUN words, and how many distinct pages have it: anywhere (n), beside a marked article
+    (beside), and in one (within); of the runs in the bit set, if one is given.
+
+    `blocks_of` has the number of words of each block of a page, below 0 for a block of a marked article.
+    """
     left = np.array([i for p in pages for i in range(len(p), -1, -1)])
     full = np.flatnonzero(left >= MIN_RUN)
     if not len(full):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    rank, in_pages = suffixes(pages)
-    full = full[np.unique(rank[full], return_index=True)[1]]
+        return NO_RUNS
+    rank, page = suffixes(pages)
+    runs = full[np.unique(rank[full], return_index=True)[1]]
     flat = [w for p in pages for w in (*p, None)]
-    keys = np.array([xxh64_intdigest(" ".join(flat[i : i + MIN_RUN]), MIN_RUN) for i in full.tolist()], np.uint64)
-    keep = slice(None) if bits is None else in_set(keys, bits)
-    return keys[keep].view(np.int64), in_pages[full][keep]
+    keys = np.array([xxh64_intdigest(" ".join(flat[i : i + MIN_RUN]), MIN_RUN) for i in runs.tolist()], np.uint64)
+    if bits is not None:
+        keep = in_set(keys, bits)
+        runs, keys = runs[keep], keys[keep]
+    if not len(runs):
+        return NO_RUNS
+    wanted = np.zeros(rank.max() + 1, bool)
+    wanted[rank[runs]] = True
+    at = full[wanted[rank[full]]]  # all places of the runs
+    # The words up to each place that stand in an article; a run is within one if all its words are, beside one if none is.
+    article = [np.append(np.repeat(np.array(b, int) < 0, np.abs(np.array(b, int))), False) for b in blocks_of]
+    marks = np.concatenate([np.full(len(a), a.any()) for a in article])
+    upto = np.concatenate(([0], np.cumsum(np.concatenate(article))))
+    own = upto[at + MIN_RUN] - upto[at]
+    places = {"n": at, "beside": at[(own == 0) & marks[at]], "within": at[own == MIN_RUN]}
+    return pd.DataFrame({"key": keys.view(np.int64)} | {c: distinct_pages(rank, page, x)[rank[runs]] for c, x in places.items()})
 
 
 def run_keys(words: list[str]) -> np.ndarray:
@@ -279,7 +306,7 @@ def runs_of(pages: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
 
 
 def shared_runs(rows: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
-    """host and key of the runs that stand in MIN_PAGES distinct pages of the host or more.
+    """host and key of the runs that stand in MIN_PAGES distinct pages of the host or more, and whether they are boilerplate in marked articles.
 
     Large hosts are dealt into shards. Their table has a row for each of them only, so the pages themselves move once. Pages of
     the same words are in the same shard, so distinct pages can be summed; a task passes such a page on once.
@@ -289,29 +316,31 @@ def shared_runs(rows: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
     dealt = rows.join(large, "host", "left").withColumn("shards", F.coalesce("shards", F.lit(1).cast("bigint")))
     streams = parsed(dealt.select("page_id", "url", "host", "html", "shards"))
     joined = F.array_join("texts", " ")
-    streams = streams.select("host", F.pmod(F.xxhash64(joined), "shards").alias("shard"), joined.alias("text"))
+    sizes = F.transform("texts", lambda x, i: F.size(F.split(x, " ")) * F.when(F.get("main", i), -1).otherwise(1))
+    streams = streams.select("host", F.pmod(F.xxhash64(joined), "shards").alias("shard"), joined.alias("text"), sizes.alias("blocks"))
 
     def once(frames):
         seen = set()
         for frame in frames:
             new = []
-            for page in zip(frame["host"], map(xxh64_intdigest, frame["text"])):
+            for page in zip(frame["host"], map(xxh64_intdigest, frame["text"]), map(bytes, frame["blocks"])):
                 new.append(page not in seen)
                 seen.add(page)
             yield frame[new]
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
-        keys, n = run_counts([t.split() for t in frame["text"]], bits)
-        return pd.DataFrame({"host": frame["host"].iloc[0], "key": keys, "n": n})
+        return run_counts([t.split() for t in frame["text"]], frame["blocks"].tolist(), bits).assign(host=frame["host"].iloc[0])
 
-    streams = streams.mapInPandas(once, "host string, shard bigint, text string").repartition("host", "shard")
-    counts = streams.groupBy("host", "shard").applyInPandas(count, "host string, key bigint, n bigint")
-    return store(counts.groupBy("host", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_PAGES).select("host", "key"), "page-shared")
+    streams = streams.mapInPandas(once, "host string, shard bigint, text string, blocks array<int>").repartition("host", "shard")
+    counts = streams.groupBy("host", "shard").applyInPandas(count, "host string, key bigint, n bigint, beside bigint, within bigint")
+    sums = counts.groupBy("host", "key").agg(*[F.sum(c).alias(c) for c in ("n", "beside", "within")])
+    boilerplate = (F.col("beside") >= MIN_PAGES) & (F.col("within") >= MIN_ARTICLES)
+    return store(sums.where(F.col("n") >= MIN_PAGES).select("host", "key", boilerplate.alias("boilerplate")), "page-shared")
 
 
 def marked_runs(pages: DataFrame, shared: DataFrame) -> DataFrame:
     """The columns of `pages` (uid, host, texts, ...) `covered`, for each block the share of its words in shared runs, and `kept`, its other words."""
-    found = runs_of(pages, bit_set(F.col("key"), shared)).join(shared, ["host", "key"])
+    found = runs_of(pages, bit_set(F.col("key"), shared)).join(shared.select("host", "key"), ["host", "key"])
     found = found.groupBy("uid").agg(F.collect_list("place").alias("places"))
 
     @F.pandas_udf("struct<covered: array<double>, kept: array<string>>")
@@ -343,13 +372,32 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """
     rows = keyed(pages)
     marked = F.exists("main", lambda m: m)
-    within = parsed(rows).where(marked).select(
-        "page_id", "url", F.array_join(F.filter("texts", lambda t, i: F.get("main", i)), "\n").alias("text"), F.lit(True).alias("marked")
-    )
-    others = store(parsed(rows).where(~marked).drop("main").withColumn("uid", F.monotonically_increasing_id()), "page-others")
-    others = marked_runs(others, shared_runs(rows, bit_set(F.col("key"), runs_of(others))))
-    unique = others.select("page_id", "url", F.array_join(F.filter("kept", lambda t: t != ""), "\n").alias("text"))
-    return within.unionAll(unique.select("page_id", "url", "text", F.lit(False).alias("marked")))
+    # The blocks outside marked articles: all of a page that marks none.
+    beside = F.filter("texts", lambda t, i: ~F.get("main", i))
+    outside = parsed(rows).select("page_id", "url", "host", beside.alias("texts"), marked.alias("marked")).where(~F.col("marked") | (F.size("texts") > 0))
+    outside = store(outside.withColumn("uid", F.monotonically_increasing_id()), "page-outside")
+    shared = shared_runs(rows, bit_set(F.col("key"), runs_of(outside)))
+
+    def unique(some: DataFrame, runs: DataFrame, is_marked: bool) -> DataFrame:
+        kept = F.array_join(F.filter("kept", lambda t: t != ""), "\n")
+        return marked_runs(some, runs).select("page_id", "url", kept.alias("text"), F.lit(is_marked).alias("marked"))
+
+    others = unique(outside.where(~F.col("marked")).drop("marked"), shared, False)
+    articles = parsed(rows).where(marked).select("page_id", "url", "host", F.filter("texts", lambda t, i: F.get("main", i)).alias("texts"))
+    whole = F.array_join("texts", "\n")
+    boilerplate = shared.where("boilerplate")
+    bits = bit_set(F.col("key"), boilerplate)
+    if not bits.any():
+        return articles.select("page_id", "url", whole.alias("text"), F.lit(True).alias("marked")).unionAll(others)
+
+    @F.pandas_udf("boolean")
+    def has_run(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(in_set(run_keys(page_words(t)), bits).any()) for t in texts], dtype=bool)
+
+    # Only the articles that may have boilerplate are stored and joined.
+    clean = articles.where(~has_run("texts")).select("page_id", "url", whole.alias("text"), F.lit(True).alias("marked"))
+    hit = store(articles.where(has_run("texts")).withColumn("uid", F.monotonically_increasing_id()), "page-articles")
+    return clean.unionAll(unique(hit, boilerplate, True)).unionAll(others)
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,6 +127,23 @@ def test_unmarked_pages_lose_exactly_the_repeated_words(spark):
     assert got == want | {5: "alone", 6: passage}
 
 
+def test_boilerplate_beside_articles_goes_from_articles_too(spark, monkeypatch):
+    rng = random.Random(8)
+    line, lead, quote = corpus.prose(rng, 12), corpus.prose(rng, 20), corpus.prose(rng, 15)
+    bodies = [corpus.prose(rng, 30) for _ in range(12)]
+    page = lambda i, inner, beside: (i, "http://x/", f"<body><article><p>{bodies[i]}</p>{inner}</article><div>{beside}</div></body>")
+    # The line stands beside four articles and in three; the lead of one article is announced beside four others; a quotation is in articles only.
+    rows = [page(i, f"<p>{quote}</p>", f"<p>{line}</p>") for i in range(4)]
+    rows += [page(i, f"<p>{line} own{i}</p>", "") for i in range(4, 7)]
+    rows += [page(7, f"<p>{lead}</p>", "")] + [page(i, "", f"<p>{lead}</p>") for i in range(8, 12)]
+    rows += [(20, "http://y/", f"<article><p>{line}</p></article>")]
+    want = {i: f"{bodies[i]}\n{quote}" for i in range(4)} | {i: f"{bodies[i]}\nown{i}" for i in range(4, 7)}
+    want |= {7: f"{bodies[7]}\n{lead}"} | {i: bodies[i] for i in range(8, 12)} | {20: line}
+    for size in (h.SHARD_CHARS, 300):
+        monkeypatch.setattr(h, "SHARD_CHARS", size)
+        assert {r["page_id"]: r["text"] for r in h.main_texts(spark.createDataFrame(rows, PAGES)).collect()} == want
+
+
 def test_hostile_markup_takes_time_in_proportion():
     import time
 
