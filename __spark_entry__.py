@@ -328,9 +328,14 @@ def latest_days_pruned(spark, sf):
 def late_dates(spark, sf):
     """Stored daily revenue: of all dates first, then, after late orders, of their dates alone."""
     root = place(spark, "late")
-    first, late = [silver.silver_orders(bronze_orders(spark, sf).where((F.col("partition") == 2) == F.lit(x))) for x in (False, True)]
-    for new, build in ((first, dated.write_dated_orders), (late, dated.add_late_orders)):
-        build(new, root, MONTH)
+    for late in (False, True):
+        clean = silver.silver_orders(bronze_orders(spark, sf).where((F.col("partition") == 2) == F.lit(late)))
+        tables.write_snapshot(clean, root, "silver", "orders_arrived")  # read for its rows and, up to three times, for its dates
+        new = tables.read_table(spark, root, "silver", "orders_arrived")
+        if late:
+            dated.add_late_orders(new, root, MONTH, stored=True)
+        else:
+            dated.write_dated_orders(new, root, MONTH)
         dated.refresh_dates(spark, root, new, MONTH)
     return shown(tables.read_table(spark, root, "gold", "daily_revenue_dated").drop("event_date"))
 

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from strata.operators import gold
 from strata.sources import layout, tables
+from strata.sources.files import remove
+from strata.sources.scratch import scratch_root
 from strata.sources.tables import Written
 
 
@@ -13,15 +15,27 @@ def write_dated_orders(orders: DataFrame, root: str, unit: str = "day") -> Writt
     return layout.write_dated(orders, root, "silver", "orders_dated", unit=unit)
 
 
-def add_late_orders(orders: DataFrame, root: str, unit: str = "day") -> Written:
-    """Adds clean orders, of ids that the table does not have, to their dates; only the folders of these dates are rewritten."""
+def add_late_orders(orders: DataFrame, root: str, unit: str = "day", stored: bool = False) -> Written:
+    """Adds clean orders, of ids that the table does not have, to their dates; only the folders of these dates are rewritten.
+
+    The orders are read for their dates, then for their rows, so they are worked out once into a folder that goes afterwards; not so
+    where `stored` says that they are read from files already.
+    """
     spark = orders.sparkSession
-    stored = tables.try_read_table(spark, root, "silver", "orders_dated")
-    if stored is None:
+    known = tables.try_read_table(spark, root, "silver", "orders_dated")
+    if known is None:
         return write_dated_orders(orders, root, unit)
-    new = layout.dated(orders, unit=unit)
-    same_dates = stored.where(layout.touches(new)).select(*new.columns)
-    return layout.replace_dates(same_dates.unionByName(new), root, "silver", "orders_dated", unit=unit)
+    path = None if stored else scratch_root(f"{root.rstrip('/')}/silver/_late", "orders")
+    try:
+        if path:
+            orders.write.parquet(path)
+            orders = spark.read.parquet(path)
+        new = layout.dated(orders, unit=unit)
+        same_dates = known.where(layout.touches(new)).select(*new.columns)
+        return layout.replace_dates(same_dates.unionByName(new), root, "silver", "orders_dated", unit=unit)
+    finally:
+        if path:
+            remove(spark, path)
 
 
 def revenue_between(spark: SparkSession, root: str, first=None, last=None, unit: str = "day", clock: Column | None = None) -> DataFrame:
@@ -45,6 +59,6 @@ def latest_revenue(spark: SparkSession, root: str, n: int = 10) -> DataFrame:
 
 def refresh_dates(spark: SparkSession, root: str, new: DataFrame, unit: str = "day", clock: Column | None = None) -> Written:
     """Brings gold.daily_revenue_dated up to date for the dates of the orders `new` alone: only these dates' orders are read, only their
-    folders written."""
+    folders written. Of `new` the dates are read: orders that are costly to work out should be stored before."""
     orders = tables.read_table(spark, root, "silver", "orders_dated").where(layout.touches(layout.dated(new, unit=unit)))
     return layout.replace_dates(gold.daily_revenue(orders, clock), root, "gold", "daily_revenue_dated", "date", unit)
