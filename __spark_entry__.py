@@ -423,7 +423,9 @@ def named_table_sql(spark, sf):
 def snapshot_overwrite(spark, sf):
     """A second write replaces rows and schema."""
     root = place(spark, "overwrite")
-    all_orders = orders(spark, sf)
+    wanted = orders(spark, sf, "user_id").select("order_id", "user_id", "status", "total_amount")
+    tables.write_snapshot(wanted, root, "clean", "orders")  # both writes read it: the orders are cleaned once
+    all_orders = tables.read_table(spark, root, "clean", "orders")
     tables.write_snapshot(all_orders.select("order_id", "status"), root, "silver", "orders")
     tables.write_snapshot(
         silver.completed(all_orders).select("order_id", "user_id", "total_amount"), root, "silver", "orders"

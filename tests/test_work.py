@@ -43,7 +43,7 @@ def test_late_orders_are_worked_out_once(spark, root):
 
 
 # A half of the orders is cleaned from all rows here, since the counter stands before the filter.
-@pytest.mark.parametrize("name, most", [("revenue_by_date", 2), ("latest_days_pruned", 2), ("late_dates", 2)])
+@pytest.mark.parametrize("name, most", [("snapshot_overwrite", 1), ("revenue_by_date", 2), ("latest_days_pruned", 2), ("late_dates", 2)])
 def test_orders_are_cleaned_once(spark, bronze, name, most):
     worked, n = bronze
     assert registry.queries()[name](spark, SMALL).count() > 0
