@@ -514,19 +514,19 @@ def tree_model(name):
     return query
 
 
-def tree_walk(spark, sf, name):
-    """One tree model, its stored nodes, and whether it is a boosted one."""
+def tree_walk(spark, stored, name):
+    """One tree model of stored users, its stored nodes, and whether it is a boosted one."""
     root = place(spark, "trees")
-    found = propensity(stored_users(spark, sf)[1], root, THRESHOLD, [name])
+    found = propensity(stored, root, THRESHOLD, [name])
     trees.node_table(spark, found.best.model, f"{root}/model").write.parquet(f"{root}/nodes")
     return found, spark.read.parquet(f"{root}/nodes"), name == models.BOOSTING
 
 
 def tree_scores(spark, sf):
     """Every user by model: whether the score from the stored nodes is the model's, and the class and segment those of the score."""
-    result = None
+    result, stored = None, stored_users(spark, sf)[1]
     for name in (models.FOREST, models.BOOSTING):
-        found, nodes, boosted = tree_walk(spark, sf, name)
+        found, nodes, boosted = tree_walk(spark, stored, name)
         inputs = found.inputs.select("user_id", vector_to_array("raw").alias("x"))
         walked = trees.walk(inputs, "user_id", "x", nodes, boosted, trees.depth_of(nodes))
         of_model = models.score(found.best.model, found.inputs).join(found.scored.select("user_id", "segment"), "user_id")
@@ -541,10 +541,10 @@ def tree_scores(spark, sf):
 
 def tree_importances(spark, sf):
     """Features by model: whether the importance from the nodes' gains is the model's, in the same order."""
-    result = None
+    result, stored = None, stored_users(spark, sf)[1]
     order = Window.partitionBy("model").orderBy
     for name in (models.FOREST, models.BOOSTING):
-        found, nodes, boosted = tree_walk(spark, sf, name)
+        found, nodes, boosted = tree_walk(spark, stored, name)
         own = trees.importance_table(nodes, FEATURES, boosted).select(F.lit(name).alias("model"), "feature", F.col("importance").alias("own"))
         both = own.join(found.importances, "feature")
         part = both.select(

@@ -4,6 +4,7 @@ import __spark_entry__ as registry
 import pytest
 from pyspark.sql import functions as F
 from strata.plans import dated
+from strata.plans.propensity import propensity
 from strata.sources import tables
 from test_layout import DAYS, rows, some
 
@@ -48,3 +49,12 @@ def test_orders_are_cleaned_once(spark, bronze, name, most):
     worked, n = bronze
     assert registry.queries()[name](spark, SMALL).count() > 0
     assert worked.value <= most * n
+
+
+@pytest.mark.parametrize("name", ["tree_scores", "tree_importances"])
+def test_tree_queries_store_their_users_once(spark, monkeypatch, name):
+    stored, calls = registry.stored_users(spark, SMALL), []
+    monkeypatch.setattr(registry, "stored_users", lambda s, d: calls.append(d) or stored)
+    monkeypatch.setattr(registry, "propensity", lambda *a: propensity(*a, trees=2, rounds=2, depth=2))
+    assert registry.queries()[name](spark, SMALL).count() > 0
+    assert len(calls) == 1
