@@ -1,0 +1,76 @@
+"""What lies on the disks while jobs run: files of finished work go, stored files are packed."""
+
+import os
+import time
+
+import __spark_entry__ as registry
+import pytest
+from pyspark.sql import functions as F
+from strata.sources import tables
+from test_layout import rows
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def shuffles(spark):
+    """Names of the session's shuffle files."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def size_of(spark, name):
+    return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getFile(name).length()
+
+
+def left(spark, before):
+    """The shuffle files that came after `before` and stay, but for those of counts, of some bytes a task; they go in the background."""
+    for _ in range(50):
+        if not (new := {name for name in shuffles(spark) - before if size_of(spark, name) > 1000}):
+            break
+        time.sleep(0.2)
+    return new
+
+
+def files(folder):
+    return [f"{top}/{name}" for top, _, names in os.walk(folder) for name in names if name.endswith(".parquet")]
+
+
+@pytest.fixture
+def lake(tmp_path, monkeypatch):
+    """The folder that a query makes its tables in."""
+    monkeypatch.setattr(registry, "place", lambda spark, purpose: f"{tmp_path}/lake")
+    return f"{tmp_path}/lake"
+
+
+def grouped(spark):
+    return spark.range(2000).groupBy((F.col("id") % 700).alias("id")).count()
+
+
+def test_shuffles_of_a_write_go_when_it_ends(spark, root):
+    before = shuffles(spark)
+    tables.write_snapshot(grouped(spark), root, "silver", "orders")
+    tables.append_rows(grouped(spark), root, "silver", "orders")
+    path = tables.refresh_path(root, "silver", "orders", 0)
+    assert spark.read.parquet(path).count() == 1400
+    assert not left(spark, before)
+    assert all(name.endswith(".zstd.parquet") for name in files(root))
+
+
+def test_settings_of_the_session_stay(spark, root):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    tables.write_snapshot(grouped(spark), root, "silver", "orders")
+    assert spark.conf.get(key) == before
+
+
+@pytest.mark.parametrize("name", ["stream_row_counts"])
+def test_records_that_bronze_has_are_gone(spark, lake, name):
+    assert registry.queries()[name](spark, SMALL).count() > 0
+    assert not os.path.exists(f"{lake}/topics/orders") and not os.path.exists(f"{lake}/topics/clicks")
+    for topic, records in (("orders", registry.bronze_orders), ("clicks", registry.bronze_clicks)):
+        place = ["partition", "offset", "kafka_key", F.md5("raw_value")]
+        kept = tables.read_table(spark, lake, "bronze", topic).select(*place)
+        assert rows(kept) == rows(records(spark, SMALL).select(*place))
+    stored = [f for layer in ("bronze", "silver", "gold") for f in files(f"{lake}/{layer}")]
+    assert stored and all(f.endswith(".zstd.parquet") for f in stored)
