@@ -485,8 +485,11 @@ def gold_rows(spark, root):
 
 
 def refresh_all(spark, sf):
-    root = stored_topics(spark, sf)
-    stream_topics(spark, root)
+    root = place(spark, "layers")
+    for name, records in (("orders", derived_topics.order_records), ("clicks", derived_topics.click_records)):
+        send(root, name, records(spark, sf))
+        stream_topics(spark, root, [name])
+        expire(spark, root, name)
     return commit_rows(spark, run_once(spark, root))
 
 

@@ -64,7 +64,7 @@ def test_settings_of_the_session_stay(spark, root):
     assert spark.conf.get(key) == before
 
 
-@pytest.mark.parametrize("name", ["stream_row_counts", "gold_incremental"])
+@pytest.mark.parametrize("name", ["stream_row_counts", "gold_incremental", "run_once"])
 def test_records_that_bronze_has_are_gone(spark, lake, name):
     assert registry.queries()[name](spark, SMALL).count() > 0
     assert not os.path.exists(f"{lake}/topics/orders") and not os.path.exists(f"{lake}/topics/clicks")
