@@ -145,7 +145,7 @@ def stored_topics(spark, sf, names=("orders", "clicks")):
     root = place(spark, "layers")
     build = {"orders": derived_topics.order_records, "clicks": derived_topics.click_records}
     for name in names:
-        build[name](spark, sf).write.parquet(f"{root}/topics/{name}")
+        send(root, name, build[name](spark, sf))
     return root
 
 
@@ -246,7 +246,7 @@ def topic_parts(spark, sf, name):
 
 def arrive(spark, root, name, records):
     """One more part of a topic goes to bronze, as one batch."""
-    records.write.mode("append").parquet(f"{root}/topics/{name}")
+    send(root, name, records)
     for query in ingest.start_bronze(spark, root, [name], "parquet", ingest.ALL_AVAILABLE, path=root + "/topics/{topic}"):
         query.awaitTermination()
     expire(spark, root, name)
@@ -298,8 +298,8 @@ def stream_row_counts(spark, sf):
                 batches = reports(query)
                 read += sum(b.rows_read for b in batches)
                 written += sum(b.observed["rows_written"] for b in batches)
-        counts.append([name, read, written])
             expire(spark, root, name)
+        counts.append([name, read, written])
     for row, done in zip(counts, extend_silver(spark, root)):
         row += [done.metrics["rows_read"], done.metrics["no_id"], done.metrics["not_positive"], done.metrics.get("unknown_status", 0), done.metrics["copies"], done.rows]
     return spark.createDataFrame(
@@ -323,8 +323,10 @@ def dated_orders(spark, sf):
     """Silver orders by date: those of one partition of the topic come late."""
     root = place(spark, "dated")
     for late, build in ((False, dated.write_dated_orders), (True, dated.add_late_orders)):
-        records = bronze_orders(spark, sf).where((F.col("partition") == 2) == F.lit(late))
-        build(silver.silver_orders(records), root, MONTH)
+        records = f"{root}/arrived"  # stored, so that the joins that make the topic and the cleaning never have their shuffles at once
+        tables.write_files(bronze_orders(spark, sf).where((F.col("partition") == 2) == F.lit(late)), records)
+        build(silver.silver_orders(spark.read.parquet(records)), root, MONTH)
+        remove(spark, records)
     return root
 
 
@@ -347,7 +349,7 @@ def late_dates(spark, sf):
         if late:
             dated.add_late_orders(new, root, MONTH, stored=True)
         else:
-            dated.write_dated_orders(new, root, MONTH)
+            dated.write_dated_orders(new, root, MONTH, stored=True)
         dated.refresh_dates(spark, root, new, MONTH)
     return shown(tables.read_table(spark, root, "gold", "daily_revenue_dated").drop("event_date"))
 

@@ -1,5 +1,8 @@
 """Dated silver orders, and the daily revenue of the dates that changed. `unit` is that of the tables' folders: all calls take the same."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -7,12 +10,30 @@ from strata.operators import gold
 from strata.sources import layout, tables
 from strata.sources.files import remove
 from strata.sources.scratch import scratch_root
-from strata.sources.tables import Written
+from strata.sources.tables import Written, write_files
+
 
+@contextmanager
+def _worked_out(orders: DataFrame, root: str, folder: str, stored: bool) -> Iterator[DataFrame]:
+    """The orders, worked out once into a folder that goes afterwards; as they are where `stored` says that they are read from files.
 
-def write_dated_orders(orders: DataFrame, root: str, unit: str = "day") -> Written:
-    """silver.orders_dated: clean orders by the date of their event."""
-    return layout.write_dated(orders, root, "silver", "orders_dated", unit=unit)
+    The shuffles that clean them are gone before they are dealt to their dates, which shuffles them again.
+    """
+    if stored:
+        yield orders
+        return
+    spark, path = orders.sparkSession, scratch_root(f"{root.rstrip('/')}/silver/{folder}", "orders")
+    try:
+        write_files(orders, path)
+        yield spark.read.parquet(path)
+    finally:
+        remove(spark, path)
+
+
+def write_dated_orders(orders: DataFrame, root: str, unit: str = "day", stored: bool = False) -> Written:
+    """silver.orders_dated: clean orders by the date of their event. They are worked out once, as late ones are."""
+    with _worked_out(orders, root, "_new", stored) as orders:
+        return layout.write_dated(orders, root, "silver", "orders_dated", unit=unit)
 
 
 def add_late_orders(orders: DataFrame, root: str, unit: str = "day", stored: bool = False) -> Written:
@@ -24,18 +45,11 @@ def add_late_orders(orders: DataFrame, root: str, unit: str = "day", stored: boo
     spark = orders.sparkSession
     known = tables.try_read_table(spark, root, "silver", "orders_dated")
     if known is None:
-        return write_dated_orders(orders, root, unit)
-    path = None if stored else scratch_root(f"{root.rstrip('/')}/silver/_late", "orders")
-    try:
-        if path:
-            orders.write.parquet(path)
-            orders = spark.read.parquet(path)
+        return write_dated_orders(orders, root, unit, stored)
+    with _worked_out(orders, root, "_late", stored) as orders:
         new = layout.dated(orders, unit=unit)
         same_dates = known.where(layout.touches(new)).select(*new.columns)
         return layout.replace_dates(same_dates.unionByName(new), root, "silver", "orders_dated", unit=unit)
-    finally:
-        if path:
-            remove(spark, path)
 
 
 def revenue_between(spark: SparkSession, root: str, first=None, last=None, unit: str = "day", clock: Column | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from strata.sources import tables
 from strata.sources.files import matching, remove
 from strata.sources.sink_log import read_log
 from strata.sources.tables import Written
+from strata.streaming.settings import FREE_SHUFFLES, PACKED, settings
 
 EVENT_DATE = "event_date"
 
@@ -24,9 +25,10 @@ def dated(rows: DataFrame, time: str = "event_ts", unit: str = "day") -> DataFra
     return rows.withColumn(EVENT_DATE, F.to_date(F.date_trunc(unit, F.col(time))))
 
 
-def _by_date(rows: DataFrame):
-    """A writer of rows by date: each date in few files."""
-    return rows.hint("rebalance", F.col(EVENT_DATE)).write.partitionBy(EVENT_DATE)
+def _write_by_date(rows: DataFrame, path: str, **options: str) -> None:
+    """Replaces the files in a folder by rows by date: each date in few files."""
+    with settings(rows.sparkSession, FREE_SHUFFLES):
+        rows.hint("rebalance", F.col(EVENT_DATE)).write.partitionBy(EVENT_DATE).mode("overwrite").options(**PACKED, **options).parquet(path)
 
 
 def write_dated(rows: DataFrame, root: str, layer: str, name: str, time: str = "event_ts", unit: str = "day") -> Written:
@@ -35,7 +37,7 @@ def write_dated(rows: DataFrame, root: str, layer: str, name: str, time: str = "
     before = tables.latest(spark, root, layer, name)
     number = 0 if before is None else before + 1
     path = tables.refresh_path(root, layer, name, number)
-    _by_date(dated(rows, time, unit)).mode("overwrite").parquet(path)
+    _write_by_date(dated(rows, time, unit), path)
     return tables.counted(spark, layer, name, number, path)
 
 
@@ -50,7 +52,7 @@ def replace_dates(rows: DataFrame, root: str, layer: str, name: str, time: str =
         return write_dated(rows, root, layer, name, time, unit)
     path = tables.refresh_path(root, layer, name, number)
     before = tables.files_in(spark, path)
-    _by_date(dated(rows, time, unit)).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    _write_by_date(dated(rows, time, unit), path, partitionOverwriteMode="dynamic")
     return tables.counted(spark, layer, name, number, *sorted(tables.files_in(spark, path) - before))
 
 

@@ -5,9 +5,11 @@ import time
 
 import __spark_entry__ as registry
 import pytest
+from helpers import plan_of
 from pyspark.sql import functions as F
-from strata.sources import tables
-from test_layout import rows
+from strata.plans import dated
+from strata.sources import layout, tables
+from test_layout import DAYS, rows, some
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -74,3 +76,21 @@ def test_records_that_bronze_has_are_gone(spark, lake, name):
         assert rows(kept) == rows(records(spark, SMALL).select(*place))
     stored = [f for layer in ("bronze", "silver", "gold") for f in files(f"{lake}/{layer}")]
     assert stored and all(f.endswith(".zstd.parquet") for f in stored)
+
+
+def test_dated_orders_are_read_from_files_when_they_are_dealt(spark, root, monkeypatch):
+    plans = []
+    plain = layout.write_dated
+    monkeypatch.setattr(layout, "write_dated", lambda df, *a, **more: plans.append(plan_of(df)) or plain(df, *a, **more))
+    orders = some(spark, 0, DAYS).dropDuplicates(["order_id"])
+    assert "Exchange" in plan_of(orders)
+    dated.write_dated_orders(orders, root)
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    kept = tables.read_table(spark, root, "silver", "orders_dated").drop("event_date", "processed_at")
+    assert rows(kept) == rows(some(spark, 0, DAYS).drop("processed_at"))
+    assert all("/orders_dated/" in f and f.endswith(".zstd.parquet") for f in files(root))
+
+
+def test_dated_query_leaves_its_dated_table_only(spark, lake):
+    assert registry.queries()["revenue_by_date"](spark, SMALL).count() > 0
+    assert files(lake) and all("/orders_dated/" in f for f in files(lake))
